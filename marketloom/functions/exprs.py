@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,12 +72,39 @@ def violation(name: str, dtype: T.DataType, strict: bool = False) -> Column:
     )
 
 
+def _null_or_like(pattern: str) -> Callable[[Column], Column]:
+    return lambda value: value.isNull() | value.rlike(pattern)
+
+
+def _plainly_valid(types: Mapping[str, T.DataType]) -> Column:
+    """True if every value is NULL, or so short and plain that it must fit its type.
+
+    Columns of one type are tested as one array: the generated code stays small however wide the
+    table is, so the JVM compiles it instead of interpreting one huge method.
+    """
+    groups: dict[str, list[str]] = {}
+    tests: list[Column] = []
+    for name, t in types.items():
+        if isinstance(t, T.IntegerType):
+            groups.setdefault(r"\A-?[0-9]{1,9}\z", []).append(name)
+        elif isinstance(t, T.DecimalType):
+            plain = rf"\A-?[0-9]{{1,{t.precision - t.scale}}}(\.[0-9]{{1,{t.scale}}})?\z"
+            groups.setdefault(plain, []).append(name)
+        elif isinstance(t, T.DateType):
+            tests.append(violation(name, t).isNull())
+    for pattern, names in groups.items():
+        tests.append(F.forall(F.array(*names), _null_or_like(pattern)))
+    return reduce(and_, tests)
+
+
 def anomaly_reasons(types: Mapping[str, T.DataType], strict: bool = False) -> Column:
     """Array of reason tags in column order, without NULLs."""
-    tags = [violation(n, t, strict) for n, t in types.items() if form_of(t)]
-    if not tags:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*tags))
+    typed = {n: t for n, t in types.items() if form_of(t)}
+    none = F.array().cast("array<string>")
+    if not typed:
+        return none
+    tags = F.array_compact(F.array(*[violation(n, t, strict) for n, t in typed.items()]))
+    return F.when(_plainly_valid(typed), none).otherwise(tags)
 
 
 def is_clean(reasons: Column) -> Column:
@@ -100,7 +129,7 @@ def project_map(df: DataFrame, mapping: Mapping[str, str], **constants) -> DataF
 
 
 def where_not_null(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))  # reaches the scan
 
 
 def zero_if_null(c: Column) -> Column:

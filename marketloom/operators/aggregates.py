@@ -43,22 +43,18 @@ def daily_returns(returns: DataFrame) -> DataFrame:
 def monthly_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
     """Per (year, month, channel).
 
-    Lines are first collapsed to (date, channel, order), so the date join and the distinct count
-    work on orders instead of lines.
+    The date dimension is a few thousand rows, so its lookup stays on the map side and the lines
+    are combined to (month, channel, order) before anything is shuffled.
     """
-    per_order = where_not_null(sales, "sold_date_sk").groupBy(
-        "sold_date_sk", "channel", "order_number"
-    ).agg(
+    days = dates.select(F.col("d_date_sk").alias("sold_date_sk"), "d_year", "d_moy")
+    dated = where_not_null(sales, "sold_date_sk").join(days, "sold_date_sk")
+    return dated.groupBy("d_year", "d_moy", "channel").agg(
+        F.countDistinct("order_number").alias("order_count"),
         F.sum("quantity").alias("quantity"),
         F.sum("ext_sales_price").alias("gross_sales"),
         F.sum("net_paid").alias("net_sales"),
         F.sum("net_profit").alias("net_profit"),
     )
-    days = dates.select(F.col("d_date_sk").alias("sold_date_sk"), "d_year", "d_moy")
-    return per_order.join(days, "sold_date_sk").groupBy("d_year", "d_moy", "channel").agg(
-        F.countDistinct("order_number").alias("order_count"),
-        *[F.sum(c).alias(c) for c in ("quantity", "gross_sales", "net_sales", "net_profit")],
-    )
 
 
 def pivot_channels(monthly: DataFrame) -> DataFrame:
@@ -122,10 +118,15 @@ def reference_day(sales: DataFrame) -> DataFrame:
 def pair_aggregate(
     df: DataFrame, from_column: str, to_column: str, aggregates: Mapping[str, str]
 ) -> DataFrame:
-    """Named aggregate expressions per (from, to) pair with both keys present."""
+    """Named aggregate expressions per (from, to) pair with both keys present.
+
+    Keys take the type of node keys here, so that a later cut per origin and the lookup of the
+    origin share one partitioning.
+    """
+    keys = [F.col(c).cast("bigint").alias(n) for c, n in ((from_column, "from_sk"), (to_column, "to_sk"))]
     return (
         where_not_null(df, from_column, to_column)
-        .groupBy(F.col(from_column).alias("from_sk"), F.col(to_column).alias("to_sk"))
+        .groupBy(*keys)
         .agg(*[F.expr(e).alias(n) for n, e in aggregates.items()])
     )
 

@@ -37,8 +37,9 @@ def store_silver(wh: Warehouse, df: DataFrame, spec: TableSpec, strict: bool = F
     """Write both halves in one pass over the raw table.
 
     Each row is flagged once. Clean rows fill the typed columns, rejected rows fill the ``raw``
-    struct; the unused half is all NULL and costs next to nothing in Parquet. The halves are two
-    partitions of one folder, so reading either prunes the other.
+    struct; the unused half is all NULL and costs next to nothing in Parquet. Both halves share
+    files, so a rare bad row does not cost each task a file of its own: readers of the clean half
+    skip the ``raw`` columns, readers of the rejected half skip row groups without bad rows.
     """
     flagged = with_flags(df, spec.types, strict).withColumn(
         "is_anomaly", is_anomaly(F.col("anomaly_reasons"))
@@ -53,7 +54,6 @@ def store_silver(wh: Warehouse, df: DataFrame, spec: TableSpec, strict: bool = F
         ),
         "silver",
         spec.silver_name,
-        partition_by=["is_anomaly"],
     )
 
 

@@ -100,9 +100,8 @@ def resolve_ends(df: DataFrame, nodes: DataFrame, from_class: str, to_class: str
             F.col("source_sk").alias(f"{side}_sk"), F.col("node_id").alias(f"{side}_node_id")
         )
 
-    keys = df.withColumns({c: F.col(c).cast("bigint") for c in ("from_sk", "to_sk")})
     return (
-        keys.join(end(from_class, "from"), "from_sk").join(end(to_class, "to"), "to_sk")
+        df.join(end(from_class, "from"), "from_sk").join(end(to_class, "to"), "to_sk")
         .drop("from_sk", "to_sk")
     )
 
@@ -111,7 +110,7 @@ def fk_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFrame) ->
     rel = onto["relationships"][name]
     key = onto["classes"][rel["from"]]["key"]
     pairs = where_not_null(source, rel["column"]).select(
-        F.col(key).alias("from_sk"), F.col(rel["column"]).alias("to_sk")
+        F.col(key).cast("bigint").alias("from_sk"), F.col(rel["column"]).cast("bigint").alias("to_sk")
     )
     return resolve_ends(pairs, nodes, rel["from"], rel["to"]).select(
         "from_node_id", "to_node_id", F.lit(name).alias("relationship_name"),
@@ -305,7 +304,7 @@ def co_purchase(nodes: DataFrame, edges: DataFrame, limit: int = 10) -> DataFram
     """
     buyers = _of(edges, "PURCHASED").groupBy(F.col("to_node_id").alias("node_id")).agg(
         F.count(F.lit(1)).alias("m"))
-    pairs = (F.col("m") * (F.col("m") - 1) / 2).cast("bigint")
+    pairs = F.expr("m * (m - 1) div 2")
     items = nodes.filter(F.col("class_name") == "Item").select(
         "node_id", prop("properties", "product_name").alias("product_name"))
     counted = (

@@ -167,7 +167,8 @@ def run_history(runs: DataFrame, timings: DataFrame, stats: DataFrame, n: int =
 # -- layer overviews ------------------------------------------------------------------------------------
 def layer_stats(wh: Warehouse, layer: str) -> DataFrame:
     """Exact rows and stored bytes per table; a Silver table also lists its rejected rows as
-    ``<table>__anomalies``. One row per table, so the result is small by construction."""
+    ``<table>__anomalies``, whose bytes are part of the table. One row per table, so the result is
+    small by construction."""
     parts = []
     for name in wh.tables(layer):
         path, df = wh.snapshot_path(layer, name), wh.read(layer, name)
@@ -176,7 +177,7 @@ def layer_stats(wh: Warehouse, layer: str) -> DataFrame:
             halves = [("", False), ("__anomalies", True)]
         for suffix, flag in halves:
             part = df if flag is None else df.filter(F.col("is_anomaly") == flag)
-            size = wh.size_bytes(path if flag is None else f"{path}/is_anomaly={str(flag).lower()}")
+            size = 0 if flag else wh.size_bytes(path)
             parts.append((f"{name}{suffix}", part, size))
     return stats_of(wh.spark, parts)
 

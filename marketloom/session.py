@@ -17,6 +17,8 @@ def scratch_root(spark: SparkSession) -> str:
     gets a temporary folder of its own.
     """
     app = spark.sparkContext.applicationId
+    if app in _LOCAL_SCRATCH:
+        return _LOCAL_SCRATCH[app]
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/marketloom/{app}"
@@ -35,6 +37,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for a scan that has fewer splits than the cluster has cores.
+
+    Such input is small by definition (cores x split size at most), so the extra shuffle is
+    bounded; a large scan has more splits than cores and is returned as it is. Only for plain
+    scans: counting the partitions of a shuffled frame would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -49,6 +62,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -16,12 +16,15 @@ undated, and 2 % of customers and items appear in returns only.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.operators.silver import read_clean, silver_split, store_silver
 from marketloom.operators.unify import CHANNELS, unify_returns, unify_sales
-from marketloom.session import scratch_root
-from marketloom.specs import TABLES, spec_of
+from marketloom.session import scratch_root, spread
+from marketloom.specs import TABLES, silver_tables, spec_of
 from marketloom.warehouse import Warehouse
 
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
@@ -276,6 +279,7 @@ class Bed:
         tag = "".join(c if c.isalnum() else "_" for c in self.folder)
         self.wh = Warehouse(spark, f"{scratch_root(spark)}/bed-{tag}")
         self._ready: set[str] = set()
+        self._locks: dict[str, Lock] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Bed":
@@ -293,32 +297,44 @@ class Bed:
 
     def stored(self, layer: str, name: str, make, **how) -> DataFrame:
         """Read a table of the scratch warehouse, writing it first if this session has not."""
-        if f"{layer}.{name}" not in self._ready:
-            self.wh.write(make(), layer, name, **how)
-            self._ready.add(f"{layer}.{name}")
+        self._once(f"{layer}.{name}", lambda: self.wh.write(make(), layer, name, **how))
         return self.wh.read(layer, name)
 
+    def _once(self, name: str, work) -> None:
+        with self._locks.setdefault(name, Lock()):
+            if name not in self._ready:
+                work()
+                self._ready.add(name)
+
+    def _order_lines(self) -> DataFrame:
+        lines = spread(self.source("lineitem"), "l_orderkey")
+        return self.spark.sql(BASE_SQL, lineitem=lines, orders=self.source("orders"))
+
     # -- layers --------------------------------------------------------------------------------
     def raw(self, table: str) -> DataFrame:
         sql = raw_sql(table)
         if "{base}" not in sql:
             return self._sql(sql)
         # One join of lines and orders, partitioned by channel: each fact reads its own part.
-        self.stored("bronze", "order_lines", lambda: self._sql(BASE_SQL), partition_by=["channel"])
-        return self._sql(sql, base=f"parquet.`{self.wh.snapshot_path('bronze', 'order_lines')}`")
+        self.stored("bronze", "order_lines", self._order_lines, partition_by=["channel"])
+        base = f"parquet.`{self.wh.snapshot_path('bronze', 'order_lines')}`"
+        return self.stored("bronze", table, lambda: self._sql(sql, base=base))
 
     def silver(self, table: str) -> DataFrame:
         """Clean rows, written once together with the rejected ones."""
-        name = f"silver.{spec_of(table).silver_name}"
-        if name not in self._ready:
-            store_silver(self.wh, self.raw(table), spec_of(table))
-            self._ready.add(name)
+        spec = spec_of(table)
+        self._once(f"silver.{spec.silver_name}", lambda: store_silver(self.wh, self.raw(table), spec))
         return read_clean(self.wh, table)
 
     def clean(self, table: str) -> DataFrame:
         """Clean rows, computed from the raw table without storing them."""
         return silver_split(self.raw(table), TABLES[table])[0]
 
+    def silver_layer(self, threads: int = 4) -> None:
+        """Write every Silver table; independent tables share the cluster."""
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(self.silver, silver_tables()))
+
     def sales(self) -> DataFrame:
         return self.stored(
             "silver", "int_sales_unified",
