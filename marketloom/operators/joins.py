@@ -21,8 +21,8 @@ def left_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str) -> Dat
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row."""
-    return df.crossJoin(F.broadcast(one_row))  # exactly one row by construction
+    """Attach a one-row, one-column aggregate to every row, as a scalar subquery."""
+    return df.withColumn(one_row.columns[0], one_row.scalar())
 
 
 def enrich_customer(

@@ -129,8 +129,7 @@ def slowest_nodes(timings: DataFrame, runs: DataFrame, n: int = 10) -> DataFrame
 
 
 def _of_latest(df: DataFrame, runs: DataFrame) -> DataFrame:
-    last = runs.agg(F.max("run_id").alias("_last"))
-    return with_scalar(df, last).filter(F.col("run_id") == F.col("_last")).drop("_last")
+    return df.filter(F.col("run_id") == runs.agg(F.max("run_id")).scalar())
 
 
 # --- fixed values: which statuses count, on the dashboard and in a run ------------------------------

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import quality as Q
 from marketloom.plans import ops as O
 from marketloom.queries import query
-from marketloom.queries.marts import (
-    customer_360, mart_product_analytics, mart_sales_performance,
-)
+from marketloom.queries.marts import stored_mart
 from marketloom.queries.oracle import big, oracle
 from marketloom.specs import TABLES
 
@@ -45,10 +43,7 @@ def silver_checks(bed):
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{c.name}', 'pass', CAST(0 AS BIGINT))" for c in Q.gold_suite())
        + ") t(test_name, status, failures)")
 def gold_checks(bed):
-    marts = {"mart_sales_performance": mart_sales_performance, "mart_product_analytics": mart_product_analytics,
-             "mart_customer_360": customer_360}
-    made = {name: make(bed) for name, make in marts.items()}
-    return Q.run_checks(lambda _, t: made[t], Q.gold_suite()).drop("message")
+    return Q.run_checks(lambda _, t: stored_mart(bed, t), Q.gold_suite()).drop("message")
 
 
 @query(oracle("""
