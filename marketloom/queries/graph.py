@@ -29,8 +29,13 @@ def tables_of(bed):
     return table
 
 
+def _nodes(bed):
+    bed.silver_layer([c["table"] for c in ONTO["classes"].values()])
+    return G.build_nodes(ONTO, tables_of(bed))
+
+
 def nodes_of(bed):
-    return bed.stored("graph", "node", lambda: G.build_nodes(ONTO, tables_of(bed)), partition_by=["class_name"])
+    return bed.stored("graph", "node", lambda: _nodes(bed), partition_by=["class_name"])
 
 
 def edges_of(bed):

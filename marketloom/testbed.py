@@ -330,19 +330,21 @@ class Bed:
         """Clean rows, computed from the raw table without storing them."""
         return silver_split(self.raw(table), TABLES[table])[0]
 
-    def silver_layer(self, threads: int = 4) -> None:
-        """Write every Silver table; independent tables share the cluster."""
+    def silver_layer(self, tables: list[str] | None = None, threads: int = 4) -> None:
+        """Write Silver tables; independent tables share the cluster."""
         with ThreadPoolExecutor(threads) as pool:
-            list(pool.map(self.silver, silver_tables()))
+            list(pool.map(self.silver, tables or silver_tables()))
+
+    def _clean_channels(self, kind: str) -> list[DataFrame]:
+        with ThreadPoolExecutor(len(CHANNELS)) as pool:
+            return list(pool.map(lambda ch: self.clean(f"{ch}_{kind}"), CHANNELS))
 
     def sales(self) -> DataFrame:
         return self.stored(
-            "silver", "int_sales_unified",
-            lambda: unify_sales(*[self.clean(f"{ch}_sales") for ch in CHANNELS]),
+            "silver", "int_sales_unified", lambda: unify_sales(*self._clean_channels("sales")),
             partition_by=["channel"])
 
     def returns(self) -> DataFrame:
         return self.stored(
-            "silver", "int_returns_unified",
-            lambda: unify_returns(*[self.clean(f"{ch}_returns") for ch in CHANNELS]),
+            "silver", "int_returns_unified", lambda: unify_returns(*self._clean_channels("returns")),
             partition_by=["channel"])
