@@ -6,22 +6,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import licenses, mixing, quality, sharding
+from marketloom.llm import (
+    decontamination,
+    licenses,
+    linededup,
+    lmscore,
+    mixing,
+    neardup,
+    quality,
+    sharding,
+    toxicity,
+    urlfilter,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _on_documents(digest: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: digest(table(spark, folder, "documents"))
+def _on(operator: Callable[..., DataFrame], *names: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: operator(*(table(spark, folder, n) for n in names))
+
+
+def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
+def _url_digest(pages: DataFrame) -> DataFrame:
+    return urlfilter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_license_scan": _on_documents(licenses.license_digest),
-    "op4_quality_rules": _on_documents(quality.quality_digest),
-    "op7_sharding": _on_documents(sharding.shard_digest),
-    "op8_mixing": _on_documents(mixing.mix_digest),
+    "op1_minhash_near_dedup": _on(neardup.near_duplicates, "documents"),
+    "op2_license_scan": _on(licenses.license_digest, "documents"),
+    "op3_decontamination": _on(decontamination.contaminated, "documents", "benchmark"),
+    "op4_quality_rules": _on(quality.quality_digest, "documents"),
+    "op5_url_filter": _on(_url_digest, "pages"),
+    "op6_lm_scoring": _on(lmscore.score_documents, "documents"),
+    "op7_sharding": _on(sharding.shard_digest, "documents"),
+    "op8_mixing": _on(mixing.mix_digest, "documents"),
+    "op9_toxicity": _on(toxicity.toxicity_digest, "documents", "labels"),
+    "op10_line_dedup": _on(linededup.dedup_lines, "documents"),
+    "pipeline": _pipeline,
 }
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.digest_sql(),
