@@ -1,8 +1,8 @@
 """A bidirectional gated recurrent network with attention pooling, trained and applied in numpy.
 
-A word enters as the sum of what two inputs give the gates: an embedding of the word (by hash) and
-the mean of embeddings of its byte trigrams (by hash), so unseen words are known by their
-characters. Two gated recurrent units read a window in both directions, attention weighs their
+A word enters by three embeddings, all looked up by hash: of the word itself, the mean of those of
+its byte trigrams, and the mean of those of its first 4 to 8 bytes; so unseen words are known by
+their characters. Two gated recurrent units read a window in both directions, attention weighs their
 states, and a logistic unit scores the window. All tables have a fixed size.
 """
 
@@ -13,7 +13,9 @@ import numpy as np
 from marketloom.llm.hashing import Hasher, Words, mix
 
 WORD_ROWS, WORD_DIM = 1 << 15, 8
-GRAM_ROWS, GRAM_DIM = 1 << 13, 12
+GRAM_ROWS, GRAM_DIM = 1 << 13, 8
+START_ROWS, START_DIM, STARTS = 1 << 15, 8, (4, 5, 6, 7, 8)
+DIM = WORD_DIM + GRAM_DIM + START_DIM
 HIDDEN = 12
 WINDOW, STEP = 32, 16
 G = 3 * HIDDEN  # update, reset and candidate
@@ -33,6 +35,20 @@ class Vocabulary:
         left = np.where(data[at] <= 32, np.uint64(0), data[at])
         right = np.where(data[at + 2] <= 32, np.uint64(0), data[at + 2])
         self.grams = (mix((left << np.uint64(16)) | (data[at + 1] << np.uint64(8)) | right) % np.uint64(GRAM_ROWS)).astype(np.int64)
+        # One column per length; a shorter word has its whole self in the first.
+        self.start_rows = np.empty((len(where), len(STARTS)), np.int64)
+        length = ends - starts
+        self.has_start = np.stack([length >= n if n > STARTS[0] else length > 0 for n in STARTS], axis=1)
+        seen = np.zeros(len(where), np.uint64)
+        for k in range(STARTS[-1]):
+            byte = data[np.minimum(starts + 1 + k, len(data) - 1)]
+            seen = np.where(k < length, mix(seen * np.uint64(257) + byte + np.uint64(1)), seen)
+            if k + 1 in STARTS:
+                self.start_rows[:, STARTS.index(k + 1)] = seen % np.uint64(START_ROWS)
+
+    def starts_mean(self, table: np.ndarray, used) -> np.ndarray:
+        has = self.has_start[used]
+        return (table[self.start_rows[used]] * has[:, :, None]).sum(1) / has.sum(1)[:, None]
 
     def __len__(self) -> int:
         return len(self.word_rows)
@@ -70,9 +86,10 @@ class ToxicNet:
     def __init__(self, seed: int = 7):
         r = np.random.default_rng(seed)
         f = lambda *s, scale: (r.standard_normal(s) * scale).astype(np.float32)
-        d = WORD_DIM + GRAM_DIM
+        d = DIM
         self.p = {
             "word": f(WORD_ROWS, WORD_DIM, scale=0.1), "gram": f(GRAM_ROWS, GRAM_DIM, scale=0.3),
+            "start": f(START_ROWS, START_DIM, scale=0.2),
             "x": f(d, 2 * G, scale=d ** -0.5), "bias": np.zeros(2 * G, np.float32),
             "u0": f(HIDDEN, G, scale=HIDDEN ** -0.5), "u1": f(HIDDEN, G, scale=HIDDEN ** -0.5),
             "att": f(2 * HIDDEN, scale=0.3), "out": f(2 * HIDDEN, scale=0.3), "off": np.zeros(1, np.float32),
@@ -81,26 +98,28 @@ class ToxicNet:
 
     def inputs(self, v: Vocabulary) -> np.ndarray:
         """Embeddings of the distinct words, a zero row for padding last."""
-        e = np.zeros((len(v) + 1, WORD_DIM + GRAM_DIM), np.float32)
+        e = np.zeros((len(v) + 1, DIM), np.float32)
         if len(v):
             e[:-1, :WORD_DIM] = self.p["word"][v.word_rows]
             for lo in range(0, len(v), 20_000):
                 hi = min(lo + 20_000, len(v))
                 a, z = v.gram_first[lo], v.gram_first[hi]
                 total = np.add.reduceat(self.p["gram"][v.grams[a:z]], v.gram_first[lo:hi] - a)
-                e[lo:hi, WORD_DIM:] = total / v.n_grams[lo:hi, None]
+                e[lo:hi, WORD_DIM:WORD_DIM + GRAM_DIM] = total / v.n_grams[lo:hi, None]
+                e[lo:hi, WORD_DIM + GRAM_DIM:] = v.starts_mean(self.p["start"], slice(lo, hi))
         return e
 
-    def inputs_for(self, v: Vocabulary, used: np.ndarray, r: np.random.Generator, drop: float = 0.3) -> np.ndarray:
+    def inputs_for(self, v: Vocabulary, used: np.ndarray, r: np.random.Generator, drop: float = 0.5) -> np.ndarray:
         """Embeddings as a mapping of word ids; some words are left to their characters."""
         used = used[used < len(v)]
-        e = np.zeros((len(used) + 1, WORD_DIM + GRAM_DIM), np.float32)
+        e = np.zeros((len(used) + 1, DIM), np.float32)
         e[:-1, :WORD_DIM] = self.p["word"][v.word_rows[used]] * (r.random(len(used)) >= drop)[:, None]
         n = v.n_grams[used]
         first = np.cumsum(n) - n
         at = np.arange(n.sum()) - np.repeat(first, n) + np.repeat(v.gram_first[used], n)
         if len(used):
-            e[:-1, WORD_DIM:] = np.add.reduceat(self.p["gram"][v.grams[at]], first) / n[:, None]
+            e[:-1, WORD_DIM:WORD_DIM + GRAM_DIM] = np.add.reduceat(self.p["gram"][v.grams[at]], first) / n[:, None]
+            e[:-1, WORD_DIM + GRAM_DIM:] = v.starts_mean(self.p["start"], used)
         return e
 
     def _read(self, x: np.ndarray, u: np.ndarray, order, keep: list | None):
@@ -180,9 +199,35 @@ class ToxicNet:
         g["word"] = _summed(v.word_rows[w], dw[:, :WORD_DIM], WORD_ROWS)
         n = v.n_grams[w]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(v.gram_first[w], n)
-        g["gram"] = _summed(v.grams[at], np.repeat(dw[:, WORD_DIM:] / n[:, None], n, axis=0), GRAM_ROWS)
+        g["gram"] = _summed(v.grams[at], np.repeat(dw[:, WORD_DIM:WORD_DIM + GRAM_DIM] / n[:, None], n, axis=0), GRAM_ROWS)
+        has = v.has_start[w]
+        of, col = np.nonzero(has)
+        g["start"] = _summed(v.start_rows[w][of, col], (dw[:, WORD_DIM + GRAM_DIM:] / has.sum(1)[:, None])[of], START_ROWS)
         return loss, g
 
+    def prime(self, v: Vocabulary, first: np.ndarray, labels: np.ndarray, use: np.ndarray) -> None:
+        """Starts the first dimension of each table with the smoothed log odds of a row in toxic
+        against other texts, so that few texts are enough to find the words that matter."""
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        word, text = v.ids[use[text]], text[use[text]]
+        share = max(float(labels[use].mean()), 1e-3)
+        n = v.n_grams[word]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(v.gram_first[word], n)
+        of, col = np.nonzero(v.has_start[word])
+        for name, rows, of, size in (("word", v.word_rows[word], text, WORD_ROWS),
+                                     ("gram", v.grams[at], np.repeat(text, n), GRAM_ROWS),
+                                     ("start", v.start_rows[word[of], col], text[of], START_ROWS)):
+            pairs = np.unique(rows * len(labels) + of)
+            rows, toxic = pairs // len(labels), labels[pairs % len(labels)] > 0
+            yes, no = (np.bincount(rows[x], minlength=size) for x in (toxic, ~toxic))
+            odds = np.log((yes + 4 * share) / (no + 4 * (1 - share))) - np.log(share / (1 - share))
+            self.p[name][:, 0] = np.where(yes + no >= 3, odds, 0)
+
+    def first_guess(self, v: Vocabulary, idx: np.ndarray) -> np.ndarray:
+        """Before any step, windows are ranked by their three highest log odds."""
+        odds = self.inputs(v)
+        return np.sort(odds[idx, 0] + odds[idx, WORD_DIM] + odds[idx, WORD_DIM + GRAM_DIM], axis=1)[:, -3:].sum(1)
+
     def calibrate(self, best: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 40) -> None:
         """Fits the line from a text's highest window to the logit of its score, on texts that the
         network hasn't learned from; the ridge bounds the slope where all are told apart."""
@@ -207,9 +252,8 @@ class ToxicNet:
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 3, steps: int = 130, batch: int = 256) -> ToxicNet:
     """Fits the network to labelled texts. Only windows are scored, so each round picks windows to
-    learn from: at first any, then the highest scored of each text besides a few others; windows
-    of a toxic text are toxic at first, later only its highest scored ones. Every fourth text is
-    kept for the calibration of scores."""
+    learn from: the two highest of each toxic text, and the three highest of each other text
+    besides any others. Every fourth text is kept for the calibration of scores."""
     r = np.random.default_rng(seed)
     net = ToxicNet(seed)
     w = Hasher().words(texts)
@@ -222,20 +266,18 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 3,
     kept = r.permutation(len(texts)) % 4 == 0
     every, every_text = idx, text
     idx, text = idx[~kept[text]], text[~kept[text]]
+    net.prime(v, w.first, labels, ~kept)
     y = labels[text].astype(np.float32)
     m, s = ({k: np.zeros_like(x) for k, x in net.p.items()} for _ in range(2))
     done = 0
     for turn in range(rounds):
-        if turn:
-            logit = net.window_logits(v, idx)
-            rank = np.empty(len(idx), np.int64)
-            order = np.lexsort((-logit, text))
-            rank[order] = np.arange(len(idx)) - np.searchsorted(text, text[order])
-            positive = np.flatnonzero((y > 0) & (rank < (3 if turn == 1 else 2)))
-            hard = np.flatnonzero((y == 0) & (rank < 3))
-            other = np.flatnonzero((y == 0) & (rank >= 3))
-        else:
-            positive, hard, other = np.flatnonzero(y > 0), np.zeros(0, np.int64), np.flatnonzero(y == 0)
+        logit = net.window_logits(v, idx) if turn else net.first_guess(v, idx)
+        rank = np.empty(len(idx), np.int64)
+        order = np.lexsort((-logit, text))
+        rank[order] = np.arange(len(idx)) - np.searchsorted(text, text[order])
+        positive = np.flatnonzero((y > 0) & (rank < 2))
+        hard = np.flatnonzero((y == 0) & (rank < 3))
+        other = np.flatnonzero((y == 0) & (rank >= 3))
         negative = [x for x in (hard, other) if len(x)]
         if not len(positive) or not negative:
             break
