@@ -1,13 +1,13 @@
 """Benchmark decontamination by SimHash windows.
 
-An item of L words is known by the 126-bit SimHashes of all its windows of one length, about
-three fifths of L, taken from a fixed ladder of lengths; a document by those of its windows of
-the lengths in use. A fingerprint has 6 blocks of 21 bits: any two within Hamming distance 5 share
-a block. Which block values the benchmark has is kept as one bitmap per length and block, of a
-fixed size however large the benchmark is; only document windows with a value in it leave the
-task. They are joined with the item windows on (length, block, value), those within the
-radius keep the words around them, and the weighted Jaccard similarity of 5-word shingles (by
-number of occurrences) between the item and the words in its place decides.
+An item of L words is known by the 126-bit SimHashes (over pairs of neighbouring words) of all its
+windows of one length, about three fifths of L, taken from a fixed ladder of lengths; a document by
+those of its windows of the lengths in use. A fingerprint has 6 blocks of 21 bits: any two within
+Hamming distance 4 share two blocks. Which block values the benchmark has is kept as one bitmap per
+length and block, of a fixed size however large the benchmark is; only document windows with two
+values in it leave the task, with the words around them. They are joined with the item windows on
+(length, block, value), and for those within the radius the weighted Jaccard similarity of 5-word
+shingles (by number of occurrences) between the item and the words in its place decides.
 
 Windows start at every word for lengths up to 8 and at every 4th word above; since the item side
 has every start, an unchanged run of the window length plus 3 words meets a window with distance 0.
@@ -29,17 +29,18 @@ from marketloom.llm.store import stored
 SHINGLE = 5
 MIN_SIMILARITY = 0.75
 BITS, BLOCKS, BLOCK_BITS = 128, 6, 21
-RADIUS = 24  # largest distance that is still verified; all within 5 are found
+AGREE = 2  # blocks that must agree
+RADIUS = 24  # largest distance that is still verified; all within BLOCKS - AGREE are found
 STRIDE, SHORT = 4, 8
 SHARE = 0.6
 CHUNK = 1 << 18
 
 
 def ladder(top: int) -> list[int]:
-    """Window lengths: 1 to 8, then each a quarter longer, up to ``top``."""
+    """Window lengths: 1 to 8, then each a third longer, up to ``top``."""
     out = list(range(1, SHORT + 1))
-    while out[-1] * 5 // 4 <= top:
-        out.append(out[-1] * 5 // 4)
+    while out[-1] * 4 // 3 <= top:
+        out.append(out[-1] * 4 // 3)
     return [x for x in out if x <= top]
 
 
@@ -49,32 +50,44 @@ def window_length(n_words: int) -> int:
 
 def _longest_item(length: int) -> int:
     """Words of the longest item that uses windows of this length."""
-    following = max(length + 1, length * 5 // 4)
+    following = max(length + 1, length * 4 // 3)
     return max(SHINGLE, int(following / SHARE) + 1, length)
 
 
-def word_bits(hashes: np.ndarray) -> np.ndarray:
-    """Running counts of set bits per position: row i counts the words before i, modulo 2^16."""
-    pair = np.empty((len(hashes), 2), np.uint64)
-    pair[:, 0], pair[:, 1] = hashes, mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
-    bits = np.unpackbits(pair.view(np.uint8), axis=1)
-    out = np.zeros((len(hashes) + 1, BITS), np.uint16)
-    np.cumsum(bits, axis=0, dtype=np.uint16, out=out[1:])
+def feature_bits(hashes: np.ndarray, length: int) -> np.ndarray:
+    """128 bits, one per byte, of what windows of a length are made of: each word with the next
+    one, or single words for windows of one word."""
+    x = mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]) if length > 1 else hashes
+    pair = np.empty((len(x), 2), np.uint64)
+    pair[:, 0], pair[:, 1] = x, mix(x ^ np.uint64(0x5851F42D4C957F2D))
+    return np.unpackbits(pair.view(np.uint8), axis=1)
+
+
+def run_sums(bits: np.ndarray, top: int) -> dict[int, np.ndarray]:
+    """Set bits in runs of 1, 2, 4 ... rows, up to 128 (counts fit a byte) and ``top``."""
+    out = {1: bits}
+    while 2 * max(out) <= min(top, 128) and len(out[max(out)]) > max(out):
+        n = max(out)
+        out[2 * n] = out[n][:-n] + out[n][n:]
     return out
 
 
-def fingerprints(counts: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """SimHash of the windows [at, at + length): a bit is set if most words have it set."""
-    ones = counts[at + length] - counts[at]
-    return np.packbits(ones > length // 2, axis=1)
+def fingerprints(sums: dict[int, np.ndarray], at: np.ndarray, length: int) -> np.ndarray:
+    """SimHashes (two 64-bit numbers each) of the windows [at, at + length): a bit is set if most
+    features have it set."""
+    n = max(1, length - 1)
+    ones, left, start = np.zeros((len(at), BITS), np.uint16 if n > 255 else np.uint8), n, at
+    while left:
+        k = max(x for x in sums if x <= left)
+        ones += sums[k][start]
+        start, left = start + k, left - k
+    return np.packbits(ones > n // 2, axis=1).view(">u8").astype(np.uint64)
 
 
 def block_values(prints: np.ndarray) -> np.ndarray:
     """(windows, blocks) values of 21 bits."""
-    bits = np.unpackbits(prints, axis=1)[:, :BLOCKS * BLOCK_BITS].reshape(-1, BLOCKS, BLOCK_BITS)
-    packed = np.packbits(bits, axis=2)  # 21 bits in 3 bytes, left-aligned
-    return ((packed[:, :, 0].astype(np.int64) << 13) | (packed[:, :, 1].astype(np.int64) << 5)
-            | (packed[:, :, 2].astype(np.int64) >> 3))
+    shifts = np.array([43, 22, 1], np.uint64)
+    return ((prints[:, :, None] >> shifts) & np.uint64((1 << BLOCK_BITS) - 1)).reshape(-1, BLOCKS).astype(np.int64)
 
 
 def _key(length: int, values: np.ndarray) -> np.ndarray:
@@ -101,9 +114,8 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     continue
                 length = window_length(len(h))
                 at = np.arange(len(h) - length + 1)
-                prints = fingerprints(word_bits(h), at, length)
-                values = block_values(prints)
-                keys = _key(length, values)
+                prints = fingerprints(run_sums(feature_bits(h, length), length), at, length)
+                keys = _key(length, block_values(prints))
                 small = _small(h)
                 for o in at:
                     p = prints[o].tobytes()
@@ -117,7 +129,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def bitmaps(items: DataFrame) -> dict[tuple[int, int], bytes]:
     """Per (length, block) the block values of the benchmark, 256 KB each; the ladder has about
-    ten lengths per factor of ten, so this is bounded by the longest item, not by their number."""
+    eight lengths per factor of ten, so this is bounded by the longest item, not by their number."""
     # The bitmap functions count from 1.
     parts = F.col("key").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) + 1
     rows = (
@@ -149,30 +161,30 @@ def _document_windows(known):
                 w = hasher.words(texts[lo:hi])
                 if not len(w.hashes):
                     continue
-                counts = word_bits(w.hashes)
                 doc = np.repeat(np.arange(hi - lo), w.counts)
                 place = np.arange(len(doc)) - w.first[doc]
                 left = w.first[doc + 1] - np.arange(len(doc))
+                sums: dict[bool, dict[int, np.ndarray]] = {}
                 out = []
                 for length in lengths:
                     at = np.flatnonzero((left >= length) & ((place % (1 if length <= SHORT else STRIDE)) == 0))
                     if not len(at):
                         continue
-                    prints = fingerprints(counts, at, length)
+                    if (length > 1) not in sums:
+                        sums[length > 1] = run_sums(feature_bits(w.hashes, length), lengths[-1] if length > 1 else 1)
+                    prints = fingerprints(sums[length > 1], at, length)
                     values = block_values(prints)
-                    hit = np.zeros(values.shape, bool)
-                    for b in range(BLOCKS):
-                        if (length, b) in maps:
-                            v = values[:, b]
-                            hit[:, b] = maps[length, b][v >> 3] >> (v & 7).astype(np.uint8) & 1
-                    for i in np.flatnonzero(hit.any(1)):
+                    hit = np.stack([maps[length, b][values[:, b] >> 3] >> (values[:, b] & 7).astype(np.uint8) & 1
+                                    for b in range(BLOCKS)], axis=1)
+                    for i in np.flatnonzero(hit.sum(1) >= AGREE):
                         p, d = at[i], doc[at[i]]
                         reach = _longest_item(length)
                         a = max(w.first[d], p - reach)
                         z = min(w.first[d + 1], p + length + reach)
                         keys = _key(length, values[i])
                         row = (prints[i].tobytes(), int(place[p]), int(a - w.first[d]), _small(w.hashes[a:z]))
-                        out += [(ids[lo + d], int(keys[b]), *row) for b in np.flatnonzero(hit[i])]
+                        # All but one of the blocks: one of any two that agree is among them.
+                        out += [(ids[lo + d], int(keys[b]), *row) for b in np.flatnonzero(hit[i])[AGREE - 1:]]
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
