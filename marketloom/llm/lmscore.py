@@ -122,7 +122,7 @@ def _chunk_rows(hasher, count, keys, totals, words, bits, turn, texts, ids, mark
     rest = (count[slot] - own[back]).astype(np.float64)  # the word outside the document
     others = np.log(np.maximum(words - n, 1).astype(np.float64))[doc]
     alone = np.where(rest > 0, np.log(np.maximum(rest, 1)), math.log(ALPHA)) - others
-    score = np.bincount(doc, alone + math.log(ALPHA), len(n))
+    score = np.bincount(doc, alone + math.log(ALPHA), len(n)).astype(np.float64)
     score[n > 0] -= math.log(ALPHA)  # a first word has no pair to back off from
     at, h = pairs_of(w)
     order = np.lexsort((doc[at], h))
