@@ -181,7 +181,8 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     links = []
     for depth in range(1, DEPTH + 1):
         rows = stored(rows, "paths")
-        met = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1")
+        met = stored(rows.groupBy("path").agg(
+            F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1"), "met")
         met = stored(rows.join(met, "path"), "met")
         leaves = met.filter(F.col("n") <= SMALL_NODE).join(sets.select("node", "sketch"), "node")
         links.append(stored(
@@ -274,7 +275,8 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, block_shingles: int = BL
     blocks = groups.groupBy("grp").agg(F.ceil(F.sum("n_shingles") / block_shingles).cast("int").alias("n_blocks"))
     placed = stored(groups.join(blocks, "grp").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")), "placed")
-    rows = docs.select("doc_id", "text").join(
+    # Texts are always dealt by id, never joined with a broadcast of the groups.
+    rows = docs.select("doc_id", "text").hint("merge").join(
         placed.withColumnRenamed("rep", "_rep"), F.col("doc_id").eqNullSafe(F.col("_rep"))).select(
         "grp", "block", "n_blocks", F.lit(False).alias("pivot"), "node", "text")
     if placed.filter("n_blocks > 1").isEmpty():
