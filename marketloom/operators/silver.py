@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions.exprs import clean_text, is_anomaly, is_clean, with_flags
-from marketloom.specs import TABLES, TableSpec, bronze_schema, silver_schema, silver_tables
-from marketloom.warehouse import Warehouse
+from marketloom.specs import TABLES, TableSpec, silver_tables
+from marketloom.warehouse import ANOMALIES, Warehouse
 
 
 def _typed(spec: TableSpec, wrap=lambda c: c) -> list:
@@ -58,26 +58,11 @@ def store_silver(wh: Warehouse, df: DataFrame, spec: TableSpec, strict: bool = F
 
 
 def read_clean(wh: Warehouse, table: str) -> DataFrame:
-    spec = TABLES[table]
-    return _stored(wh, spec).filter(~F.col("is_anomaly")).select(*spec.columns)
+    return wh.read("silver", TABLES[table].silver_name)
 
 
 def read_anomalies(wh: Warehouse, table: str) -> DataFrame:
-    spec = TABLES[table]
-    rejected = _stored(wh, spec).filter(F.col("is_anomaly"))
-    return rejected.select(*[F.col(f"raw.{c}").alias(c) for c in spec.columns], "anomaly_reasons")
-
-
-def _stored(wh: Warehouse, spec: TableSpec) -> DataFrame:
-    schema = T.StructType(
-        silver_schema(spec.name).fields
-        + [
-            T.StructField("raw", bronze_schema(spec.name)),
-            T.StructField("anomaly_reasons", T.ArrayType(T.StringType())),
-            T.StructField("is_anomaly", T.BooleanType()),
-        ]
-    )
-    return wh.spark.read.schema(schema).parquet(wh.snapshot_path("silver", spec.silver_name))
+    return wh.read("silver", TABLES[table].silver_name + ANOMALIES)
 
 
 def anomaly_summary(flagged: dict[str, DataFrame]) -> DataFrame:
@@ -111,6 +96,13 @@ def anomaly_summary(flagged: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def store_all_silver(wh: Warehouse, tables: list[str] | None = None) -> None:
-    for table in tables or silver_tables():
-        store_silver(wh, wh.read("bronze", table), TABLES[table])
+def stored_summary(wh: Warehouse, tables: list[str] | None = None) -> DataFrame:
+    """Anomaly summary of the stored Silver tables; the reasons are read, not computed again."""
+    return anomaly_summary({
+        TABLES[t].silver_name: stored_reasons(wh, t) for t in tables or silver_tables()})
+
+
+def stored_reasons(wh: Warehouse, table: str) -> DataFrame:
+    """``anomaly_reasons`` of every stored row, clean ones included."""
+    return wh.spark.read.schema("anomaly_reasons array<string>").parquet(
+        wh.snapshot_path("silver", TABLES[table].silver_name))

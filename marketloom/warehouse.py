@@ -1,17 +1,26 @@
 """Layered Parquet warehouse: <root>/<layer>/<name>/<snapshot>.
 
-A table is replaced by writing a new snapshot folder and then switching the ``CURRENT`` pointer,
-so readers see either the old or the new table and a job may read the table it replaces. No data
-is renamed or copied, which matters on object stores.
+A table is replaced by writing a new snapshot folder and then renaming a new pointer file over
+``CURRENT``, so readers see either the old or the new table and a job may read the table it
+replaces. The pointer lists the snapshots, newest first; only snapshots that fell off the end of
+that list are deleted, so a folder still being written, or written by another writer, is never
+touched and no clock is trusted. No data is renamed or copied.
+
+A Silver table holds clean and rejected rows in the same files. ``dim_item`` names the clean rows,
+``dim_item__anomalies`` the rejected ones with their raw text and reasons.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from marketloom.specs import SILVER_NAMES, bronze_schema, silver_schema
+
+ANOMALIES = "__anomalies"
 LAYERS = ("bronze", "silver", "gold", "graph", "ops")
 
 
@@ -28,13 +37,20 @@ class Warehouse:
     def snapshot_path(self, layer: str, name: str) -> str:
         """Folder of the current snapshot."""
         base = self.path(layer, name)
+        names = self._snapshots(base)
+        if not names:
+            raise FileNotFoundError(f"no table {layer}.{name} in {self.root}")
+        return f"{base}/{names[0]}"
+
+    def _snapshots(self, base: str) -> list[str]:
+        """Snapshots of a table by its pointer, newest first."""
         pointer = self.hpath(f"{base}/CURRENT")
         fs = self.fs(pointer)
         if not fs.exists(pointer):
-            raise FileNotFoundError(f"no table {layer}.{name} in {self.root}")
+            return []
         stream = fs.open(pointer)
         try:
-            return f"{base}/{bytes(stream.readNBytes(256)).decode().strip()}"
+            return bytes(stream.readAllBytes()).decode().split()
         finally:
             stream.close()
 
@@ -48,31 +64,47 @@ class Warehouse:
         if not fs.exists(folder):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(n for n in names if self.exists(layer, n))
+        names = [n for n in names if self.exists(layer, n)]
+        return sorted(names + [n + ANOMALIES for n in names if self._is_split(layer, n)])
+
+    def _is_split(self, layer: str, name: str) -> bool:
+        """Whether the table holds clean and rejected rows."""
+        return layer == "silver" and name in SILVER_NAMES
 
     # -- data ----------------------------------------------------------------------------------
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.snapshot_path(layer, name))
-
-    def write(self, df: DataFrame, layer: str, name: str, partition_by=(), sort_within=()) -> str:
+        table = name.removesuffix(ANOMALIES)
+        if not self._is_split(layer, table):
+            return self.spark.read.parquet(self.snapshot_path(layer, name))
+        raw, clean = SILVER_NAMES[table], silver_schema(SILVER_NAMES[table])
+        schema = T.StructType([
+            *clean.fields, T.StructField("raw", bronze_schema(raw)),
+            T.StructField("anomaly_reasons", T.ArrayType(T.StringType())), T.StructField("is_anomaly", T.BooleanType())])
+        rows = self.spark.read.schema(schema).parquet(self.snapshot_path(layer, table))
+        if table == name:
+            return rows.filter(~F.col("is_anomaly")).select(*clean.names)
+        return rows.filter(F.col("is_anomaly")).select("raw.*", "anomaly_reasons")
+
+    def write(self, df: DataFrame, layer: str, name: str, partition_by=()) -> str:
         """Replace a whole table."""
         base = self.path(layer, name)
-        snapshot = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-        if sort_within:  # clusters rows inside each file: row groups can be skipped
-            df = df.sortWithinPartitions(*sort_within)
+        snapshot = f"v-{uuid.uuid4().hex}"
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{base}/{snapshot}")
-        self._point(base, snapshot)
-        self._drop_old(base)
+        try:
+            writer.parquet(f"{base}/{snapshot}")
+        except Exception:
+            self._delete(f"{base}/{snapshot}")
+            raise
+        self._switch(base, snapshot)
         return f"{base}/{snapshot}"
 
     def append(self, df: DataFrame, layer: str, name: str) -> None:
         """Add rows to a log-like table."""
         base = self.path(layer, name)
         if not self.exists(layer, name):
-            self._point(base, "log")
+            self._point(base, ["log"])
         df.write.mode("append").parquet(f"{base}/log")
 
     def register_views(self, *layers: str) -> list[str]:
@@ -96,17 +128,28 @@ class Warehouse:
         fs = self.fs(p)
         return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
-    def _point(self, base: str, snapshot: str) -> None:
-        pointer = self.hpath(f"{base}/CURRENT")
-        stream = self.fs(pointer).create(pointer, True)
+    def _switch(self, base: str, snapshot: str) -> None:
+        names = [snapshot, *(n for n in self._snapshots(base) if n != snapshot)]
+        self._point(base, names[:self.keep])
+        for name in names[self.keep:]:
+            self._delete(f"{base}/{name}")
+
+    def _point(self, base: str, names: list[str]) -> None:
+        """Rename a new pointer over the old one: a reader finds one of them, whole."""
+        new, pointer = self.hpath(f"{base}/.CURRENT-{uuid.uuid4().hex}"), self.hpath(f"{base}/CURRENT")
+        stream = self.fs(new).create(new, False)
         try:
-            stream.write(bytearray(snapshot.encode()))
+            stream.write(bytearray("\n".join(names).encode()))
         finally:
             stream.close()
-
-    def _drop_old(self, base: str) -> None:
-        folder = self.hpath(base)
-        fs = self.fs(folder)
-        names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
-        for name in [n for n in names if n.startswith("v")][: -self.keep]:
-            fs.delete(self.hpath(f"{base}/{name}"), True)
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        overwrite = gateway.new_array(rename, 1)
+        overwrite[0] = rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self.fs(pointer).makeQualified(pointer).toUri(), self.spark._jsc.hadoopConfiguration()
+        ).rename(self.fs(new).makeQualified(new), self.fs(pointer).makeQualified(pointer), overwrite)
+
+    def _delete(self, path: str) -> None:
+        p = self.hpath(path)
+        self.fs(p).delete(p, True)
