@@ -22,7 +22,7 @@ EDGE_KINDS = ("fk", "aggregate")
 
 @dataclass(frozen=True)
 class Check:
-    kind: str  # not_null, unique, accepted_values or foreign_key
+    kind: str  # not_null, unique, accepted_values, foreign_key or key_range
     layer: str
     table: str
     columns: tuple[str, ...]
@@ -31,6 +31,8 @@ class Check:
 
     @property
     def name(self) -> str:
+        if self.kind == "key_range":
+            return f"{self.kind}_{self.layer}_{self.table}"
         return f"{self.kind}_{self.layer}_{self.table}_{'_'.join(self.columns)}"
 
 
@@ -67,10 +69,27 @@ def foreign_key(df: DataFrame, column: str, parent: DataFrame, key: str) -> Data
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
 
 
+def key_failures(df: DataFrame, column: str) -> DataFrame:
+    """(kind, failures) of not_null and unique of one column, from one count per value."""
+    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    null = F.col(column).isNull()
+    found = counted.agg(
+        F.coalesce(F.sum(F.when(null, F.col("_n"))), F.lit(0)).alias("not_null"),
+        F.count_if(~null & (F.col("_n") > 1)).alias("unique"))
+    return found.unpivot([], ["not_null", "unique"], "kind", "failures")
+
+
+def key_range(rejected: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: rejected rows with a key that has the right form and doesn't fit its type."""
+    reasons = F.array(*[F.lit(f"{c}:out_of_range") for c in columns])
+    return rejected.agg(F.count_if(F.arrays_overlap("anomaly_reasons", reasons)).alias("failures"))
+
+
 def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
     """One row per check: test_name, status, failures, message.
 
-    All not_null checks of a table share one pass.
+    The not_null and unique checks of one column share a pass, and so do other not_null checks of a
+    table.
     """
     parts: list[DataFrame] = []
     by_table: dict[tuple[str, str], list[Check]] = {}
@@ -78,6 +97,13 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
         by_table.setdefault((check.layer, check.table), []).append(check)
     for (layer, table), checks in by_table.items():
         df = frames(layer, table)
+        keys = {c.columns for c in checks if c.kind == "unique" and len(c.columns) == 1}
+        keys &= {c.columns for c in checks if c.kind == "not_null"}
+        for columns in sorted(keys):
+            both = {c.kind: c for c in checks if c.columns == columns and c.kind in ("not_null", "unique")}
+            names = F.create_map(*[F.lit(x) for kind, c in both.items() for x in (kind, c.name)])
+            parts.append(key_failures(df, columns[0]).select(names[F.col("kind")].alias("test_name"), "failures"))
+        checks = [c for c in checks if c.columns not in keys or c.kind not in ("not_null", "unique")]
         nulls = [c for c in checks if c.kind == "not_null"]
         if nulls:
             names = F.create_map(*[F.lit(x) for c in nulls for x in (c.columns[0], c.name)])
@@ -91,6 +117,8 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
                 one = accepted_values(df, c.columns[0], c.values)
             elif c.kind == "foreign_key":
                 one = foreign_key(df, c.columns[0], frames(*c.parent[:2]), c.parent[2])
+            elif c.kind == "key_range":
+                one = key_range(df, c.columns)
             elif c.kind == "not_null":
                 continue
             else:
@@ -117,6 +145,14 @@ def table_suite(layer: str, table: str) -> list[Check]:
     return key_checks(layer, name, spec.pk) if spec.pk else []
 
 
+def range_suite(table: str) -> list[Check]:
+    """Keys and order numbers of a Silver table must fit their integer type: rows rejected for
+    that would silently leave every mart."""
+    spec = TABLES[table]
+    keys = tuple(c for c in spec.columns if c.endswith(("_sk", "_order_number", "_ticket_number")))
+    return [Check("key_range", "silver", f"{spec.silver_name}__anomalies", keys)]
+
+
 def gold_suite() -> list[Check]:
     return [
         Check("not_null", "gold", "mart_sales_performance", ("channel",)),

@@ -5,30 +5,29 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import groupby
+from threading import Lock
 
 from pyspark.sql import DataFrame
 
-from marketloom.operators.quality import Check, gold_suite, run_checks, table_suite
+from marketloom.operators.quality import Check, gold_suite, graph_suite, ops_suite, range_suite, run_checks, table_suite
 from marketloom.operators.silver import read_clean, store_silver
 from marketloom.operators.unify import CHANNELS, unify_returns, unify_sales
 from marketloom.plans import marts
 from marketloom.plans.graph import build_graph, load_ontology
-from marketloom.plans.ops import RunLog
+from marketloom.plans.ops import RunLog, ops_tables
 from marketloom.sources.bronze import load_bronze, tables_loaded
 from marketloom.specs import TABLES, silver_tables
 from marketloom.warehouse import Warehouse
 
 
 def silver_frame(wh: Warehouse, name: str) -> DataFrame:
-    """Silver table by its Silver name: validated tables and unified facts alike."""
-    for prefix in ("dim_", "fact_"):
-        if name.startswith(prefix):
-            return read_clean(wh, name.removeprefix(prefix))
+    """Silver table by its Silver name: validated tables, rejected rows and unified facts alike."""
     return wh.read("silver", name)
 
 
 def layer_frame(wh: Warehouse, layer: str, name: str) -> DataFrame:
-    return silver_frame(wh, name) if layer == "silver" else wh.read(layer, name)
+    return wh.read(layer, name)
 
 
 def write_sales(wh: Warehouse) -> None:
@@ -65,6 +64,7 @@ class Node:
     """A table of the run: how it is made, what it needs, what is checked afterwards."""
 
     name: str
+    layer: str
     make: object
     needs: tuple[str, ...] = ()
     before: tuple[Check, ...] = ()
@@ -77,14 +77,14 @@ def nodes_of_run(wh: Warehouse) -> list[list[Node]]:
         return lambda: store_silver(wh, wh.read("bronze", t), TABLES[t])
 
     first = [
-        Node(TABLES[t].silver_name, silver(t), before=tuple(table_suite("bronze", t)),
-             after=tuple(table_suite("silver", t)))
+        Node(TABLES[t].silver_name, "silver", silver(t), before=tuple(table_suite("bronze", t)),
+             after=(*table_suite("silver", t), *range_suite(t)))
         for t in silver_tables()
     ]
     facts = {k: tuple(f"fact_{ch}_{k}" for ch in CHANNELS) for k in ("sales", "returns")}
     second = [
-        Node("int_sales_unified", lambda: write_sales(wh), facts["sales"]),
-        Node("int_returns_unified", lambda: write_returns(wh), facts["returns"]),
+        Node("int_sales_unified", "silver", lambda: write_sales(wh), facts["sales"]),
+        Node("int_returns_unified", "silver", lambda: write_returns(wh), facts["returns"]),
     ]
     both = ("int_sales_unified", "int_returns_unified")
     needs = {
@@ -95,7 +95,7 @@ def nodes_of_run(wh: Warehouse) -> list[list[Node]]:
         "mart_product_analytics": (*both, "dim_item"),
     }
     third = [
-        Node(m, lambda m=m: wh.write(gold_frame(wh, m), "gold", m), n,
+        Node(m, "gold", lambda m=m: wh.write(gold_frame(wh, m), "gold", m), n,
              after=tuple(c for c in gold_suite() if c.table == m))
         for m, n in needs.items()
     ]
@@ -118,69 +118,102 @@ class Outcome:
 
 def run_daily(wh: Warehouse, raw_folder: str, threads: int = 4) -> Outcome:
     """Full refresh. A failed load ends the run; a failed table or check skips what depends on
-    it and fails the run. Rejected rows do not fail it."""
+    it and fails the run. Rejected rows do not fail it, unless a key was out of range. Whatever
+    goes wrong, the run is closed in the log with all that was recorded."""
     log = RunLog(wh)
-    out = Outcome(log.start(), "failed")
-    stats = load_bronze(wh, raw_folder)
-    log.stats(stats)
-    rows = sum(s.rows_loaded for s in stats)
-    loaded = tables_loaded(stats, in_daily_run=True)
-    if stats[-1].status == "failed":
-        out.message = f"load failed at {stats[-1].table_name}: {stats[-1].error_message}"
-        log.end("failed", loaded, rows, out.message)
-        return out
-    for stage in nodes_of_run(wh):
-        with ThreadPoolExecutor(threads) as pool:  # independent tables share the cluster
-            list(pool.map(lambda n: _run_node(wh, log, out, n), stage))
-    out.status = "success" if out.failed == 0 else "failed"
-    out.message = None if out.failed == 0 else f"{out.failed} node(s) or check(s) failed"
-    log.end(out.status, loaded, rows, out.message)
-    return out
-
-
-def _run_node(wh: Warehouse, log: RunLog, out: Outcome, node: Node) -> None:
-    if out.blocked & set(node.needs) or not _run_checks(wh, log, out, node.before):
-        out.blocked.add(node.name)
-        _record(log, out, node.name, "model", "skipped", 0.0)
-        return
-    clock = time.perf_counter()
+    run = _Run(wh, log, Outcome(log.start(), "failed"))
+    out, loaded, rows = run.out, 0, 0
     try:
-        node.make()
-        _record(log, out, node.name, "model", "success", time.perf_counter() - clock)
-    except Exception as exc:  # recorded; dependants are skipped
-        out.blocked.add(node.name)
-        _record(log, out, node.name, "model", "error", time.perf_counter() - clock, message=str(exc)[:4000])
-        return
-    if not _run_checks(wh, log, out, node.after):
-        out.blocked.add(node.name)
-
-
-def _run_checks(wh: Warehouse, log: RunLog, out: Outcome, checks: tuple[Check, ...]) -> bool:
-    if not checks:
-        return True
-    clock = time.perf_counter()
-    rows = run_checks(lambda layer, t: layer_frame(wh, layer, t), checks).collect()  # one per check
-    each = (time.perf_counter() - clock) / len(rows)
-    for r in rows:
-        _record(log, out, r["test_name"], "test", r["status"], each, r["failures"], r["message"])
-    return all(r["status"] == "pass" for r in rows)
-
-
-def _record(log, out, name, kind, status, seconds, failures=None, message=None) -> None:
-    log.result(name, status, failures, message)
-    log.node(name, kind, status, seconds)
-    out.passed += status in ("pass", "success")
-    out.failed += status in ("fail", "error", "runtime error")
+        stats = load_bronze(wh, raw_folder)
+        log.stats(stats)
+        rows = sum(s.rows_loaded for s in stats)
+        loaded = tables_loaded(stats, in_daily_run=True)
+        if stats[-1].status == "failed":
+            out.message = f"load failed at {stats[-1].table_name}: {stats[-1].error_message}"
+            return out
+        for stage in nodes_of_run(wh):
+            with ThreadPoolExecutor(threads) as pool:  # independent tables share the cluster
+                list(pool.map(run.node, stage))
+        log.flush()  # the log's own tables are checked as they stand now
+        run.checks(tuple(ops_suite()))
+        out.status = "success" if out.failed == 0 else "failed"
+        out.message = None if out.failed == 0 else f"{out.failed} node(s) or check(s) failed"
+        return out
+    except Exception as exc:
+        out.status, out.message = "failed", f"{type(exc).__name__}: {exc}"
+        return out
+    finally:
+        log.end(out.status, loaded, rows, out.message)
+
+
+class _Run:
+    """Builds and checks the tables of one run; several threads share it."""
+
+    def __init__(self, wh: Warehouse, log: RunLog, out: Outcome):
+        self.wh, self.log, self.out, self._lock = wh, log, out, Lock()
+
+    def node(self, node: Node) -> None:
+        if self.out.blocked & set(node.needs) or not self.checks(node.before):
+            self._block(node)
+            self._record(node.name, "model", "skipped", 0.0)
+            return
+        clock = time.perf_counter()
+        try:
+            node.make()
+            seconds = time.perf_counter() - clock
+            rows = layer_frame(self.wh, node.layer, node.name).count()  # from the Parquet footers
+        except Exception as exc:  # recorded; dependants are skipped
+            self._block(node)
+            self._record(node.name, "model", "error", time.perf_counter() - clock, message=str(exc))
+            return
+        self._record(node.name, "model", "success", seconds, rows=rows)
+        if not self.checks(node.after):
+            self._block(node)
+
+    def checks(self, checks: tuple[Check, ...]) -> bool:
+        """Runs checks table by table; the seconds of a check are those of the pass that answers
+        it. A check that raises is an error, and counts as failed."""
+        good = True
+        for (layer, table), group in groupby(checks, lambda c: (c.layer, c.table)):
+            group, clock = list(group), time.perf_counter()
+            try:
+                rows = run_checks(lambda x, t: self._frame(x, t), group).collect()  # one per check
+                found = [(r["test_name"], r["status"], r["failures"], r["message"]) for r in rows]
+            except Exception as exc:
+                found = [(c.name, "error", None, f"{type(exc).__name__}: {exc}") for c in group]
+            seconds = time.perf_counter() - clock
+            for name, status, failures, message in found:
+                self._record(name, "test", status, seconds, failures, message)
+                good &= status == "pass"
+        return good
+
+    def _frame(self, layer: str, table: str) -> DataFrame:
+        return ops_tables(self.wh)[table] if layer == "ops" else layer_frame(self.wh, layer, table)
+
+    def _block(self, node: Node) -> None:
+        with self._lock:
+            self.out.blocked.add(node.name)
+
+    def _record(self, name, kind, status, seconds, failures=None, message=None, rows=None) -> None:
+        self.log.result(name, status, failures, message)
+        self.log.node(name, kind, status, seconds, rows)
+        with self._lock:
+            self.out.passed += status in ("pass", "success")
+            self.out.failed += status in ("fail", "error", "runtime error")
 
 
 def refresh_graph(wh: Warehouse, upsert: bool = True) -> dict:
-    """Build the graph from stored Silver and log the build."""
+    """Build the graph from stored Silver, check its keys and log the build. A graph that fails a
+    check is stored, and the run is logged as failed and raises."""
     log = RunLog(wh, "graph")
     log.start()
     try:
         counts = build_graph(wh, load_ontology(), lambda t: silver_frame(wh, t), upsert=upsert)
+        bad = [r for r in run_checks(lambda layer, t: wh.read(layer, t), graph_suite()).collect() if r["status"] != "pass"]
+        if bad:
+            raise ValueError("; ".join(f"{r['test_name']}: {r['message']}" for r in bad))
     except Exception as exc:
-        log.end("failed", 0, 0, f"{type(exc).__name__}: {exc}"[:4000])
+        log.end("failed", 0, 0, f"{type(exc).__name__}: {exc}")
         raise
     nodes, edges = (sum(n for (k, _), n in counts.items() if k == kind) for kind in ("node", "edge"))
     log.end("success", nodes, edges)

@@ -20,6 +20,7 @@ from marketloom.specs import TABLES
 from marketloom.warehouse import Warehouse
 
 SK_BITS = 40  # node id: class id above, source key below
+SK_SHIFT = 1 << 31  # added to the key, so that negative keys keep to their class
 NODE_COLUMNS = ("node_id", "class_name", "source_sk", "natural_id", "label", "properties")
 EDGE_COLUMNS = ("from_node_id", "to_node_id", "relationship_name", "properties")
 Ontology = Mapping[str, Mapping[str, dict]]
@@ -33,13 +34,13 @@ def load_ontology(path: str | Path | None = None) -> Ontology:
 def ontology_tables(spark: SparkSession, onto: Ontology) -> tuple[DataFrame, DataFrame]:
     """Class and relationship metadata as tables, keyed by class_name and name."""
     classes = spark.createDataFrame(
-        [(n, c["about"], TABLES[c["table"]].silver_name, c["key"], c.get("natural"),
-          c.get("label"), json.dumps(c.get("props", {}))) for n, c in onto["classes"].items()],
+        [(n, c["description"], TABLES[c["source_table"]].silver_name, c["surrogate_key"], c.get("natural_key"),
+          c.get("label_expr"), json.dumps(c.get("properties", {}))) for n, c in onto["classes"].items()],
         "class_name string, description string, source_table string, surrogate_key string, "
         "natural_key string, label_expr string, properties string",
     )
     relationships = spark.createDataFrame(
-        [(n, r["about"], r["from"], r["to"], r["kind"], json.dumps(r))
+        [(n, r["description"], r["from"], r["to"], r["kind"], json.dumps(r))
          for n, r in onto["relationships"].items()],
         "name string, description string, from_class string, to_class string, kind string, "
         "definition string",
@@ -50,7 +51,7 @@ def ontology_tables(spark: SparkSession, onto: Ontology) -> tuple[DataFrame, Dat
 # -- identity -------------------------------------------------------------------------------------
 def node_id(onto: Ontology, class_name: str, sk: Column) -> Column:
     """Stable id: the same source row has the same id in every build."""
-    return F.lit(onto["classes"][class_name]["id"] << SK_BITS).cast("bigint") + sk.cast("bigint")
+    return F.lit(onto["classes"][class_name]["id"] << SK_BITS).cast("bigint") + sk.cast("bigint") + F.lit(SK_SHIFT).cast("bigint")
 
 
 def class_id_of(node: Column) -> Column:
@@ -58,7 +59,7 @@ def class_id_of(node: Column) -> Column:
 
 
 def sk_of(node: Column) -> Column:
-    return node.bitwiseAND(F.lit((1 << SK_BITS) - 1))
+    return node.bitwiseAND(F.lit((1 << SK_BITS) - 1)) - F.lit(SK_SHIFT).cast("bigint")
 
 
 def class_name_of(onto: Ontology, node: Column) -> Column:
@@ -69,26 +70,27 @@ def class_name_of(onto: Ontology, node: Column) -> Column:
 
 # -- build ------------------------------------------------------------------------------------------
 def label_expr(spec: Mapping) -> Column:
-    return F.expr(spec["label"]) if spec.get("label") else F.col(spec["key"]).cast("string")
+    return F.expr(spec["label_expr"]) if spec.get("label_expr") else F.col(spec["surrogate_key"]).cast("string")
 
 
 def class_nodes(onto: Ontology, class_name: str, source: DataFrame) -> DataFrame:
     spec = onto["classes"][class_name]
-    natural = F.col(spec["natural"]).cast("string") if spec.get("natural") else F.lit(None).cast("string")
-    return where_not_null(source, spec["key"]).select(
-        node_id(onto, class_name, F.col(spec["key"])).alias("node_id"),
+    key = spec["surrogate_key"]
+    natural = F.col(spec["natural_key"]).cast("string") if spec.get("natural_key") else F.lit(None).cast("string")
+    return where_not_null(source, key).select(
+        node_id(onto, class_name, F.col(key)).alias("node_id"),
         F.lit(class_name).alias("class_name"),
-        F.col(spec["key"]).cast("bigint").alias("source_sk"),
+        F.col(key).cast("bigint").alias("source_sk"),
         natural.alias("natural_id"),
         label_expr(spec).alias("label"),
-        props_json(spec.get("props", {})).alias("properties"),
+        props_json(spec.get("properties", {})).alias("properties"),
     )
 
 
 def build_nodes(onto: Ontology, tables: Tables) -> DataFrame:
     """One node per row of every class's source table."""
     parts = [
-        class_nodes(onto, n, tables(TABLES[c["table"]].silver_name)) for n, c in onto["classes"].items()
+        class_nodes(onto, n, tables(TABLES[c["source_table"]].silver_name)) for n, c in onto["classes"].items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -107,12 +109,17 @@ def resolve_ends(df: DataFrame, nodes: DataFrame, from_class: str, to_class: str
 
 
 def fk_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One edge per pair of origin and target, however often the pair stands in the source. The
+    origin is a row of the node's own table and becomes its node id without a lookup; only the
+    target is looked up."""
     rel = onto["relationships"][name]
-    key = onto["classes"][rel["from"]]["key"]
-    pairs = where_not_null(source, rel["column"]).select(
-        F.col(key).cast("bigint").alias("from_sk"), F.col(rel["column"]).cast("bigint").alias("to_sk")
-    )
-    return resolve_ends(pairs, nodes, rel["from"], rel["to"]).select(
+    key = onto["classes"][rel["from"]]["surrogate_key"]
+    pairs = where_not_null(source, key, rel["column"]).select(
+        node_id(onto, rel["from"], F.col(key)).alias("from_node_id"),
+        node_id(onto, rel["to"], F.col(rel["column"])).alias("to_node_id"),
+    ).distinct()
+    targets = nodes.filter(F.col("class_name") == rel["to"]).select(F.col("node_id").alias("to_node_id"))
+    return pairs.join(targets, "to_node_id", "left_semi").select(
         "from_node_id", "to_node_id", F.lit(name).alias("relationship_name"),
         F.lit("{}").alias("properties"),
     )
@@ -136,7 +143,7 @@ def aggregate_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFra
 def relationship_edges(onto: Ontology, name: str, tables: Tables, nodes: DataFrame) -> DataFrame:
     rel = onto["relationships"][name]
     if rel["kind"] == "fk":
-        table = onto["classes"][rel["from"]]["table"]
+        table = onto["classes"][rel["from"]]["source_table"]
         return fk_edges(onto, name, tables(TABLES[table].silver_name), nodes)
     if rel["kind"] == "aggregate":
         return aggregate_edges(onto, name, tables(rel["source"]), nodes)
@@ -161,6 +168,8 @@ def build_graph(wh: Warehouse, onto: Ontology, tables: Tables, upsert: bool = Fa
     if upsert and wh.exists("graph", "edge"):
         edges = merge_edges(wh.read("graph", "edge"), edges, onto)
     wh.write(edges.select(*EDGE_COLUMNS), "graph", "edge", partition_by=["relationship_name"])
+    for table, frame in zip(("ontology_class", "ontology_relationship"), ontology_tables(wh.spark, onto), strict=True):
+        wh.write(frame.coalesce(1), "graph", table)
     counts = graph_counts(wh.read("graph", "node"), wh.read("graph", "edge")).collect()
     return {(r["kind"], r["name"]): r["n"] for r in counts}  # a row per class and relationship
 
@@ -226,7 +235,7 @@ def top_customers(nodes: DataFrame, edges: DataFrame, n: int = 5) -> DataFrame:
     totals = sum_prop(edges, "PURCHASED", "net_paid", "total_net_paid")
     best = top_n(totals, [F.col("total_net_paid").desc_nulls_last(), F.col("node_id").asc()], n)
     names = nodes.filter(F.col("class_name") == "Customer").select("node_id", "label")
-    return names.join(F.broadcast(best), "node_id").select(  # best has at most n rows
+    return names.join(best, "node_id").select(
         "node_id", F.col("label").alias("customer_name"), "total_net_paid"
     )
 
@@ -244,10 +253,10 @@ def sample_nodes(edges: DataFrame, onto: Ontology, top: int = 200) -> DataFrame:
     totals = sum_prop(edges, "PURCHASED", "net_paid", "total").filter(
         class_id_of(F.col("node_id")) == onto["classes"]["Customer"]["id"]
     )
-    seed = top_n(totals, [F.col("total").desc_nulls_last(), F.col("node_id").asc()], top).select("node_id")
-    one = hop_out(seed, edges)
-    two = hop_out(one, edges)
-    return seed.union(one).union(two).distinct()
+    # Each set is computed once: the hops and what restricts nodes and edges read it again.
+    seed = checkpointed(top_n(totals, [F.col("total").desc_nulls_last(), F.col("node_id").asc()], top).select("node_id"))
+    one = checkpointed(hop_out(seed, edges))
+    return checkpointed(seed.union(one).union(hop_out(one, edges)).distinct())
 
 
 def restrict(nodes: DataFrame, edges: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -342,8 +351,8 @@ def _plain(dtype: T.DataType) -> str:
 def flatten_nodes(onto: Ontology, nodes: DataFrame, class_name: str) -> DataFrame:
     """Nodes of a class with one column per property; a property named like a base column wins."""
     spec = onto["classes"][class_name]
-    types = TABLES[spec["table"]].types
-    fields = {p: _plain(types[c]) for p, c in spec.get("props", {}).items()}
+    types = TABLES[spec["source_table"]].types
+    fields = {p: _plain(types[c]) for p, c in spec.get("properties", {}).items()}
     parsed = nodes.filter(F.col("class_name") == class_name).withColumn(
         "_p", F.from_json("properties", ", ".join(f"`{p}` {t}" for p, t in fields.items()))
     )
@@ -370,9 +379,9 @@ def export_label(name: str) -> str:
 
 def export_graph(
     nodes: DataFrame, edges: DataFrame, onto: Ontology, path: str, mode: str = "sample",
-    top: int = 200, node_batch: int = 2000, edge_batch: int = 5000,
+    top: int = 200, node_batch: int = 0, edge_batch: int = 0,
 ) -> DataFrame:
-    """Write JSON lines per class and relationship in files of bounded length.
+    """Write JSON lines per class and relationship; a batch above 0 bounds the lines of a file.
 
     ``mode`` is "sample" (top customers and two hops out) or "full". Returns the counts read
     back from the files.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime, timezone
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from marketloom.functions.exprs import at_least_zero, duration_s
 from marketloom.operators.joins import with_scalar
 from marketloom.operators.rank import top_n
 from marketloom.sources.sinks import last_per_key, latest_events
-from marketloom.warehouse import Warehouse
+from marketloom.warehouse import ANOMALIES, Warehouse
 
+# --- fixed values: columns of the log tables ---------------------------------------------------------
 RUNS = (
     "run_id bigint, seq bigint, started_at timestamp, ended_at timestamp, status string, "
     "tables_loaded int, rows_loaded bigint, error_message string"
@@ -35,6 +37,7 @@ TIMINGS = (
     "run_id bigint, seq bigint, node_id string, node_type string, status string, "
     "execution_time_s double, rows_affected bigint"
 )
+# --- end of fixed values -----------------------------------------------------------------------------
 
 
 class RunLog:
@@ -46,6 +49,7 @@ class RunLog:
         self.schema = RUNS if kind == "ingest" else GRAPH_RUNS
         self.run_id = time.time_ns() // 1000
         self._stats, self._results, self._timings = [], [], []
+        self._lock = Lock()  # tables of a run are built by several threads
 
     def _add(self, name: str, rows: list[tuple], schema: str) -> None:
         if rows:
@@ -64,11 +68,13 @@ class RunLog:
              s.duration_s, s.status, s.error_message) for s in rows]
 
     def result(self, test: str, status: str, failures: int | None = None, message: str | None = None) -> None:
-        self._results.append(
-            (self.run_id, datetime.now(timezone.utc), test, status, failures, message))
+        with self._lock:
+            self._results.append(
+                (self.run_id, datetime.now(timezone.utc), test, status, failures, message))
 
     def node(self, node: str, kind: str, status: str, seconds: float, rows: int | None = None) -> None:
-        self._timings.append((self.run_id, time.time_ns(), node, kind, status, float(seconds), rows))
+        with self._lock:
+            self._timings.append((self.run_id, time.time_ns(), node, kind, status, float(seconds), rows))
 
     def flush(self) -> None:
         """Write what was collected: one small file per log table and run."""
@@ -85,6 +91,13 @@ class RunLog:
                   self.schema)
 
 
+def load_stats_frame(spark: SparkSession, run_id: int, stats) -> DataFrame:
+    """A load's statistics as rows of the log table: one per table, so at most a few dozen."""
+    return spark.createDataFrame([
+        (run_id, s.table_name, s.started_at, s.ended_at, s.rows_loaded, s.bytes_loaded, s.duration_s, s.status,
+         s.error_message) for s in stats], STATS)
+
+
 def runs(wh: Warehouse, kind: str = "ingest") -> DataFrame:
     """Last state of every run."""
     return latest_events(wh.read("ops", "ingest_runs" if kind == "ingest" else "graph_runs"), "run_id", "seq")
@@ -151,7 +164,7 @@ def run_history(runs: DataFrame, timings: DataFrame, stats: DataFrame, n: int =
     """Wall, node and load seconds of the newest successful runs."""
     newest = top_n(runs.filter(F.col("status") == "success"), [F.col("run_id").desc()], n).select(
         "run_id", duration_s(F.col("started_at"), F.col("ended_at"), F.lit(None)).alias("wall_s"))
-    ids = F.broadcast(newest.select("run_id"))  # at most n rows
+    ids = newest.select("run_id")
 
     def seconds(df: DataFrame, column: str, alias: str) -> DataFrame:
         return df.join(ids, "run_id", "left_semi").groupBy("run_id").agg(F.sum(column).alias(alias))
@@ -165,20 +178,12 @@ def run_history(runs: DataFrame, timings: DataFrame, stats: DataFrame, n: int =
 
 # -- layer overviews ------------------------------------------------------------------------------------
 def layer_stats(wh: Warehouse, layer: str) -> DataFrame:
-    """Exact rows and stored bytes per table; a Silver table also lists its rejected rows as
-    ``<table>__anomalies``, whose bytes are part of the table. One row per table, so the result is
-    small by construction."""
-    parts = []
-    for name in wh.tables(layer):
-        path, df = wh.snapshot_path(layer, name), wh.read(layer, name)
-        halves = [("", None)]
-        if "is_anomaly" in df.columns:
-            halves = [("", False), ("__anomalies", True)]
-        for suffix, flag in halves:
-            part = df if flag is None else df.filter(F.col("is_anomaly") == flag)
-            size = 0 if flag else wh.size_bytes(path)
-            parts.append((f"{name}{suffix}", part, size))
-    return stats_of(wh.spark, parts)
+    """Exact rows and stored bytes per table; the bytes of a Silver table include its rejected rows,
+    whose own table ``<table>__anomalies`` shows 0. One row per table, so the result is small by
+    construction."""
+    return stats_of(wh.spark, [
+        (name, wh.read(layer, name), 0 if name.endswith(ANOMALIES) else wh.size_bytes(wh.snapshot_path(layer, name)))
+        for name in wh.tables(layer)])
 
 
 def stats_of(spark: SparkSession, parts: list[tuple[str, DataFrame, int]]) -> DataFrame:
@@ -193,7 +198,7 @@ def stats_of(spark: SparkSession, parts: list[tuple[str, DataFrame, int]]) -> Da
 
 def pair_anomalies(stats: DataFrame) -> DataFrame:
     """Tables next to the row count of their ``__anomalies`` table (0 without one)."""
-    mark = "__anomalies"
+    mark = ANOMALIES
     is_side = F.col("table_name").endswith(mark)
     sides = stats.filter(is_side).select(
         F.regexp_replace("table_name", f"{mark}$", "").alias("table_name"),

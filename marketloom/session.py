@@ -37,17 +37,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for a scan that has fewer splits than the cluster has cores.
-
-    Such input is small by definition (cores x split size at most), so the extra shuffle is
-    bounded; a large scan has more splits than cores and is returned as it is. Only for plain
-    scans: counting the partitions of a shuffled frame would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -61,6 +50,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # Small tables are still read by all cores.
+        .config("spark.sql.files.minPartitionNum", str(2 * int(cores) if str(cores).isdigit() else 16))
         # The JVM never compiles a method above 8000 bytes of bytecode; wide Silver projections
         # run faster as split methods than as one huge one that is interpreted.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")

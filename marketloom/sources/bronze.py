@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,16 +14,8 @@ from marketloom.warehouse import Warehouse
 
 # --- fixed values: the file format ------------------------------------------------------------
 DELIMITER = "|"
-NO_QUOTE = "\u0001"  # quote characters are data
 # --- end of fixed values ----------------------------------------------------------------------
 
-LOAD_STATS_SCHEMA = (
-    "run_id string, table_name string, started_at timestamp, ended_at timestamp, "
-    "rows_loaded bigint, bytes_loaded bigint, duration_s double, status string, "
-    "error_message string"
-)
-
-
 @dataclass(frozen=True)
 class LoadStats:
     table_name: str
@@ -40,24 +32,19 @@ def file_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{spec_of(table).file}"
 
 
-def read_bronze(spark: SparkSession, folder: str, table: str, mode: str = "FAILFAST") -> DataFrame:
+def read_bronze(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Scan one raw file: no header, empty field is NULL, quotes are data.
 
-    A wrong field count stops the job. Column pruning would let the parser skip the check on
-    unread columns, so the scan is strict only when all columns are selected (as a load does)
-    or with ``spark.sql.csv.parser.columnPruning.enabled`` off. Blank lines are skipped by the
-    CSV source; ``profile_files`` counts them as wrong.
+    A line with another number of fields than the table has columns, a blank line too, stops the
+    job, whichever columns are read.
     """
-    return (
-        spark.read.schema(bronze_schema(table))
-        .option("sep", DELIMITER)
-        .option("quote", NO_QUOTE)
-        .option("escape", NO_QUOTE)
-        .option("nullValue", "")
-        .option("header", False)
-        .option("mode", mode)
-        .csv(file_path(folder, table))
-    )
+    names = spec_of(table).columns
+    fields = F.split("value", f"[{DELIMITER}]", -1)
+    checked = F.when(F.size(fields) == len(names), fields).otherwise(F.raise_error(F.concat(
+        F.lit(f"{table}: expected {len(names)} fields, found "), F.size(fields).cast("string"), F.lit(" in line: "), "value")))
+    lines = spark.read.text(file_path(folder, table)).select(checked.alias("_fields"))
+    value = lambda i: F.col("_fields")[i]
+    return lines.select(*[F.when(value(i) != "", value(i)).alias(c) for i, c in enumerate(names)])
 
 
 def write_raw(df: DataFrame, folder: str, table: str) -> None:
@@ -98,18 +85,12 @@ def load_bronze(
             if on_error == "raise":
                 raise
             now = datetime.now(timezone.utc)
-            message = f"{type(exc).__name__}: {exc}"[:4000]
+            message = f"{type(exc).__name__}: {exc}"
             done.append(LoadStats(table, now, now, 0, 0, 0.0, "failed", message))
             break
     return done
 
 
-def load_stats_frame(spark: SparkSession, run_id: str, stats: list[LoadStats]) -> DataFrame:
-    """A load's statistics as rows: one per table, so at most a few dozen."""
-    rows = [tuple({"run_id": run_id, **asdict(s)}.values()) for s in stats]
-    return spark.createDataFrame(rows, LOAD_STATS_SCHEMA)
-
-
 def tables_loaded(stats: list[LoadStats], in_daily_run: bool = False) -> int:
     """Tables counted as loaded; the daily run reports 0 once any load failed."""
     good = sum(s.status == "success" for s in stats)

@@ -1,5 +1,6 @@
 import pytest
 
+from marketloom.plans.ops import load_stats_frame
 from marketloom.sources import bronze as B
 from marketloom.sources import sinks as S
 from marketloom.specs import TABLES
@@ -17,7 +18,7 @@ def test_scan(spark, folder):
     assert rows == [("1", "AA", '"q"x'), ("2", None, None)]
 
 
-@pytest.mark.parametrize("line", ["3|x", "3|x|y|z"])
+@pytest.mark.parametrize("line", ["3|x", "3|x|y|z", ""])
 def test_wrong_field_count_aborts(spark, folder, wh, line):
     B.load_bronze(wh, str(folder), ["reason"], on_error="raise")
     (folder / "reason.dat").write_text(f"1|a|b\n{line}\n")
@@ -32,8 +33,8 @@ def test_load_stats(spark, folder, wh):
     assert [(s.table_name, s.rows_loaded, s.bytes_loaded, s.status) for s in stats] == [
         ("income_band", 2, 15, "success"), ("reason", 2, 14, "success")]
     assert B.tables_loaded(stats) == 2
-    frame = B.load_stats_frame(spark, "7", stats)
-    assert frame.filter("run_id = '7' and rows_loaded = 2 and error_message is null").count() == 2
+    frame = load_stats_frame(spark, 7, stats)
+    assert frame.filter("run_id = 7 and rows_loaded = 2 and error_message is null").count() == 2
     (folder / "income_band.dat").write_text("5|1|1\n")  # full refresh
     B.load_bronze(wh, str(folder), ["income_band"])
     assert [tuple(r) for r in wh.read("bronze", "income_band").collect()] == [("5", "1", "1")]

@@ -34,7 +34,7 @@ def run(spark, raw, tmp_path_factory):
 def test_success(run):
     wh, out = run
     assert (out.status, out.exit_code, out.failed) == ("success", 0, 0)  # rejected rows do not fail a run
-    assert out.passed == 30 + 76  # tables and checks
+    assert out.passed == 30 + 76 + 24 + 6  # tables, checks, key ranges, checks of the log
     row = O.runs(wh).first()
     assert (row.status, row.tables_loaded, row.run_id) == ("success", 25, out.run_id) and row.ended_at >= row.started_at
     assert len(Q.default_suite()) == 76
@@ -59,8 +59,12 @@ def test_reports(run):
     runs, results = O.runs(wh), wh.read("ops", "test_results")
     assert O.latest_run(runs).first().run_id == out.run_id
     assert O.table_stats(wh.read("ops", "ingest_table_stats"), runs).count() == 25
-    assert tuple(O.tally(results).first()) == (76, 0, 30)
-    assert tuple(O.tally(results, "run").first()) == (106, 0, 0)
+    assert tuple(O.tally(results).first()) == (106, 0, 30)
+    assert tuple(O.tally(results, "run").first()) == (136, 0, 0)
+    timings = O.node_timings(wh)
+    made = {r.node_id: r.rows_affected for r in timings.filter("node_type = 'model'").collect()}
+    assert made["dim_item"] == wh.read("silver", "dim_item").count() and made["mart_customer_360"] > 0
+    assert timings.filter("execution_time_s > 0").count() == timings.count()
     assert O.slowest_nodes(O.node_timings(wh), runs).count() == 10
     hist = O.run_history(runs, O.node_timings(wh), wh.read("ops", "ingest_table_stats")).first()
     assert hist.wall_s > 0 and hist.node_s > 0 and hist.load_s > 0
@@ -74,6 +78,7 @@ def test_graph_refresh(run):
     assert refresh_graph(wh) == first
     assert [r.status for r in O.runs(wh, "graph").collect()] == ["success", "success"]
     assert first["node", "Item"] == silver_frame(wh, "dim_item").count()
+    assert (wh.read("graph", "ontology_class").count(), wh.read("graph", "ontology_relationship").count()) == (15, 7)
 
 
 def test_failed_load_ends_the_run(spark, wh, tmp_path):
@@ -101,3 +106,44 @@ def test_failed_check_skips_dependants(spark, raw, tmp_path, wh):
     assert wh.exists("gold", "mart_customer_360") and not wh.exists("gold", "mart_product_analytics")
     failed = wh.read("ops", "test_results").filter("status = 'fail'").first()
     assert (failed.test_name, failed.failures) == ("unique_bronze_item_i_item_sk", 1)
+
+
+def test_a_check_that_raises_fails_the_run_and_all_is_logged(raw, wh, monkeypatch):
+    from marketloom.plans import daily
+
+    def checks(frames, suite):
+        if suite[0].table == "store":
+            raise RuntimeError("no answer " + "x" * 5000 + " because")
+        return Q.run_checks(frames, suite)
+
+    monkeypatch.setattr(daily, "run_checks", checks)
+    out = run_daily(wh, raw)
+    assert (out.status, out.failed, out.blocked) == ("failed", 2, {"dim_store"})
+    assert O.runs(wh).first().status == "failed" and wh.read("ops", "ingest_table_stats").count() == 25
+    errors = wh.read("ops", "test_results").filter("status = 'error'").collect()
+    assert {r.test_name for r in errors} == {"not_null_bronze_store_s_store_sk", "unique_bronze_store_s_store_sk"}
+    assert all(r.message.endswith("because") for r in errors)  # whole, not cut
+    assert wh.read("ops", "node_timings").filter("status = 'skipped'").count() == 1
+
+
+def test_a_run_that_breaks_is_closed(raw, wh, monkeypatch):
+    from marketloom.plans import daily
+
+    monkeypatch.setattr(daily, "nodes_of_run", lambda wh: 1 / 0)
+    out = run_daily(wh, raw)
+    assert out.status == "failed" and "ZeroDivisionError" in out.message
+    row = O.runs(wh).first()
+    assert (row.status, row.tables_loaded) == ("failed", 25) and wh.read("ops", "ingest_table_stats").count() == 25
+
+
+def test_keys_that_do_not_fit_fail_the_run(spark, raw, tmp_path, wh):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for t in TABLES:
+        (folder / f"{t}.dat").symlink_to(file_path(raw, t))
+    (folder / "reason.dat").unlink()
+    (folder / "reason.dat").write_text("1|A|a\n3000000000|B|b\nx|C|c\n")
+    out = run_daily(wh, str(folder))
+    failed = wh.read("ops", "test_results").filter("status = 'fail'").collect()
+    assert out.status == "failed" and [(r.test_name, r.failures) for r in failed] == [
+        ("key_range_silver_dim_reason__anomalies", 1)]
