@@ -12,6 +12,7 @@ from marketloom.queries import query
 from marketloom.queries.oracle import PARTS, amount, big, oracle, part
 from marketloom.session import new_folder
 from marketloom.specs import TABLES
+from marketloom.warehouse import Warehouse
 
 ONTO = G.load_ontology()
 _FACTS = {"int_sales_unified": "sales", "int_returns_unified": "returns"}
@@ -30,7 +31,7 @@ def tables_of(bed):
 
 
 def _nodes(bed):
-    bed.silver_layer([c["table"] for c in ONTO["classes"].values()])
+    bed.silver_layer([c["source_table"] for c in ONTO["classes"].values()])
     return G.build_nodes(ONTO, tables_of(bed))
 
 
@@ -44,7 +45,8 @@ def edges_of(bed):
                       partition_by=["relationship_name"])
 
 
-# -- oracle parts: labels written out again in SQL ----------------------------------------------------
+# -- oracle parts -------------------------------------------------------------------------------------
+# Label expressions of the classes.
 _LABELS = {
     "Customer": "COALESCE(c_first_name, '') || ' ' || COALESCE(c_last_name, '')",
     "Address": "COALESCE(ca_city, '') || ', ' || COALESCE(ca_state, '')",
@@ -62,23 +64,23 @@ _LABELS = {
     "ShipMode": "COALESCE(sm_type, '') || '/' || COALESCE(sm_carrier, '')",
     "Reason": "COALESCE(r_reason_desc, r_reason_id)",
 }
-_DIMS = {n: TABLES[c["table"]].silver_name for n, c in ONTO["classes"].items()}
+_DIMS = {n: TABLES[c["source_table"]].silver_name for n, c in ONTO["classes"].items()}
 
 
 def _id(class_name: str, sk: str) -> str:
-    return f"CAST({ONTO['classes'][class_name]['id']} AS BIGINT) * 1099511627776 + {sk}"
+    return f"CAST({ONTO['classes'][class_name]['id']} AS BIGINT) * 1099511627776 + 2147483648 + {sk}"
 
 
 PARTS["node"] = (tuple(_DIMS.values()), " UNION ALL ".join(
-    f"SELECT {_id(n, c['key'])} AS node_id, '{n}' AS class_name, CAST({c['key']} AS BIGINT) AS source_sk, "
-    f"{c.get('natural', 'CAST(NULL AS VARCHAR)')} AS natural_id, {_LABELS[n]} AS label "
-    f"FROM {_DIMS[n]} WHERE {c['key']} IS NOT NULL" for n, c in ONTO["classes"].items()))
+    f"SELECT {_id(n, c['surrogate_key'])} AS node_id, '{n}' AS class_name, CAST({c['surrogate_key']} AS BIGINT) AS source_sk, "
+    f"{c.get('natural_key', 'CAST(NULL AS VARCHAR)')} AS natural_id, {_LABELS[n]} AS label "
+    f"FROM {_DIMS[n]} WHERE {c['surrogate_key']} IS NOT NULL" for n, c in ONTO["classes"].items()))
 
 
 def _fk_sql(name: str) -> str:
     r = ONTO["relationships"][name]
-    key = ONTO["classes"][r["from"]]["key"]
-    return (f"SELECT f.node_id AS from_node_id, t.node_id AS to_node_id, '{name}' AS relationship_name "
+    key = ONTO["classes"][r["from"]]["surrogate_key"]
+    return (f"SELECT DISTINCT f.node_id AS from_node_id, t.node_id AS to_node_id, '{name}' AS relationship_name "
             f"FROM {_DIMS[r['from']]} s JOIN node f ON f.class_name = '{r['from']}' AND f.source_sk = s.{key} "
             f"JOIN node t ON t.class_name = '{r['to']}' AND t.source_sk = s.{r['column']}")
 
@@ -94,7 +96,7 @@ def _agg_sql(name: str, source: str, frm: str, to: str, first: str, rest: str, c
             f"JOIN node t ON t.class_name = '{r['to']}' AND t.source_sk = e.b {where}")
 
 
-_PURCHASED = ("sales", "customer_sk", "item_sk", big("count(DISTINCT channel || '|' || order_number)", "m").removesuffix(" AS m"),
+_PURCHASED = ("sales", "customer_sk", "item_sk", "CAST(count(DISTINCT channel || '|' || order_number) AS BIGINT)",
               f"{big('sum(quantity)', 'm2')}, {amount('sum(net_paid)', 'm3')}")
 _AGGREGATES = {
     "PURCHASED": _PURCHASED,
@@ -201,31 +203,60 @@ def edge_keys(bed):
 
 
 # -- refresh ------------------------------------------------------------------------------------------------
-@query(oracle("""
-    SELECT node_id, CASE WHEN class_name = 'Item' THEN 'old ' || label ELSE label END AS label
-    FROM node WHERE class_name IN ('Store', 'Item') AND NOT (class_name = 'Item' AND source_sk IN (
-        SELECT i_item_sk FROM dim_item WHERE i_category = 'Music'))
-    UNION ALL SELECT node_id, label FROM node WHERE class_name = 'Item' AND source_sk IN (
-        SELECT i_item_sk FROM dim_item WHERE i_category = 'Music')""", "node", "dim_item"))
+@query(oracle("SELECT node_id, CASE WHEN source_sk % 2 = 0 THEN label ELSE 'old ' || label END AS label FROM node "
+              "WHERE source_sk % 3 > 0 OR source_sk % 2 = 0", "node"))
 def merge_nodes(bed):
-    """Upsert: relabelled items come back, other old items and all stores stay."""
-    items, stores = bed.silver("item"), bed.silver("store")
-    old = G.class_nodes(ONTO, "Item", items).withColumn("label", F.concat(F.lit("old "), "label")).unionByName(
-        G.class_nodes(ONTO, "Store", stores))
-    new = G.class_nodes(ONTO, "Item", items.filter("i_category = 'Music'"))
-    return G.merge_nodes(old, new).select("node_id", "label")
+    """Upsert over all classes: refreshed nodes get their label back, other old ones stay."""
+    nodes = nodes_of(bed)
+    old = nodes.filter("source_sk % 3 > 0").withColumn("label", F.concat(F.lit("old "), "label"))
+    return G.merge_nodes(old, nodes.filter("source_sk % 2 = 0")).select("node_id", "label")
 
 
-@query(oracle("""
-    SELECT from_node_id, to_node_id, relationship_name, CASE WHEN relationship_name = 'PURCHASED' THEN m3 END AS net_paid
-    FROM edge WHERE relationship_name IN ('PURCHASED', 'LIVES_AT')""", "edge"))
+_FKS = ", ".join(f"'{n}'" for n, r in ONTO["relationships"].items() if r["kind"] == "fk")
+
+
+@query(oracle(f"""
+    SELECT from_node_id, to_node_id, relationship_name,
+           CASE WHEN relationship_name IN ({_FKS}) THEN from_node_id % 3 > 0 ELSE from_node_id % 2 > 0 END AS is_stale
+    FROM edge WHERE from_node_id % 3 > 0 OR from_node_id % 2 = 0""", "edge"))
 def merge_edges(bed):
-    """Refresh of edges whose stored properties are stale."""
-    edges = edges_of(bed).filter(F.col("relationship_name").isin("PURCHASED", "LIVES_AT"))
-    stale = edges.withColumn("properties", F.lit('{"net_paid":0}'))
-    return G.merge_edges(stale, edges.filter("relationship_name = 'PURCHASED'"), ONTO).select(
-        "from_node_id", "to_node_id", "relationship_name",
-        F.when(F.col("relationship_name") == "PURCHASED", prop("properties", "net_paid", "decimal(18,2)")).alias("net_paid"))
+    """Refresh over all relationships, where stored properties are stale: foreign-key edges are
+    only added, aggregate edges replaced."""
+    edges = edges_of(bed)
+    stale = edges.filter("from_node_id % 3 > 0").withColumn("properties", F.lit("stale"))
+    return G.merge_edges(stale, edges.filter("from_node_id % 2 = 0"), ONTO).select(
+        "from_node_id", "to_node_id", "relationship_name", (F.col("properties") == "stale").alias("is_stale"))
+
+
+@query(oracle("SELECT class_name, description <> '' AS described, surrogate_key, kind, from_class, to_class FROM (VALUES "
+              + ", ".join(f"('{n}', 'x', '{c['surrogate_key']}', NULL, NULL, NULL)" for n, c in ONTO["classes"].items()) + ", "
+              + ", ".join(f"('{n}', 'x', NULL, '{r['kind']}', '{r['from']}', '{r['to']}')" for n, r in ONTO["relationships"].items())
+              + ") t(class_name, description, surrogate_key, kind, from_class, to_class) WHERE EXISTS (SELECT 1 FROM node)", "node"))
+def ontology_tables(bed):
+    """Class and relationship tables as a graph build stores them."""
+    wh = Warehouse(bed.spark, new_folder(bed.spark, "graph"))
+    bed.silver_layer()
+    G.build_graph(wh, ONTO, tables_of(bed))
+    none = F.lit(None).cast("string")
+    described = (F.col("description") != "").alias("described")
+    return wh.read("graph", "ontology_class").select(
+        "class_name", described, "surrogate_key", none.alias("kind"), none.alias("from_class"), none.alias("to_class")
+    ).union(wh.read("graph", "ontology_relationship").select(
+        "name", described, none.alias("surrogate_key"), "kind", "from_class", "to_class"))
+
+
+@query(oracle("SELECT -CAST(c_customer_sk AS BIGINT) AS from_sk, -CAST(c_current_addr_sk AS BIGINT) AS to_sk, "
+              "'Customer' AS from_class, 'Address' AS to_class FROM dim_customer "
+              "JOIN dim_customer_address ON ca_address_sk = c_current_addr_sk", "dim_customer", "dim_customer_address"))
+def edges_of_negative_keys(bed):
+    """Edges between nodes whose keys are below zero, each source row twice."""
+    customer, address = bed.silver("customer"), bed.silver("customer_address")
+    below = lambda df, *keys: df.withColumns({k: -F.col(k) for k in keys})
+    source = below(customer, "c_customer_sk", "c_current_addr_sk")
+    nodes = G.class_nodes(ONTO, "Customer", source).unionByName(
+        G.class_nodes(ONTO, "Address", below(address, "ca_address_sk")))
+    edges = G.fk_edges(ONTO, "LIVES_AT", source.union(source), nodes)
+    return G.edge_keys(ONTO, edges).select("from_sk", "to_sk", "from_class", "to_class")
 
 
 # -- sample and export ----------------------------------------------------------------------------------------
@@ -347,13 +378,65 @@ def relationship_summary(bed):
     return G.relationship_summary(edges_of(bed), ONTO).drop("description")
 
 
+# -- whole classes and relationships, flattened ---------------------------------------------------------------
+def _register_flat(name: str) -> None:
+    spec = ONTO["classes"][name]
+    types = TABLES[spec["source_table"]].types
+    plain = {"int": "BIGINT", "decimal(7,2)": "DOUBLE"}
+    columns = {"node_class": f"'{name}'", "source_sk": f"CAST({spec['surrogate_key']} AS BIGINT)", "label": _LABELS[name],
+               "natural_id": spec.get("natural_key", "CAST(NULL AS VARCHAR)")}
+    columns |= {p: f"CAST({c} AS {plain.get(types[c].simpleString(), 'VARCHAR')})" for p, c in spec["properties"].items()}
+
+    @query(oracle(f"SELECT {', '.join(f'{c} AS {n}' for n, c in columns.items())} FROM {_DIMS[name]} "
+                  f"WHERE {spec['surrogate_key']} IS NOT NULL", _DIMS[name]), name=f"flatten_nodes_{name.lower()}")
+    def flat(bed):
+        return G.flatten_nodes(ONTO, nodes_of(bed), name)
+
+
+def _register_flat_edges(name: str) -> None:
+    measures = [(f"m{i}", m) for i, m in enumerate(_MEASURES.get(name, ()), 1) if m]
+    more = "".join(f", CAST({c} AS DOUBLE) AS {m}" for c, m in measures)
+
+    @query(oracle(f"SELECT f.class_name AS from_class, f.source_sk AS from_sk, t.class_name AS to_class, t.source_sk AS to_sk{more} "
+                  f"FROM {name} JOIN node f ON f.node_id = from_node_id JOIN node t ON t.node_id = to_node_id", name, "node"),
+           name=f"flatten_edges_{name.lower()}")
+    def flat(bed):
+        return G.flatten_edges(ONTO, edges_of(bed), name)
+
+
+for _n in ONTO["classes"]:
+    _register_flat(_n)
+for _n in ONTO["relationships"]:
+    _register_flat_edges(_n)
+
+
 # -- integrity ------------------------------------------------------------------------------------------------
-_GRAPH_CHECKS = [c.name for c in graph_suite()]
+def _count(table: str, where: str) -> str:
+    return f"SELECT count(*) FROM {table} WHERE {where}"
+
+
+_FAILURES = dict(zip([c.name for c in graph_suite()], (
+    _count("node", "class_name = 'Store'"), _count("LIVES_AT", "true"), _count("node", "class_name = 'Item'"),
+    _count("RETURNED", "true"), _count("SHOPPED_AT", "true"), _count("SHOPPED_AT", "true"),
+    "SELECT count(DISTINCT 1) FROM PURCHASED",
+), strict=True))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{n}', 'pass', CAST(0 AS BIGINT))" for n in _GRAPH_CHECKS)
-       + ") t(test_name, status, failures)")
+@query(oracle("SELECT test_name, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status, failures FROM ("
+              + " UNION ALL ".join(f"SELECT '{n}' AS test_name, CAST(({c}) AS BIGINT) AS failures" for n, c in _FAILURES.items())
+              + ")", "node", "LIVES_AT", "RETURNED", "SHOPPED_AT", "PURCHASED"))
 def graph_checks(bed):
+    """All checks of the graph, on a graph with some nodes and edges repeated and spoiled."""
     classes, rels = G.ontology_tables(bed.spark, ONTO)
-    frames = {"node": nodes_of(bed), "edge": edges_of(bed), "ontology_class": classes, "ontology_relationship": rels}
+    nodes, edges = nodes_of(bed).select(*G.NODE_COLUMNS), edges_of(bed).select(*G.EDGE_COLUMNS)
+    rel = lambda n: edges.filter(F.col("relationship_name") == n)
+    frames = {
+        "node": nodes.union(nodes.filter("class_name = 'Store'")).union(
+            nodes.filter("class_name = 'Item'").withColumn("class_name", F.lit("Thing"))),
+        "edge": edges.union(rel("LIVES_AT")).union(
+            rel("RETURNED").withColumn("from_node_id", -F.col("from_node_id"))).union(
+            rel("SHOPPED_AT").withColumns({"to_node_id": -F.col("to_node_id"), "relationship_name": F.lit("VISITED")})),
+        "ontology_class": classes,
+        "ontology_relationship": rels.withColumn("kind", F.when(F.col("name") == "PURCHASED", "sum").otherwise(F.col("kind"))),
+    }
     return run_checks(lambda _, t: frames[t], graph_suite()).drop("message")

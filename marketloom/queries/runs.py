@@ -9,7 +9,7 @@ from marketloom.plans import ops as O
 from marketloom.queries import query
 from marketloom.queries.marts import stored_mart
 from marketloom.queries.oracle import big, oracle
-from marketloom.specs import TABLES
+from marketloom.specs import TABLES, silver_tables
 
 _KEYED = [t for t, s in TABLES.items() if s.pk]
 
@@ -37,13 +37,42 @@ def bronze_checks(bed):
 def silver_checks(bed):
     raw = {s.silver_name: t for t, s in TABLES.items()}
     suite = [c for t in _KEYED for c in Q.table_suite("silver", t)]
-    return Q.run_checks(lambda _, t: bed.clean(raw[t]), suite).drop("message")
+    return Q.run_checks(lambda _, t: bed.silver(raw[t]), suite).drop("message")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{c.name}', 'pass', CAST(0 AS BIGINT))" for c in Q.gold_suite())
-       + ") t(test_name, status, failures)")
+def _verdicts(counts: dict[str, str]) -> str:
+    """Checks with their failures by SQL."""
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS test_name, CAST(({c}) AS BIGINT) AS failures" for n, c in counts.items())
+    return f"SELECT test_name, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status, failures FROM ({rows})"
+
+
+_PRODUCTS = "SELECT count(*) FROM product_analytics WHERE i_category = "
+_CUSTOMERS = "SELECT count(*) FROM customer_360 WHERE segment = "
+_SPOILED = dict(zip([c.name for c in Q.gold_suite()], (
+    "SELECT count(*) FROM sales_performance WHERE channel = 'store'",
+    "SELECT count(DISTINCT channel) FROM sales_performance WHERE channel = 'web'",
+    _PRODUCTS + "'Music'", _PRODUCTS + "'Books'", _CUSTOMERS + "'Active'", _CUSTOMERS + "'New'",
+    _CUSTOMERS + "'Hibernating'", "SELECT count(DISTINCT segment) FROM customer_360 WHERE segment = 'Loyal'",
+), strict=True))
+
+
+@query(oracle(_verdicts(_SPOILED), "sales_performance", "product_analytics", "customer_360"))
 def gold_checks(bed):
-    return Q.run_checks(lambda _, t: stored_mart(bed, t), Q.gold_suite()).drop("message")
+    """All checks of the marts, on marts with some rows repeated and spoiled."""
+    perf, product, customer = (stored_mart(bed, f"mart_{m}") for m in ("sales_performance", "product_analytics", "customer_360"))
+    null = F.lit(None)
+    key, segment = F.col("c_customer_sk"), F.col("segment")
+    frames = {
+        "mart_sales_performance": perf.union(perf.filter("channel = 'web'").withColumn("channel", F.lit("phone"))).union(
+            perf.filter("channel = 'store'").withColumn("channel", null.cast("string"))),
+        "mart_product_analytics": product.union(product.filter("i_category = 'Books'")).union(
+            product.filter("i_category = 'Music'").withColumn("i_item_sk", null.cast("int"))),
+        "mart_customer_360": customer.union(customer.filter(segment == "New")).union(
+            customer.filter(segment == "Active").withColumn("c_customer_sk", null.cast("int"))).union(
+            customer.filter(segment == "Hibernating").withColumns({"c_customer_sk": -key - 1, "segment": null.cast("string")})).union(
+            customer.filter(segment == "Loyal").withColumns({"c_customer_sk": -key - 1, "segment": F.lit("Other")})),
+    }
+    return Q.run_checks(lambda _, t: frames[t], Q.gold_suite()).drop("message")
 
 
 @query(oracle("""
@@ -189,24 +218,28 @@ def run_state(bed):
     return latest_events(begun.unionByName(ended), "run_id", "seq")
 
 
-_SIDES = ("customer", "item", "store_sales", "store")
+_SIDES = silver_tables()
+_PARTS = [x for t in _SIDES for x in (f"raw_{t}", TABLES[t].silver_name)]
 
 
 def _overview_sql() -> str:
     return " UNION ALL ".join(
         f"SELECT '{TABLES[t].silver_name}' AS table_name, (SELECT count(*) FROM {TABLES[t].silver_name}) AS rows, "
-        f"(SELECT count(*) FROM raw_{t}) - (SELECT count(*) FROM {TABLES[t].silver_name}) AS anomaly_rows" for t in _SIDES)
+        f"(SELECT count(*) FROM raw_{t}) - (SELECT count(*) FROM {TABLES[t].silver_name}) AS anomaly_rows, "
+        "true AS has_bytes" for t in _SIDES)
+
+
+def _overview(bed):
+    bed.silver_layer()
+    return O.silver_overview(bed.wh).filter(F.col("table_name").isin([TABLES[t].silver_name for t in _SIDES]))
 
 
-@query(oracle(_overview_sql(), *[TABLES[t].silver_name for t in _SIDES]))
+@query(oracle(_overview_sql(), *_PARTS))
 def silver_overview(bed):
     """Stored Silver tables next to their rejected rows."""
-    for t in _SIDES:
-        bed.silver(t)
-    return O.silver_overview(bed.wh).filter(F.col("table_name").isin([TABLES[t].silver_name for t in _SIDES])).drop("bytes")
+    return _overview(bed).withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")
 
 
-@query(oracle(f"SELECT {big('count(*)', 'tables')}, {big('sum(rows)', 'rows')} FROM ({_overview_sql()})",
-              *[TABLES[t].silver_name for t in _SIDES]))
+@query(oracle(f"SELECT {big('count(*)', 'tables')}, {big('sum(rows)', 'rows')}, true AS has_bytes FROM ({_overview_sql()})", *_PARTS))
 def layer_totals(bed):
-    return O.layer_totals(silver_overview(bed).withColumn("bytes", F.lit(0))).drop("bytes")
+    return O.layer_totals(_overview(bed)).withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.functions import exprs as X
-from marketloom.operators.silver import anomaly_summary, silver_split
+from marketloom.operators.silver import silver_split, stored_summary
 from marketloom.queries import query
 from marketloom.queries.oracle import anomalies_sql, big, oracle, part, reasons_sql
 from marketloom.specs import TABLES, silver_tables
@@ -77,9 +77,10 @@ def violation_flags(bed):
         X.is_clean(reasons).alias("is_clean"))
 
 
-_SUMMED = ("store_sales", "catalog_sales", "web_sales", "item", "customer", "income_band")
+_ALL = silver_tables()
+_RAWS = [f"raw_{t}" for t in _ALL]
 _FLAGGED = " UNION ALL ".join(
-    f"SELECT '{TABLES[t].silver_name}' AS table_name, {reasons_sql(t)} AS reasons FROM raw_{t}" for t in _SUMMED)
+    f"SELECT '{TABLES[t].silver_name}' AS table_name, {reasons_sql(t)} AS reasons FROM raw_{t}" for t in _ALL)
 
 
 @query(oracle(f"""
@@ -90,10 +91,29 @@ _FLAGGED = " UNION ALL ".join(
     LEFT JOIN (SELECT table_name, reason, count(*) AS reason_rows
                FROM (SELECT table_name, unnest(string_split(reasons, ',')) AS reason
                      FROM flagged WHERE reasons <> '') GROUP BY ALL) r USING (table_name)
-    """.replace("FROM flagged", f"FROM ({_FLAGGED})"), *[f"raw_{t}" for t in _SUMMED]), name="anomaly_summary")
+    """.replace("FROM flagged", f"FROM ({_FLAGGED})"), *_RAWS), name="anomaly_summary")
 def _summary(bed):
-    return anomaly_summary({
-        TABLES[t].silver_name: X.with_flags(bed.raw(t), TABLES[t].types) for t in _SUMMED})
+    """Reasons as they are stored with all Silver tables."""
+    bed.silver_layer()
+    return stored_summary(bed.wh)
+
+
+def _key(table: str) -> str:
+    return TABLES[table].pk or TABLES[table].columns[0]
+
+
+@query(oracle(" UNION ALL ".join(
+    f"SELECT '{TABLES[t].silver_name}' AS name, count(*) AS n, count({_key(t)}) AS n_keys FROM {TABLES[t].silver_name} "
+    f"UNION ALL SELECT '{TABLES[t].silver_name}__anomalies', count(*), count({_key(t)}) "
+    f"FROM ({anomalies_sql(t, f'raw_{t}')})" for t in _ALL), *_RAWS, *[TABLES[t].silver_name for t in _ALL]))
+def silver_views(bed):
+    """Rows and keys of all clean tables and of all tables of rejected rows, through SQL views."""
+    bed.silver_layer()
+    views = set(bed.wh.register_views("silver"))
+    names = {f"{TABLES[t].silver_name}{x}": _key(t) for t in _ALL for x in ("", "__anomalies")}
+    assert {f"silver_{n}" for n in names} <= views
+    return bed.spark.sql(" UNION ALL ".join(
+        f"SELECT '{n}' AS name, count(*) AS n, count({k}) AS n_keys FROM silver_{n}" for n, k in names.items()))
 
 
 @query(part("sales"))

@@ -9,6 +9,7 @@ validation has something to reject:
 * list price ``<n>.4``          where tax is 0.08 on line 6
 * net profit ``9999999.00``     where discount is 0.00 on line 5 (right form, out of range)
 * item dates ``1999/01/02`` and ``1999-13-45`` for sizes 50 and 49, blank text for size 48
+* one odd value or a few in each dimension, so that every table has rejected rows
 
 Order priority decides the channel. Single-unit sales are anonymous, sales of 50 units are
 undated, and 2 % of customers and items appear in returns only.
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.operators.silver import read_clean, silver_split, store_silver
 from marketloom.operators.unify import CHANNELS, unify_returns, unify_sales
-from marketloom.session import scratch_root, spread
+from marketloom.session import scratch_root
 from marketloom.specs import TABLES, silver_tables, spec_of
 from marketloom.warehouse import Warehouse
 
@@ -156,9 +157,8 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
         "c_birth_country": "CONCAT('NATION_', CAST(c_nationkey AS STRING))",
         "c_email_address": "CONCAT(LOWER(c_mktsegment), CAST(c_custkey AS STRING), '@example.com')"}),
     "customer_address": (
-        "{customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey "
-        "WHERE c_acctbal < 9000", {
-            "ca_address_sk": "c_custkey", "ca_address_id": "CONCAT('A', CAST(c_custkey AS STRING))",
+        "{customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey", {
+            "ca_address_sk": "CASE WHEN c_acctbal < 9000 THEN c_custkey ELSE c_custkey + 500000000 END", "ca_address_id": "CONCAT('A', CAST(c_custkey AS STRING))",
             "ca_street_number": "c_custkey", "ca_street_name": "'Oak'", "ca_city": "n_name",
             "ca_state": "r_name", "ca_zip": "20000 + c_nationkey", "ca_country": "'United States'",
             "ca_gmt_offset": "CASE WHEN c_nationkey = 7 THEN '-5,00' ELSE '-5.00' END"}),
@@ -168,16 +168,17 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
             "cd_gender": "CASE WHEN c_nationkey < 12 THEN 'F' ELSE 'M' END",
             "cd_marital_status": "CASE WHEN c_nationkey < 6 THEN 'S' WHEN c_nationkey < 18 THEN 'M' END",
             "cd_education_status": "'College'", "cd_purchase_estimate": "n",
-            "cd_credit_rating": "'Good'", "cd_dep_count": "c_nationkey"}),
+            "cd_credit_rating": "'Good'", "cd_dep_count": "CASE WHEN c_nationkey = 13 THEN 'few' ELSE CAST(c_nationkey AS STRING) END"}),
     "household_demographics": (
         "(SELECT c_mktsegment, COUNT(*) AS n, COUNT(DISTINCT c_nationkey) AS k FROM {customer} "
         "GROUP BY c_mktsegment) d", {
             "hd_demo_sk": _SEGMENT_NO, "hd_income_band_sk": _SEGMENT_NO,
-            "hd_buy_potential": "c_mktsegment", "hd_dep_count": "k", "hd_vehicle_count": "n"}),
+            "hd_buy_potential": "c_mktsegment",
+            "hd_dep_count": "CASE WHEN c_mktsegment = 'FURNITURE' THEN '?' ELSE CAST(k AS STRING) END", "hd_vehicle_count": "n"}),
     "income_band": (
         "(SELECT c_mktsegment, MIN(FLOOR(c_acctbal)) AS lo, MAX(FLOOR(c_acctbal)) AS hi FROM {customer} "
-        "WHERE c_mktsegment <> 'MACHINERY' GROUP BY c_mktsegment) d", {
-            "ib_income_band_sk": _SEGMENT_NO, "ib_lower_bound": "CAST(lo AS INT)",
+        "GROUP BY c_mktsegment) d", {
+            "ib_income_band_sk": f"{_SEGMENT_NO} + CASE WHEN c_mktsegment = 'MACHINERY' THEN 100 ELSE 0 END", "ib_lower_bound": "CASE WHEN c_mktsegment = 'BUILDING' THEN '1e3' ELSE CAST(CAST(lo AS INT) AS STRING) END",
             "ib_upper_bound": "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE CAST(hi AS INT) END"}),
     "item": ("{part}", {
         "i_item_sk": "p_partkey", "i_item_id": "CONCAT('I', CAST(p_partkey AS STRING))",
@@ -204,7 +205,7 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
         "cc_tax_percentage": "CASE WHEN s_nationkey = 15 THEN '.03' ELSE '0.03' END"})),
     "warehouse": ("{supplier}", _place("w", {
         "w_warehouse_sk": "s_suppkey", "w_warehouse_id": "CONCAT('W', CAST(s_suppkey AS STRING))",
-        "w_warehouse_name": "s_name", "w_warehouse_sq_ft": "CASE WHEN s_acctbal < 0 THEN NULL ELSE 50000 END"})),
+        "w_warehouse_name": "s_name", "w_warehouse_sq_ft": "CASE WHEN s_acctbal < 0 THEN NULL WHEN s_nationkey IN (4, 14) THEN '5e4' ELSE '50000' END"})),
     "web_site": ("{supplier}", _place("web", {
         "web_site_sk": "s_suppkey", "web_site_id": "CONCAT('WS', CAST(s_suppkey AS STRING))",
         "web_rec_start_date": "CASE WHEN s_nationkey = 5 THEN '1997-8-16' ELSE '1997-08-16' END",
@@ -217,14 +218,15 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
         "cp_description": "p_name", "cp_type": "'monthly'"}),
     "promotion": ("(SELECT l_linenumber, COUNT(*) AS n, MIN(l_partkey) AS k FROM {lineitem} GROUP BY l_linenumber) d", {
         "p_promo_sk": "l_linenumber", "p_promo_id": "CONCAT('PR', CAST(l_linenumber AS STRING))",
-        "p_item_sk": "k", "p_cost": "'1000.00'", "p_response_target": "n",
+        "p_item_sk": "k", "p_cost": "CASE WHEN l_linenumber = 5 THEN '1,000.00' ELSE '1000.00' END", "p_response_target": "n",
         "p_promo_name": "CASE WHEN l_linenumber = 3 THEN '' ELSE 'promo' END", "p_discount_active": "'N'"}),
-    "reason": ("(SELECT l_linenumber, COUNT(*) AS n FROM {lineitem} WHERE l_linenumber < 7 GROUP BY l_linenumber) d", {
-        "r_reason_sk": "l_linenumber", "r_reason_id": "CONCAT('R', CAST(l_linenumber AS STRING))",
+    "reason": ("(SELECT l_linenumber, COUNT(*) AS n FROM {lineitem} GROUP BY l_linenumber) d", {
+        "r_reason_sk": "CASE WHEN l_linenumber < 7 THEN CAST(l_linenumber AS STRING) ELSE '7.0' END", "r_reason_id": "CONCAT('R', CAST(l_linenumber AS STRING))",
         "r_reason_desc": "CONCAT('reason ', CAST(n AS STRING))"}),
     "ship_mode": ("(SELECT l_linenumber, l_linestatus, COUNT(*) AS n FROM {lineitem} "
                   "GROUP BY l_linenumber, l_linestatus) d", {
-        "sm_ship_mode_sk": "l_linenumber + CASE WHEN l_linestatus = 'O' THEN 0 ELSE 100 END",
+        "sm_ship_mode_sk": "CASE WHEN l_linestatus = 'F' AND l_linenumber = 7 THEN '107.' ELSE "
+                           "CAST(l_linenumber + CASE WHEN l_linestatus = 'O' THEN 0 ELSE 100 END AS STRING) END",
         "sm_ship_mode_id": "CONCAT('SM', l_linestatus, CAST(l_linenumber AS STRING))",
         "sm_type": "CASE WHEN l_linestatus = 'O' THEN 'EXPRESS' ELSE 'REGULAR' END", "sm_code": "'AIR'",
         "sm_carrier": "CASE WHEN l_linenumber = 2 THEN NULL ELSE 'CARRIER' END", "sm_contract": "n"}),
@@ -233,7 +235,7 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
         "d_date_sk": "dn + 2415021", "d_date_id": "CONCAT('D', CAST(dn AS STRING))", "d_date": "day",
         "d_month_seq": "EXTRACT(YEAR FROM day) * 12 + EXTRACT(MONTH FROM day) - 22801",
         "d_year": "EXTRACT(YEAR FROM day)", "d_dow": "(dn + 1) % 7", "d_moy": "EXTRACT(MONTH FROM day)",
-        "d_dom": "EXTRACT(DAY FROM day)", "d_qoy": "EXTRACT(QUARTER FROM day)",
+        "d_dom": "CASE WHEN dn % 997 = 5 THEN 'first' ELSE CAST(EXTRACT(DAY FROM day) AS STRING) END", "d_qoy": "EXTRACT(QUARTER FROM day)",
         "d_fy_year": "EXTRACT(YEAR FROM day)", "d_weekend": "CASE WHEN (dn + 1) % 7 IN (0, 6) THEN 'Y' ELSE 'N' END"}),
     "time_dim": ("(SELECT h, mi, s, COUNT(*) AS n FROM (SELECT EXTRACT(HOUR FROM ts) AS h, "
                  "EXTRACT(MINUTE FROM ts) AS mi, CAST(FLOOR(EXTRACT(SECOND FROM ts)) AS INT) AS s "
@@ -246,7 +248,7 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
         "wp_web_page_sk": "page_id", "wp_web_page_id": "CASE WHEN LENGTH(html) < 1500 THEN NULL ELSE "
                                                        "CONCAT('WP', CAST(page_id AS STRING)) END",
         "wp_rec_start_date": "'1997-09-03'", "wp_url": "url", "wp_type": "'html'",
-        "wp_char_count": "LENGTH(html)"}),
+        "wp_char_count": "LENGTH(html)", "wp_link_count": "CASE WHEN page_id % 50 = 7 THEN 'many' ELSE '6' END"}),
     "inventory": ("(SELECT l_partkey, l_suppkey, SUM(CAST(l_quantity AS INT)) AS n, MAX(l_shipdate) AS last "
                   "FROM {lineitem} GROUP BY l_partkey, l_suppkey) d", {
         "inv_date_sk": "CAST(CAST(last AS DATE) - DATE '1900-01-01' AS INT) + 2415021",
@@ -307,8 +309,7 @@ class Bed:
                 self._ready.add(name)
 
     def _order_lines(self) -> DataFrame:
-        lines = spread(self.source("lineitem"), "l_orderkey")
-        return self.spark.sql(BASE_SQL, lineitem=lines, orders=self.source("orders"))
+        return self.spark.sql(BASE_SQL, lineitem=self.source("lineitem"), orders=self.source("orders"))
 
     # -- layers --------------------------------------------------------------------------------
     def raw(self, table: str) -> DataFrame:
@@ -335,16 +336,18 @@ class Bed:
         with ThreadPoolExecutor(threads) as pool:
             list(pool.map(self.silver, tables or silver_tables()))
 
-    def _clean_channels(self, kind: str) -> list[DataFrame]:
-        with ThreadPoolExecutor(len(CHANNELS)) as pool:
-            return list(pool.map(lambda ch: self.clean(f"{ch}_{kind}"), CHANNELS))
+    def _channels(self, kind: str) -> list[DataFrame]:
+        """Clean facts of all channels from stored Silver; each fact is flagged once."""
+        names = [f"{ch}_{kind}" for ch in CHANNELS]
+        self.silver_layer(names)
+        return [self.silver(n) for n in names]
 
     def sales(self) -> DataFrame:
         return self.stored(
-            "silver", "int_sales_unified", lambda: unify_sales(*self._clean_channels("sales")),
+            "silver", "int_sales_unified", lambda: unify_sales(*self._channels("sales")),
             partition_by=["channel"])
 
     def returns(self) -> DataFrame:
         return self.stored(
-            "silver", "int_returns_unified", lambda: unify_returns(*self._clean_channels("returns")),
+            "silver", "int_returns_unified", lambda: unify_returns(*self._channels("returns")),
             partition_by=["channel"])

@@ -7,10 +7,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
-def pytest_addoption(parser):
-    parser.addoption("--all-tables", action="store_true", help="compare every Silver table with its oracle")
-
-
 @pytest.fixture(scope="session")
 def spark():
     from marketloom.session import local_session

@@ -8,6 +8,7 @@ from marketloom.plans import graph as G
 from marketloom.specs import TABLES, silver_schema
 
 ONTO = G.load_ontology()
+BASE = {c: (c << 40) + (1 << 31) for c in range(1, 16)}  # node id of key 0
 
 
 def table(spark, name, *rows):
@@ -53,17 +54,17 @@ def test_nodes(graph):
     assert json.loads(rows["Customer", 1].properties) == {"first_name": "Ann"}  # NULLs dropped
     assert rows["IncomeBand", 5].label is None and rows["IncomeBand", 6].label == "1-2"
     assert rows["HouseholdDemographics", 20].label == "buy:hi" and rows["Item", 5].label == "I5"
-    assert rows["Item", 5].node_id == (6 << 40) + 5
+    assert rows["Item", 5].node_id == BASE[6] + 5
 
 
 def test_fk_edges_need_both_ends(graph):
     e = graph[1].filter("relationship_name = 'LIVES_AT'").collect()
-    assert [(r.from_node_id, r.to_node_id, r.properties) for r in e] == [((1 << 40) + 1, (2 << 40) + 10, "{}")]
+    assert [(r.from_node_id, r.to_node_id, r.properties) for r in e] == [(BASE[1] + 1, BASE[2] + 10, "{}")]
 
 
 def test_top_five_by_order_count(graph):
-    e = graph[1].filter(f"relationship_name = 'PURCHASED' and from_node_id = {(1 << 40) + 1}")
-    found = {r.to_node_id - (6 << 40): json.loads(r.properties) for r in e.collect()}
+    e = graph[1].filter(f"relationship_name = 'PURCHASED' and from_node_id = {BASE[1] + 1}")
+    found = {r.to_node_id - BASE[6]: json.loads(r.properties) for r in e.collect()}
     assert set(found) == {2, 3, 4, 5, 6}
     assert found[6] == {"order_count": 7, "quantity": 7, "net_paid": 17.5}  # order 1 counts in store and web
 
@@ -90,7 +91,7 @@ def test_questions(graph):
 
 def test_sample_two_hops(graph):
     ids = {r.node_id for r in G.sample_nodes(graph[1], ONTO, top=1).collect()}
-    assert ids == {(1 << 40) + 1, (2 << 40) + 10, (4 << 40) + 20, (5 << 40) + 5} | {(6 << 40) + i for i in range(2, 7)}
+    assert ids == {BASE[1] + 1, BASE[2] + 10, BASE[4] + 20, BASE[5] + 5} | {BASE[6] + i for i in range(2, 7)}
     nodes, edges = G.restrict(*graph, G.sample_nodes(graph[1], ONTO, top=1))
     assert (nodes.count(), edges.count()) == (9, 8)
 
@@ -101,7 +102,7 @@ def test_refresh_keeps_vanished_nodes(spark, silver, graph):
     nodes, edges = G.merge_graph(graph, (n := G.build_nodes(ONTO, changed.__getitem__),
                                          G.build_edges(ONTO, changed.__getitem__, n)), ONTO)
     labels = {r.node_id: r.label for r in nodes.filter("class_name = 'Customer'").collect()}
-    assert labels == {(1 << 40) + 1: "Eve ", (1 << 40) + 2: " ", (1 << 40) + 3: " "}
+    assert labels == {BASE[1] + 1: "Eve ", BASE[1] + 2: " ", BASE[1] + 3: " "}
     assert edges.count() == graph[1].count()
 
 

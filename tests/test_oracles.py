@@ -4,27 +4,15 @@ import pytest
 
 from compare import differences, duck
 from marketloom.queries import all_queries
-from marketloom.specs import TABLES
 
 SF = "/root/testdata/sf0.001"
-# One Silver pair per kind of table by default; --all-tables runs all of them.
-_PICKED = {"item", "customer", "web_sales", "store_returns"}
-
-
-def _every_table(name: str) -> bool:
-    head, _, table = name.partition("_")
-    return head in ("silver", "anomalies") and table in TABLES and table not in _PICKED
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))
-def test_query(spark, con, name, request):
-    if _every_table(name) and not request.config.getoption("--all-tables"):
-        pytest.skip("run with --all-tables")
+def test_query(spark, con, name):
     q = all_queries()[name]
     assert q.oracle, "every query has a twin"
     assert differences(q(spark, SF), con, q.oracle) is None
