@@ -34,6 +34,7 @@ RADIUS = 24  # largest distance that is still verified; all within BLOCKS - AGRE
 STRIDE, SHORT = 4, 8
 SHARE = 0.6
 CHUNK = 1 << 18
+SLICE = 1 << 17  # words of a long text that are expanded to bits at once
 
 
 def ladder(top: int) -> list[int]:
@@ -164,15 +165,18 @@ def _document_windows(known):
                 doc = np.repeat(np.arange(hi - lo), w.counts)
                 place = np.arange(len(doc)) - w.first[doc]
                 left = w.first[doc + 1] - np.arange(len(doc))
-                sums: dict[bool, dict[int, np.ndarray]] = {}
                 out = []
-                for length in lengths:
-                    at = np.flatnonzero((left >= length) & ((place % (1 if length <= SHORT else STRIDE)) == 0))
+                for base, length in ((b, n) for b in range(0, len(doc), SLICE) for n in lengths):
+                    if length == lengths[0]:
+                        sums: dict[bool, dict[int, np.ndarray]] = {}
+                    cut = slice(base, base + SLICE)
+                    at = base + np.flatnonzero((left[cut] >= length) & (place[cut] % (1 if length <= SHORT else STRIDE) == 0))
                     if not len(at):
                         continue
                     if (length > 1) not in sums:
-                        sums[length > 1] = run_sums(feature_bits(w.hashes, length), lengths[-1] if length > 1 else 1)
-                    prints = fingerprints(sums[length > 1], at, length)
+                        sums[length > 1] = run_sums(
+                            feature_bits(w.hashes[base:base + SLICE + lengths[-1]], length), lengths[-1] if length > 1 else 1)
+                    prints = fingerprints(sums[length > 1], at - base, length)
                     values = block_values(prints)
                     hit = np.stack([maps[length, b][values[:, b] >> 3] >> (values[:, b] & 7).astype(np.uint8) & 1
                                     for b in range(BLOCKS)], axis=1)

@@ -80,17 +80,42 @@ class Hasher:
         data = self.lower[np.frombuffer(b"\n".join(coded) + b"\n", np.uint8)]
         base = np.zeros(len(coded) + 1, np.int64)
         np.cumsum([len(x) + 1 for x in coded], out=base[1:])
-        if len(data) > len(self.up):
-            self._grow(len(data))
         inside = np.zeros(len(data) + 1, np.int8)
         inside[1:] = self.is_word[data]
         edge = np.diff(inside)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        # A polynomial over the bytes, from running sums.
+        hashes = np.empty(len(starts), np.uint64)
+        lo = 0
+        while lo < len(starts):  # some whole words at a time, so that a very long text takes no more room
+            hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + 2 * CHUNK_BYTES, "right")))
+            hashes[lo:hi] = self._hash(data[starts[lo]:ends[hi - 1]], starts[lo:hi] - starts[lo], ends[lo:hi] - starts[lo])
+            lo = hi
+        return Words(hashes, starts, ends, np.searchsorted(starts, base), base, data)
+
+    def _hash(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A polynomial over the bytes of each word, from running sums."""
+        if len(data) > len(self.up):
+            self._grow(len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.value[data] * self.up[:len(data)], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
-        return Words(hashes, starts, ends, np.searchsorted(starts, base), base, data)
+        return mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
+def words_of(texts: Sequence[str | None], separators: bytes = SPACES) -> Words:
+    """Words of many texts as one, hashed chunk by chunk."""
+    hasher, parts = Hasher(separators), []
+    for lo, hi in chunks(texts):
+        parts.append(hasher.words(texts[lo:hi]))
+    if not parts:
+        return hasher.words([])
+    at = np.cumsum([0, *(len(p.data) for p in parts)])
+    n = np.cumsum([0, *(len(p.hashes) for p in parts)])
+    pairs = list(zip(parts, at, strict=False))
+    return Words(
+        np.concatenate([p.hashes for p in parts]), np.concatenate([p.starts + a for p, a in pairs]),
+        np.concatenate([p.ends + a for p, a in pairs]),
+        np.concatenate([p.first[:-1] + k for p, k in zip(parts, n, strict=False)] + [n[-1:]]),
+        np.concatenate([p.base[:-1] + a for p, a in pairs] + [at[-1:]]), np.concatenate([p.data for p in parts]))
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from marketloom.llm.toxicnet import ToxicNet, Vocabulary, train, windows
 HELD_OUT = (4, 2)
 THRESHOLD = 0.3
 #: Bound of the sample: documents per label, the first by a hash of their id.
-SAMPLE_PER_LABEL = 1200
+SAMPLE_PER_LABEL = 1000
 CHUNK = 1 << 19
 
 

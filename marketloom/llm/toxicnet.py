@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from marketloom.llm.hashing import Hasher, Words, mix
+from marketloom.llm.hashing import Words, mix, words_of
 
 WORD_ROWS, WORD_DIM = 1 << 15, 8
 GRAM_ROWS, GRAM_DIM = 1 << 13, 8
@@ -28,20 +28,19 @@ class Vocabulary:
         _, where, self.ids = np.unique(w.hashes, return_index=True, return_inverse=True)
         self.word_rows = (w.hashes[where] % np.uint64(WORD_ROWS)).astype(np.int64)
         starts, ends = w.starts[where], w.ends[where]
-        data = np.concatenate(([0], w.data)).astype(np.uint64)  # a separator in front of the first word
+        data = np.concatenate((np.zeros(1, np.uint8), w.data))  # a separator in front of the first word
         self.n_grams = (ends - starts).astype(np.int64)
         self.gram_first = np.concatenate(([0], np.cumsum(self.n_grams)))
         at = np.arange(self.gram_first[-1]) - np.repeat(self.gram_first[:-1], self.n_grams) + np.repeat(starts, self.n_grams)
-        left = np.where(data[at] <= 32, np.uint64(0), data[at])
-        right = np.where(data[at + 2] <= 32, np.uint64(0), data[at + 2])
-        self.grams = (mix((left << np.uint64(16)) | (data[at + 1] << np.uint64(8)) | right) % np.uint64(GRAM_ROWS)).astype(np.int64)
+        left, middle, right = (np.where(data[at + k] <= 32, 0, data[at + k]).astype(np.uint64) for k in range(3))
+        self.grams = (mix((left << np.uint64(16)) | (middle << np.uint64(8)) | right) % np.uint64(GRAM_ROWS)).astype(np.int64)
         # One column per length; a shorter word has its whole self in the first.
         self.start_rows = np.empty((len(where), len(STARTS)), np.int64)
         length = ends - starts
         self.has_start = np.stack([length >= n if n > STARTS[0] else length > 0 for n in STARTS], axis=1)
         seen = np.zeros(len(where), np.uint64)
         for k in range(STARTS[-1]):
-            byte = data[np.minimum(starts + 1 + k, len(data) - 1)]
+            byte = data[np.minimum(starts + 1 + k, len(data) - 1)].astype(np.uint64)
             seen = np.where(k < length, mix(seen * np.uint64(257) + byte + np.uint64(1)), seen)
             if k + 1 in STARTS:
                 self.start_rows[:, STARTS.index(k + 1)] = seen % np.uint64(START_ROWS)
@@ -62,10 +61,11 @@ def windows(first: np.ndarray, ids: np.ndarray, pad: int) -> tuple[np.ndarray, n
     text = np.repeat(np.arange(len(n)), per)
     k = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
     start = np.minimum(k * STEP, np.maximum(n[text] - WINDOW, 0))
-    place = start[:, None] + np.arange(WINDOW)[None, :]
-    inside = place < n[text][:, None]
-    where = np.minimum(first[text][:, None] + place, max(len(ids) - 1, 0))
-    return (np.where(inside, ids[where], pad) if len(ids) else np.zeros((0, WINDOW), np.int64)), text
+    out = np.full((len(text), WINDOW), pad, np.int32)
+    for k in range(WINDOW):
+        inside = start + k < n[text]
+        out[inside, k] = ids[(first[text] + start + k)[inside]]
+    return out, text
 
 
 def _summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -208,18 +208,16 @@ class ToxicNet:
     def prime(self, v: Vocabulary, first: np.ndarray, labels: np.ndarray, use: np.ndarray) -> None:
         """Starts the first dimension of each table with the smoothed log odds of a row in toxic
         against other texts, so that few texts are enough to find the words that matter."""
-        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        word, text = v.ids[use[text]], text[use[text]]
         share = max(float(labels[use].mean()), 1e-3)
-        n = v.n_grams[word]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(v.gram_first[word], n)
-        of, col = np.nonzero(v.has_start[word])
-        for name, rows, of, size in (("word", v.word_rows[word], text, WORD_ROWS),
-                                     ("gram", v.grams[at], np.repeat(text, n), GRAM_ROWS),
-                                     ("start", v.start_rows[word[of], col], text[of], START_ROWS)):
-            pairs = np.unique(rows * len(labels) + of)
-            rows, toxic = pairs // len(labels), labels[pairs % len(labels)] > 0
-            yes, no = (np.bincount(rows[x], minlength=size) for x in (toxic, ~toxic))
+        seen = {name: np.zeros((2, len(self.p[name]))) for name in ("word", "gram", "start")}
+        for d in np.flatnonzero(use):  # text by text: no table of all words and texts
+            word = np.unique(v.ids[first[d]:first[d + 1]])
+            n = v.n_grams[word]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(v.gram_first[word], n)
+            for name, rows in (("word", v.word_rows[word]), ("gram", v.grams[at]),
+                               ("start", v.start_rows[word][v.has_start[word]])):
+                seen[name][int(labels[d] > 0), np.unique(rows)] += 1
+        for name, (no, yes) in seen.items():
             odds = np.log((yes + 4 * share) / (no + 4 * (1 - share))) - np.log(share / (1 - share))
             self.p[name][:, 0] = np.where(yes + no >= 3, odds, 0)
 
@@ -256,7 +254,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 3,
     besides any others. Every fourth text is kept for the calibration of scores."""
     r = np.random.default_rng(seed)
     net = ToxicNet(seed)
-    w = Hasher().words(texts)
+    w = words_of(texts)
     v = Vocabulary(w)
     idx, text = windows(w.first, v.ids, len(v))
     if not len(idx) or len(set(labels)) < 2:
