@@ -1,4 +1,5 @@
-"""The four marts. Inputs are Silver tables and the unified facts, outputs are lazy frames."""
+"""The four marts over Silver tables and the unified facts. Ranks run jobs while the plan is built:
+the ranked aggregates are checkpointed; all else is lazy."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from marketloom.functions.exprs import (
 from marketloom.operators import aggregates as agg
 from marketloom.operators.joins import enrich_customer, join_dates, left_join, with_scalar
 from marketloom.operators.rank import global_rank
+from marketloom.session import checkpointed
 
 AMOUNT = T.DecimalType(18, 2)  # money at the mart boundary
 
@@ -69,15 +71,19 @@ def score_customers(sales: DataFrame, returns: DataFrame) -> DataFrame:
     scored = with_scalar(buyers, agg.reference_day(sales)).withColumn(
         "recency_days", recency_days(F.col("today_sk"), F.col("last_sale_date_sk"))
     ).drop("today_sk")
+    # Read by three sorts and by the result. Only the key and one measure are sorted.
+    scored = checkpointed(scored)
     key = F.col("customer_sk").asc()
+    out = scored
     # Descending puts NULLs first and ascending puts them last, as in PostgreSQL.
-    for quintile, order in (
-        ("r_quintile", F.col("recency_days").desc_nulls_first()),
-        ("f_quintile", F.col("order_count").asc_nulls_last()),
-        ("m_quintile", F.col("ltv_net_paid").asc_nulls_last()),
+    for quintile, measure, order in (
+        ("r_quintile", "recency_days", F.col("recency_days").desc_nulls_first()),
+        ("f_quintile", "order_count", F.col("order_count").asc_nulls_last()),
+        ("m_quintile", "ltv_net_paid", F.col("ltv_net_paid").asc_nulls_last()),
     ):
-        scored = global_rank(scored, [order, key], tiles={quintile: 5})
-    return scored
+        tiles = global_rank(scored.select("customer_sk", measure), [order, key], tiles={quintile: 5})
+        out = out.join(tiles.select("customer_sk", quintile), "customer_sk")
+    return out
 
 
 def mart_customer_360(
@@ -115,12 +121,14 @@ def mart_product_analytics(items: DataFrame, sales: DataFrame, returns: DataFram
 
     Returns show even for unsold items; rank and rate of an unsold item are NULL.
     """
-    ranked = global_rank(
-        agg.item_sales(sales),
+    sold = checkpointed(agg.item_sales(sales))
+    ranks = global_rank(
+        sold.select("item_sk", "total_net_sales"),
         [F.col("total_net_sales").desc_nulls_last(), F.col("item_sk").asc()],
         row_number="sales_rank",
         tiles={"sales_percentile": 100},
-    ).withColumnRenamed("item_sk", "i_item_sk")
+    ).drop("total_net_sales")
+    ranked = sold.join(ranks, "item_sk").withColumnRenamed("item_sk", "i_item_sk")
     returned = agg.item_returns(returns).withColumnRenamed("item_sk", "i_item_sk")
     joined = left_join(left_join(items, ranked, "i_item_sk"), returned, "i_item_sk")
     return joined.select(
