@@ -6,8 +6,9 @@ leave the scored document out, otherwise every pair would be known by itself.
 
 Word counts are kept in a hashed table of fixed size (words of one slot share their count), so
 every task can hold it. Pair counts have no bound: the pairs of each document, counted within it,
-are dealt to buckets by their hash, as packed arrays; a bucket adds its pairs up and joins the
-sums to the pairs of the documents, and what each document gains there is summed per document.
+are dealt to buckets by their hash, as packed arrays, one row per chunk of documents and bucket; a
+bucket adds its pairs up and joins the sums to the pairs of the documents. What the documents of a
+chunk gain in a bucket is packed likewise and summed per document where the chunk's rows meet.
 Pairs so frequent that a bucket couldn't hold their documents (at most 8192 can be) are counted
 beforehand and looked up in the task that reads the text.
 """
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +93,12 @@ def _unplaned(raw: bytes, n: int) -> np.ndarray:
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
-ROWS = "bucket int, ids binary, marks binary, pairs binary, docs binary, counts binary, gains binary, base binary, words binary"
+ROWS = "bucket int, chunk long, ids binary, nulls binary, base binary, words binary, pairs binary, docs binary, counts binary, gains binary"
+CHUNK_ROWS = "chunk long, ids binary, nulls binary, base binary, words binary, docs binary, gains binary"
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
 
 
 def _score_alone(table, words: int, known, bits: int):
@@ -100,20 +107,20 @@ def _score_alone(table, words: int, known, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, count = Hasher(), np.frombuffer(table.value, np.int64)
         keys, totals = (np.frombuffer(x, t) for x, t in zip(known.value, (np.uint64, np.int64), strict=True))
-        turn = 0
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in chunks(texts, CHUNK):
                 # Documents are numbered in 16 bits.
                 for a in range(lo, hi, 1 << 16):
                     z = min(hi, a + (1 << 16))
-                    turn += 1
-                    yield from _chunk_rows(hasher, count, keys, totals, words, bits, turn, texts[a:z],
-                                           batch.column("doc_id").slice(a, z - a), batch.column("tkey").slice(a, z - a))
+                    chunk += 1
+                    yield _chunk_rows(hasher, count, keys, totals, words, bits, chunk, texts[a:z],
+                                      batch.column("doc_id").slice(a, z - a))
     return run
 
 
-def _chunk_rows(hasher, count, keys, totals, words, bits, turn, texts, ids, marks) -> Iterator[pa.RecordBatch]:
+def _chunk_rows(hasher, count, keys, totals, words, bits, chunk, texts, ids) -> pa.RecordBatch:
     w = hasher.words(texts)
     n = w.counts
     doc = np.repeat(np.arange(len(n)), n)
@@ -141,65 +148,73 @@ def _chunk_rows(hasher, count, keys, totals, words, bits, turn, texts, ids, mark
         sure = np.flatnonzero(left > 0)
         score += np.bincount(d[sure], k[sure] * (np.log(left[sure]) + gain[sure]), len(n))
         h, d, k, gain = (x[~is_known] for x in (h, d, k, gain))
-    names = np.ascontiguousarray(ids.fill_null(0).to_numpy(zero_copy_only=False)).tobytes()
-    nulls = np.packbits(ids.is_null().to_numpy(zero_copy_only=False)).tobytes()
-    mark = np.ascontiguousarray(marks.to_numpy(zero_copy_only=False)).tobytes()
     bucket = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
     cut = np.flatnonzero(np.diff(bucket)) + 1
-    rows = [(-1 - turn % (1 << bits), names, mark, nulls, None, None, None, score.tobytes(), n.astype(np.int64).tobytes())]
+    rows = [(
+        -1 - chunk % (1 << bits), chunk, ids.fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
+        np.packbits(ids.is_null().to_numpy(zero_copy_only=False)).tobytes(), score.tobytes(), n.astype(np.int64).tobytes(),
+        None, None, None, None)]
     # 48 bits behind those of the bucket, as steps between sorted values.
     tail = (h << np.uint64(bits)) >> np.uint64(16)
     fixed = np.round(np.clip(gain, -31, 31) * GRAIN).astype(np.int16)
     for x, y in zip([0, *cut], [*cut, len(h)], strict=True):
         if x < y:
-            rows.append((int(bucket[x]), names, mark, _planes(np.diff(tail[x:y], prepend=np.uint64(0)), 6),
-                         d[x:y].astype(np.uint16).tobytes(), _planes(k[x:y], 4), fixed[x:y].tobytes(), None, nulls))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 9))],
-        [x.split()[0] for x in ROWS.split(", ")])
-
-
-OUT = "doc_id long, tkey long, total double, words long, rows int"
-
-
-def _emit(ids, nulls, marks, total, words, rows) -> pa.RecordBatch:
-    n = len(total)
-    return pa.RecordBatch.from_arrays([
-        pa.array(ids, mask=np.unpackbits(np.frombuffer(nulls, np.uint8))[:len(ids)].astype(bool)), pa.array(marks),
-        pa.array(total), pa.array(words if words is not None else np.zeros(n, np.int64)),
-        pa.array(np.full(n, rows, np.int32))], [x.split()[0] for x in OUT.split(", ")])
+            rows.append((int(bucket[x]), chunk, None, None, None, None,
+                         _planes(np.diff(tail[x:y], prepend=np.uint64(0)), 6), d[x:y].astype(np.uint16).tobytes(),
+                         _planes(k[x:y], 4), fixed[x:y].tobytes()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
+         *(pa.array([r[i] for r in rows], pa.binary()) for i in range(2, 10))], _names(ROWS))
 
 
 def _join_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the pairs of a bucket up and gives each document what its known pairs gain."""
+    """Adds the pairs of a bucket up; per chunk, the documents that gain from them and how much.
+    Rows of the chunks themselves pass through."""
     for table in runs(batches, ["bucket"]):
         bucket = table.column("bucket").to_numpy()
-        col = {c: table.column(c).to_pylist() for c in table.column_names[1:]}
-        for i in np.flatnonzero(bucket < 0):
-            yield _emit(np.frombuffer(col["ids"][i], np.int64), col["pairs"][i], np.frombuffer(col["marks"][i], np.int64),
-                        np.frombuffer(col["base"][i]), np.frombuffer(col["words"][i], np.int64), 1)
+        own = table.filter(pa.array(bucket < 0)).select(_names(CHUNK_ROWS))
+        if own.num_rows:
+            yield from own.to_batches()
         for b in np.unique(bucket[bucket >= 0]):
-            rows = np.flatnonzero(bucket == b)
-            parts = [np.cumsum(_unplaned(col["pairs"][i], 6)) for i in rows]
-            pairs = np.concatenate(parts)
-            k = np.concatenate([_unplaned(col["counts"][i], 4) for i in rows]).astype(np.int64)
+            part = table.filter(pa.array(bucket == b))
+            col = {c: part.column(c).to_pylist() for c in ("chunk", "pairs", "docs", "counts", "gains")}
+            each = [np.cumsum(_unplaned(x, 6)) for x in col["pairs"]]
+            pairs = np.concatenate(each)
+            k = np.concatenate([_unplaned(x, 4) for x in col["counts"]]).astype(np.int64)
             order = np.argsort(pairs, kind="stable")
             new = np.ones(len(pairs), bool)
             new[1:] = pairs[order][1:] != pairs[order][:-1]
             total = np.empty(len(pairs), np.int64)
             total[order] = np.add.reduceat(k[order], np.flatnonzero(new))[np.cumsum(new) - 1]
             left = total - k
-            gain = np.concatenate([np.frombuffer(col["gains"][i], np.int16) for i in rows]) / GRAIN
+            gain = np.concatenate([np.frombuffer(x, np.int16) for x in col["gains"]]) / GRAIN
             gain = np.where(left > 0, k * (np.log(np.maximum(left, 1)) + gain), 0.0)
-            at = 0
-            for i, part in zip(rows, parts, strict=True):
-                ids, marks = np.frombuffer(col["ids"][i], np.int64), np.frombuffer(col["marks"][i], np.int64)
-                d = np.frombuffer(col["docs"][i], np.uint16)
-                gained = np.bincount(d, gain[at:at + len(part)], len(ids))
-                at += len(part)
+            at, out = 0, []
+            for x, docs, chunk in zip(each, col["docs"], col["chunk"], strict=True):
+                gained = np.bincount(np.frombuffer(docs, np.uint16), gain[at:at + len(x)])
+                at += len(x)
                 some = np.flatnonzero(gained)
-                null = np.unpackbits(np.frombuffer(col["words"][i], np.uint8))[:len(ids)][some]
-                yield _emit(ids[some], np.packbits(null).tobytes(), marks[some], gained[some], None, 0)
+                out.append((chunk, some.astype(np.uint16).tobytes(), gained[some].astype(np.float32).tobytes()))
+            none = pa.nulls(len(out), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in out], pa.int64()), none, none, none, none,
+                 *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2))], _names(CHUNK_ROWS))
+
+
+def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in runs(batches, ["chunk"]):
+        chunk = table.column("chunk").to_numpy()
+        for c in np.unique(chunk):
+            rows = table.filter(pa.array(chunk == c)).to_pylist()
+            own = next(r for r in rows if r["ids"] is not None)
+            ids, n, score = np.frombuffer(own["ids"], np.int64), np.frombuffer(own["words"], np.int64), np.array(np.frombuffer(own["base"]))
+            for r in rows:
+                if r["docs"] is not None:
+                    score[np.frombuffer(r["docs"], np.uint16)] += np.frombuffer(r["gains"], np.float32)
+            null = np.unpackbits(np.frombuffer(own["nulls"], np.uint8))[:len(ids)].astype(bool)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, mask=null), pa.array(n), pa.array(score / np.maximum(n, 1), mask=n == 0)],
+                ["doc_id", "n_words", "log_score"])
 
 
 def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
@@ -210,7 +225,7 @@ def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", buc
     document nothing is known. Other columns are not read; an empty table gives no rows.
     """
     sc = docs.sparkSession.sparkContext
-    plain = docs.select(F.col(id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), F.col(text).alias("text"))
+    plain = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = plain.select("text").mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
     kind, key, n = (counts.column(c).to_numpy() for c in ("kind", "key", "n"))
     table = np.zeros(SLOTS, np.int64)
@@ -224,10 +239,6 @@ def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", buc
         totals[np.searchsorted(often, known.column("key").to_numpy().view(np.uint64))] = known.column("n").to_numpy()
     bits = max(0, math.ceil(math.log2(max(1, words / bucket_pairs))))
     rows = plain.mapInArrow(_score_alone(sc.broadcast(table.tobytes()), words, sc.broadcast((often.tobytes(), totals.tobytes())), bits), ROWS)
-    parts = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join_bucket, OUT)
-    per = parts.groupBy("doc_id", "tkey").agg(
-        F.sum("total").alias("total"), F.sum("words").alias("words"), F.sum("rows").cast("int").alias("rows"))
-    # Rows that repeat an id and a text score alike and are one row here.
-    return per.withColumn("_row", F.explode(F.array_repeat(F.lit(1), F.col("rows")))).select(
-        F.col("doc_id").alias(id), (F.col("words") / F.col("rows")).cast("long").alias("n_words"),
-        F.when(F.col("words") > 0, F.col("total") / F.col("words")).alias("log_score"))
+    parts = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join_bucket, CHUNK_ROWS)
+    return parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(
+        _sum_chunks, "doc_id long, n_words long, log_score double").withColumnRenamed("doc_id", id)
