@@ -160,11 +160,12 @@ def repeated_blocks(docs: DataFrame, least: int = BLOCK_WORDS, anchor: int = ANC
     held = known.select(F.struct("doc_id", "tkey").alias("d"), F.explode(F.array_distinct(F.transform(
         F.filter(F.arrays_zip("lines", "sizes"), lambda x: x["sizes"] >= anchor), lambda x: x["lines"]))).alias("line"))
     first = held.groupBy("line").agg(F.min("d").alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = stored(held.join(first, "line").filter("d <> f").select("f", "d").distinct(), "pairs")
+    # Sorted joins at every size: the sides grow alike, and a hot line or document can be split.
+    pairs = stored(held.hint("merge").join(first, "line").filter("d <> f").select("f", "d").distinct(), "pairs")
     earlier = pairs.select(F.col("f.doc_id").alias("doc_id"), F.col("f.tkey").alias("tkey"), "d").join(
-        known.select("doc_id", "tkey", F.col("lines").alias("first_lines")), ["doc_id", "tkey"]).select("d", "first_lines")
+        known.select("doc_id", "tkey", F.col("lines").alias("first_lines")).hint("merge"), ["doc_id", "tkey"]).select("d", "first_lines")
     both = earlier.select(F.col("d.doc_id").alias("doc_id"), F.col("d.tkey").alias("tkey"), "first_lines").join(
-        known, ["doc_id", "tkey"])
+        known.hint("merge"), ["doc_id", "tkey"])
     blocks = both.select("doc_id", "tkey", "lines", "sizes", "first_lines").mapInArrow(
         _align(least), "doc_id long, tkey long, lo int, hi int")
     return lines, stored(blocks.distinct(), "blocks")
@@ -222,5 +223,5 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
     plain = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     _, blocks = repeated_blocks(plain, least)
     cuts = blocks.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("lo", "hi")).alias("blocks"))
-    rows = plain.withColumn("tkey", F.xxhash64("text")).join(cuts, ["doc_id", "tkey"], "left").select("doc_id", "text", "blocks")
+    rows = plain.withColumn("tkey", F.xxhash64("text")).hint("merge").join(cuts, ["doc_id", "tkey"], "left").select("doc_id", "text", "blocks")
     return rows.mapInArrow(_cut, f"doc_id long, {CUT}").withColumnRenamed("doc_id", id)
