@@ -34,16 +34,12 @@ def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
-def _url_digest(pages: DataFrame) -> DataFrame:
-    return urlfilter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": _on(neardup.near_duplicates, "documents"),
     "op2_license_scan": _on(licenses.license_digest, "documents"),
     "op3_decontamination": _on(decontamination.contaminated, "documents", "benchmark"),
     "op4_quality_rules": _on(quality.quality_digest, "documents"),
-    "op5_url_filter": _on(_url_digest, "pages"),
+    "op5_url_filter": _on(urlfilter.url_digest, "pages"),
     "op6_lm_scoring": _on(lmscore.score_documents, "documents"),
     "op7_sharding": _on(sharding.shard_digest, "documents"),
     "op8_mixing": _on(mixing.mix_digest, "documents"),
@@ -52,8 +48,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": _pipeline,
 }
 ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": neardup.digest_sql(),
     "op2_license_scan": licenses.digest_sql(),
     "op4_quality_rules": quality.digest_sql(),
+    "op5_url_filter": urlfilter.digest_sql(),
     "op7_sharding": sharding.digest_sql(),
     "op8_mixing": mixing.digest_sql(),
 }

@@ -45,8 +45,8 @@ MIN_DISTRUST = 0.1  # of the mean rank of a host
 
 def url_parts(url: Column) -> tuple[Column, Column]:
     """Host and path; both empty for null and for urls without ``://``."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("_url"))).otherwise("")
-    rest = F.coalesce(rest, F.lit(""))
+    at = F.instr(url, "://")
+    rest = F.coalesce(F.when(at > 0, url.substr(at + 3, F.length(url))), F.lit(""))
     host = ascii_lower(F.regexp_extract(rest, "^[^/?#]*", 0))
     return host, F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
@@ -140,3 +140,53 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id: str = "pa
         id, "host", "path", F.col("rule.name").alias("rule"),
         F.coalesce(F.col("rule.verdict"), F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+
+
+def url_digest(pages: DataFrame) -> DataFrame:
+    return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def digest_sql() -> str:
+    """The same in SQL over pages, with all rounds of the propagation."""
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    longest = sorted(RULES, key=lambda r: (-len(r.name), r.name))
+    fits = " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name}'"
+                    for r in longest)
+    verdicts = " ".join(f"WHEN '{r.name}' THEN '{r.verdict}'" for r in RULES)
+    return f"""
+WITH RECURSIVE rests AS (
+  SELECT row_number() OVER () AS r, page_id, html,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
+  SELECT r, page_id, html, {lower.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+ruled AS (SELECT *, CASE {fits} END AS rule FROM parsed),
+judged AS (SELECT *, CASE rule {verdicts} END AS ruling FROM ruled),
+words AS (
+  SELECT DISTINCT r, host, {lower.format('word')} AS word FROM (
+    SELECT r, host, unnest(regexp_extract_all(html, '((?://)?[A-Za-z0-9_-]+(?:\\.[A-Za-z0-9_-]+)+(?::[0-9]+)?)', 1)) AS word FROM judged)),
+named AS (
+  SELECT host AS src, CASE WHEN starts_with(word, '//') THEN substr(word, 3) ELSE word END AS dst, starts_with(word, '//') AS link, count(*) AS n
+  FROM words GROUP BY ALL),
+links AS (
+  SELECT src, dst, max(n) AS n FROM named WHERE src <> dst AND src <> '' AND (link OR dst IN (SELECT host FROM judged)) GROUP BY ALL),
+edges AS (SELECT 'trust' AS kind, src, dst, n FROM links UNION ALL SELECT 'distrust', dst, src, n FROM links),
+shares AS (SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS share FROM edges),
+hosts AS (
+  SELECT host, avg((coalesce(ruling, '') = 'allow')::INT) AS allow, avg((coalesce(ruling, '') = 'block')::INT) AS block
+  FROM judged WHERE host <> '' GROUP BY host),
+seeds AS (
+  SELECT kind, host, 1.0::DOUBLE / count(*) OVER (PARTITION BY kind) AS s FROM (
+    SELECT 'trust' AS kind, host FROM hosts WHERE allow > 0.5 UNION ALL SELECT 'distrust', host FROM hosts WHERE block > 0.5)),
+ranks AS (
+  SELECT 0 AS i, kind, host, s AS rank FROM seeds
+  UNION ALL
+  SELECT i + 1, kind, host, {DAMPING} * sum(got) + (1 - {DAMPING} * sum(sum(got)) OVER (PARTITION BY kind)) * max(s) FROM (
+    SELECT k.i, e.kind, e.dst AS host, k.rank * e.share AS got, 0.0::DOUBLE AS s FROM ranks k JOIN shares e ON e.kind = k.kind AND e.src = k.host
+    UNION ALL SELECT k.i, s.kind, s.host, 0.0, s.s FROM (SELECT DISTINCT i FROM ranks) k, seeds s) WHERE i < {ROUNDS} GROUP BY i, kind, host),
+scores AS (
+  SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS trust, coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust
+  FROM ranks WHERE i = {ROUNDS} GROUP BY host)
+SELECT page_id, j.host, path, rule, coalesce(ruling, CASE WHEN distrust > trust AND distrust * greatest((SELECT count(*) FROM hosts), 1) > {MIN_DISTRUST}
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN scores USING (host)"""
