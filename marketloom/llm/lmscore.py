@@ -30,8 +30,8 @@ from marketloom.llm.neardup import runs
 ALPHA = 0.4
 SLOTS = 1 << 21
 FREQUENT = 4096  # a pair is frequent from this share of all pairs on: 1 / FREQUENT
-BUCKET_PAIRS = 1 << 22
-CHUNK = 1 << 21
+BUCKET_PAIRS = 1 << 21
+CHUNK = 1 << 20
 GRAIN = 1024.0  # parts of a log unit kept of what a pair would gain
 
 

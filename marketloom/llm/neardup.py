@@ -13,8 +13,9 @@ comparison each. For a group of several blocks, some of its sets (pivots) are co
 block, until each pair of sets is connected, or shared a block, or has a pivot: nothing is lost
 and no task holds a group.
 
-Recall: a pair at similarity 0.75 meets in a tree with probability 0.8 or more, in one of 8 trees
-with 1 - 2e-6; and both agree in fewer than 28 of 64 tokens with probability 1e-8.
+Recall: a pair at similarity 0.75 meets in a small tree node of the first level with probability
+0.86, of the second with 0.72, and in one of 8 trees with 1 - 1e-7 or 1 - 4e-5; both agree in fewer
+than 28 of 64 tokens with probability 1e-8.
 """
 
 from __future__ import annotations
@@ -34,9 +35,9 @@ SHINGLE = 5
 PERCENT = 75
 TOKENS = 64
 TREES = 8
-FIRST_CHILDREN, CHILDREN = 2.0, 1.5  # expected common children of two sets at the threshold
+FIRST_CHILDREN, CHILDREN = 2.0, 1.0  # expected common children of two sets at the threshold
 DEPTH = 4
-SMALL_NODE = 256
+SMALL_NODE = 2048
 MIN_AGREE = 28
 BLOCK_SHINGLES = 2_000_000
 FIRST_PIVOTS, PIVOTS = 16, 512
@@ -160,9 +161,9 @@ def _link_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, n in zip(bounds[:-1][size > 8], size[size > 8], strict=True):
             rows = sketch[lo:lo + n]
             near = np.stack([(rows == r).sum(1) >= MIN_AGREE for r in rows])
-            label = np.arange(n)
+            label = np.arange(n, dtype=np.int32)
             while True:
-                lower = np.where(near, label[None, :], n).min(1)
+                lower = np.where(near, label[None, :], np.int32(n)).min(1)
                 if (lower == label).all():
                     break
                 label = lower
@@ -328,9 +329,32 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     roots = components(confirmed_links(plain, members, block_shingles))
     smallest = roots.join(sets.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("component_id"))
     linked = roots.join(smallest, "root").select("node", "component_id")
-    owner = sets.select("node", "rep").join(linked, "node", "left").select(
-        "node", F.coalesce("component_id", "rep").alias("component_id"))
+    # Stored, so that the join below deals both sides and can split a set with many copies.
+    owner = stored(sets.select("node", "rep").join(linked, "node", "left").select(
+        "node", F.coalesce("component_id", "rep").alias("component_id")), "owners")
     return features.select("doc_id", "n_shingles", "node").join(owner, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def digest_sql() -> str:
+    """The same in SQL over documents: all pairs that share a shingle, and what is reachable."""
+    return f"""
+WITH RECURSIVE split_up AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+members AS (
+  SELECT DISTINCT r, s FROM (SELECT r, unnest(CASE
+    WHEN len(w) >= {SHINGLE} THEN list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split_up)),
+sizes AS (SELECT r, count(*) AS n FROM members GROUP BY r),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM members a JOIN members b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= {PERCENT} * (p.n + q.n - c)),
+steps AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT r, r AS q FROM split_up UNION SELECT reached.r, steps.y FROM reached JOIN steps ON reached.q = steps.x),
+named AS (SELECT reached.r, min(d.doc_id) AS component_id FROM reached JOIN split_up d ON d.r = reached.q GROUP BY reached.r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM split_up JOIN named USING (r) LEFT JOIN sizes USING (r)"""

@@ -21,7 +21,7 @@ HELD_OUT = (4, 2)
 THRESHOLD = 0.3
 #: Bound of the sample: documents per label, the first by a hash of their id.
 SAMPLE_PER_LABEL = 1000
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 
 def held_out(id: Column) -> Column:

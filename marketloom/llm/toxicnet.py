@@ -242,7 +242,7 @@ class ToxicNet:
         a, b = self.p["line"].astype(np.float64)
         return np.where(np.isfinite(best), 1 / (1 + np.exp(-np.clip(a * best + b, -60, 60))), 0.0)
 
-    def window_logits(self, v: Vocabulary, idx: np.ndarray, batch: int = 2048) -> np.ndarray:
+    def window_logits(self, v: Vocabulary, idx: np.ndarray, batch: int = 1024) -> np.ndarray:
         table = self.inputs(v) @ self.p["x"] + self.p["bias"]
         parts = [self.forward(table, idx[i:i + batch]) for i in range(0, len(idx), batch)]
         return np.concatenate(parts) if parts else np.zeros(0, np.float32)
