@@ -13,9 +13,10 @@ comparison each. For a group of several blocks, some of its sets (pivots) are co
 block, until each pair of sets is connected, or shared a block, or has a pivot: nothing is lost
 and no task holds a group.
 
-Recall: a pair at similarity 0.75 meets in a small tree node of the first level with probability
-0.86, of the second with 0.72, and in one of 8 trees with 1 - 1e-7 or 1 - 4e-5; both agree in fewer
-than 28 of 64 tokens with probability 1e-8.
+Recall: a pair of similarity 0.75 shares a tree node of the first level with probability 0.86, of
+the second with 0.72, of the third with 0.61; so it is missed by all 8 trees with probability 1e-7,
+4e-5 and 6e-4, as large as the nodes around it make the trees deep. More similar pairs are missed
+less. Both agree in fewer than 28 of 64 tokens with probability 1e-8.
 """
 
 from __future__ import annotations

@@ -1,6 +1,8 @@
 import random
 
+import duckdb
 import pytest
+from compare import differences
 
 from marketloom.llm import urlfilter as U
 
@@ -43,7 +45,12 @@ def test_links_and_verdicts(spark):
     rows += [(20, "http://a.org/1", '<a href="http://bad.net/es/1">x</a>'), (21, "http://c.org/1", '<a href="/own">y</a>'),
              (22, "http://d.org/1", "see bad.net for v1.2.3 and c.org"), (23, "http://e.org/1", '<a href="http://a.org/1">x</a>'),
              (24, "http://f.org/1", None)]
-    got = {r["page_id"]: r for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert differences(U.url_digest(pages), con, U.digest_sql()) is None
+    got = {r["page_id"]: r for r in U.filter_urls(pages).collect()}
     assert got[20]["verdict"] == "block" and got[23]["verdict"] == "block"
     assert got[21]["verdict"] == "allow" and got[21]["trust"] > 0 and got[24]["verdict"] == "allow"
     assert got[22]["distrust"] > 0
