@@ -21,21 +21,24 @@ def _small(edges: DataFrame) -> DataFrame:
     return low.select("a", F.col("m").alias("b")).union(moved)
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and those have none."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest node reachable.
 
-    Every round links nodes to smaller ones and is written to the shared folder; a node of many
-    edges costs one row per edge, never a group in a task. Self loops and repeated edges are
-    allowed, nulls are not.
+    Every round links nodes to smaller ones and is written to the shared folder, until the edges
+    are stars around the roots; a node of many edges costs one row per edge, never a group in a
+    task. Self loops and repeated edges are allowed, nulls are not.
     """
     now = stored(edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = None
-    while True:
-        seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if seen["n"] == 0 or (seen["n"], seen["h"]) == mark:
-            break
-        mark = (seen["n"], seen["h"])
-        now = stored(_small(stored(_large(now).distinct(), "edges")).distinct(), "edges")
+    while not _is_stars(now):
+        now = stored(_small(stored(_large(now), "edges")).distinct(), "edges")
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
