@@ -4,13 +4,13 @@ A word pair scores count(pair) / count(first word) if the pair occurs outside th
 0.4 * count(second word) / words; a word unknown elsewhere scores 0.4 * 0.4 / words. All counts
 leave the scored document out, otherwise every pair would be known by itself.
 
-Word counts are kept in a hashed table of fixed size (words of one slot share their count), so
-every task can hold it. Pair counts have no bound: the pairs of each document, counted within it,
-are dealt to buckets by their hash, as packed arrays, one row per chunk of documents and bucket; a
-bucket adds its pairs up and joins the sums to the pairs of the documents. What the documents of a
-chunk gain in a bucket is packed likewise and summed per document where the chunk's rows meet.
-Pairs so frequent that a bucket couldn't hold their documents (at most 8192 can be) are counted
-beforehand and looked up in the task that reads the text.
+All counts are exact and kept by hash, so none is bounded by a table. The distinct words of a chunk
+of documents and the pairs of each document, counted within it, are dealt to buckets, as packed
+arrays, one row per chunk and bucket. A bucket of words sends the totals of its words back to the
+chunk; a bucket of pairs sends the places of those that occur elsewhere, and how often. Where the
+rows of a chunk meet again, its documents are scored. A word is in a bucket once per chunk, however
+frequent it is. Pairs so frequent that a bucket couldn't hold their documents (at most 8192 can be)
+are counted beforehand and looked up in the task that reads the text.
 """
 
 from __future__ import annotations
@@ -28,11 +28,10 @@ from marketloom.llm.hashing import Hasher, Words, chunks, mix
 from marketloom.llm.neardup import runs
 
 ALPHA = 0.4
-SLOTS = 1 << 21
 FREQUENT = 4096  # a pair is frequent from this share of all pairs on: 1 / FREQUENT
 BUCKET_PAIRS = 1 << 21
 CHUNK = 1 << 20
-GRAIN = 1024.0  # parts of a log unit kept of what a pair would gain
+SPREAD = 1_000_003  # rows of chunks are dealt by their number modulo this
 
 
 def pairs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -43,28 +42,27 @@ def pairs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slots_of(w: Words) -> np.ndarray:
-    return (w.hashes % np.uint64(SLOTS)).astype(np.int64)
+    """What words are counted under: their hashes, none shared."""
+    return w.hashes
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of this task: words per slot (kind 0), and pairs that may be frequent (kind 1): a
-    pair frequent in the corpus has half that share in chunks that hold half its places."""
-    hasher, table, often = Hasher(), np.zeros(SLOTS, np.int64), {}
+    """Counts of this task: all words (kind 0), and pairs that may be frequent (kind 1): a pair
+    frequent in the corpus has half that share in chunks that hold half its places."""
+    hasher, total, often = Hasher(), 0, {}
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for lo, hi in chunks(texts, CHUNK):
             w = hasher.words(texts[lo:hi])
-            table += np.bincount(slots_of(w), minlength=SLOTS)
+            total += len(w.hashes)
             _, h = pairs_of(w)
             value, n = np.unique(h, return_counts=True)
             big = n * 2 * FREQUENT >= len(h)
             for x, c in zip(value[big].view(np.int64).tolist(), n[big].tolist(), strict=True):
                 often[x] = often.get(x, 0) + c
-    used = np.flatnonzero(table)
     yield pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([np.zeros(len(used), np.int32), np.ones(len(often), np.int32)])),
-        pa.array(np.concatenate([used, np.fromiter(often, np.int64, len(often))])),
-        pa.array(np.concatenate([table[used], np.fromiter(often.values(), np.int64, len(often))]))], ["kind", "key", "n"])
+        pa.array([0] + [1] * len(often), pa.int32()), pa.array([0, *often], pa.int64()),
+        pa.array([total, *often.values()], pa.int64())], ["kind", "key", "n"])
 
 
 def _count_known(wanted):
@@ -82,55 +80,58 @@ def _count_known(wanted):
 
 
 def _planes(x: np.ndarray, n: int) -> bytes:
-    """The n low bytes of numbers, plane by plane: planes of zeros take no room once compressed."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T).tobytes()
+    """The n low bytes of numbers, plane by plane, compressed where that is shorter."""
+    raw = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].T).tobytes()
+    packed = len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return b"\1" + packed if len(packed) < len(raw) else b"\0" + raw
 
 
 def _unplaned(raw: bytes, n: int) -> np.ndarray:
+    raw = pa.decompress(raw[9:], int.from_bytes(raw[1:9], "little"), codec="zstd", asbytes=True) if raw[0] else raw[1:]
     rows = np.frombuffer(raw, np.uint8).reshape(n, -1)
     out = np.zeros((rows.shape[1], 8), np.uint8)
     out[:, :n] = rows.T
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
-ROWS = "bucket int, chunk long, ids binary, nulls binary, base binary, words binary, pairs binary, docs binary, counts binary, gains binary"
-CHUNK_ROWS = "chunk long, ids binary, nulls binary, base binary, words binary, docs binary, gains binary"
+#: A chunk's own row (bucket < 0) has ids, nulls, words and order; rows of pairs have places, those of words don't.
+ROWS = "bucket int, chunk long, ids binary, nulls binary, words binary, order binary, keys binary, counts binary, places binary, left binary"
+CHUNK_ROWS = "bucket int, chunk long, ids binary, nulls binary, words binary, order binary, counts binary, places binary, left binary, totals binary"
 
 
 def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
-def _score_alone(table, words: int, known, bits: int):
-    """Per chunk: what its documents score with no pair known (a row of its own), and for every
-    bucket the pairs of its documents with what each would gain if known."""
+def _batch(rows: list[dict], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r.get(n) for r in rows], kinds[k]) for n, k in (x.split() for x in schema.split(", "))], _names(schema))
+
+
+def _deal(known, bits: int):
+    """Per chunk: a row of its own with the order of its words and the frequent pairs found, and
+    for every bucket its distinct words, and the pairs of its documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, count = Hasher(), np.frombuffer(table.value, np.int64)
+        hasher = Hasher()
         keys, totals = (np.frombuffer(x, t) for x, t in zip(known.value, (np.uint64, np.int64), strict=True))
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in chunks(texts, CHUNK):
-                # Documents are numbered in 16 bits.
-                for a in range(lo, hi, 1 << 16):
-                    z = min(hi, a + (1 << 16))
-                    chunk += 1
-                    yield _chunk_rows(hasher, count, keys, totals, words, bits, chunk, texts[a:z],
-                                      batch.column("doc_id").slice(a, z - a))
+                chunk += 1
+                yield _batch(_chunk_rows(hasher, keys, totals, bits, chunk, texts[lo:hi], batch.column("doc_id").slice(lo, hi - lo)), ROWS)
     return run
 
 
-def _chunk_rows(hasher, count, keys, totals, words, bits, chunk, texts, ids) -> pa.RecordBatch:
+def _chunk_rows(hasher, keys, totals, bits, chunk, texts, ids) -> list[dict]:
     w = hasher.words(texts)
     n = w.counts
     doc = np.repeat(np.arange(len(n)), n)
-    slot = slots_of(w)
-    _, back, own = np.unique(doc * SLOTS + slot, return_inverse=True, return_counts=True)
-    rest = (count[slot] - own[back]).astype(np.float64)  # the word outside the document
-    others = np.log(np.maximum(words - n, 1).astype(np.float64))[doc]
-    alone = np.where(rest > 0, np.log(np.maximum(rest, 1)), math.log(ALPHA)) - others
-    score = np.bincount(doc, alone + math.log(ALPHA), len(n)).astype(np.float64)
-    score[n > 0] -= math.log(ALPHA)  # a first word has no pair to back off from
+    word, back, count = np.unique(slots_of(w), return_inverse=True, return_counts=True)
+    # Frequent words have small numbers, which pack well.
+    rank = np.empty(len(word), np.int64)
+    rank[_by_count(count)] = np.arange(len(word))
     at, h = pairs_of(w)
     order = np.lexsort((doc[at], h))
     h, at = h[order], at[order]
@@ -139,82 +140,116 @@ def _chunk_rows(hasher, count, keys, totals, words, bits, chunk, texts, ids) ->
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     begin = np.flatnonzero(new)
     k = np.diff(np.append(begin, len(h)))
-    h, at, d = h[begin], at[begin], d[begin]
-    gain = -np.log(np.maximum(rest[at], 1)) - alone[at + 1] - math.log(ALPHA)
+    h, at = h[begin], at[begin]
+    sure, left = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sure_at = sure_k = sure
     if len(keys) and len(h):
         where = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         is_known = keys[where] == h
         left = np.where(is_known, totals[where] - k, 0)
         sure = np.flatnonzero(left > 0)
-        score += np.bincount(d[sure], k[sure] * (np.log(left[sure]) + gain[sure]), len(n))
-        h, d, k, gain = (x[~is_known] for x in (h, d, k, gain))
+        sure_at, sure_k, left = at[sure], k[sure], left[sure]
+        h, at, k = (x[~is_known] for x in (h, at, k))
+    rows = [{
+        "bucket": -1 - chunk % SPREAD, "chunk": chunk, "ids": ids.fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
+        "nulls": np.packbits(ids.is_null().to_numpy(zero_copy_only=False)).tobytes(), "words": n.astype(np.int64).tobytes(),
+        "order": _planes(rank[back], 4), "keys": _planes(count, 4), "counts": _planes(sure_k, 4),
+        "places": _planes(sure_at, 4), "left": _planes(left, 8)}]
+    for x, y, bucket in _bucket_ranges(word, bits):
+        rows.append({"bucket": (1 << bits) + bucket, "chunk": chunk, "keys": _tails(word[x:y], bits), "counts": _planes(count[x:y], 4)})
+    for x, y, bucket in _bucket_ranges(h, bits):
+        rows.append({"bucket": bucket, "chunk": chunk, "keys": _tails(h[x:y], bits), "counts": _planes(k[x:y], 4),
+                     "places": _planes(at[x:y], 4)})
+    return rows
+
+
+def _by_count(count: np.ndarray) -> np.ndarray:
+    return np.argsort(-count, kind="stable")
+
+
+def _bucket_ranges(h: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """Ranges of sorted hashes with the same first bits, and these bits."""
     bucket = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
     cut = np.flatnonzero(np.diff(bucket)) + 1
-    rows = [(
-        -1 - chunk % (1 << bits), chunk, ids.fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
-        np.packbits(ids.is_null().to_numpy(zero_copy_only=False)).tobytes(), score.tobytes(), n.astype(np.int64).tobytes(),
-        None, None, None, None)]
-    # 48 bits behind those of the bucket, as steps between sorted values.
-    tail = (h << np.uint64(bits)) >> np.uint64(16)
-    fixed = np.round(np.clip(gain, -31, 31) * GRAIN).astype(np.int16)
     for x, y in zip([0, *cut], [*cut, len(h)], strict=True):
         if x < y:
-            rows.append((int(bucket[x]), chunk, None, None, None, None,
-                         _planes(np.diff(tail[x:y], prepend=np.uint64(0)), 6), d[x:y].astype(np.uint16).tobytes(),
-                         _planes(k[x:y], 4), fixed[x:y].tobytes()))
+            yield int(x), int(y), int(bucket[x])
+
+
+def _tails(h: np.ndarray, bits: int) -> bytes:
+    """48 bits behind those of the bucket, as steps between sorted values."""
+    return _planes(np.diff((h << np.uint64(bits)) >> np.uint64(16), prepend=np.uint64(0)), 6)
+
+
+def _join_bucket(bits: int):
+    """Adds the words or the pairs of a bucket up. Per chunk: the totals of its words, or the places
+    of the pairs that occur elsewhere, with both counts. Rows of the chunks themselves pass through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ["bucket"]):
+            bucket = table.column("bucket").to_numpy()
+            own = table.filter(pa.array(bucket < 0))
+            for r in own.to_pylist():
+                yield _batch([r | {"totals": r["keys"]}], CHUNK_ROWS)
+            for b in np.unique(bucket[bucket >= 0]):
+                part = table.filter(pa.array(bucket == b))
+                col = {c: part.column(c).to_pylist() for c in ("chunk", "keys", "counts", "places")}
+                each = [np.cumsum(_unplaned(x, 6)) for x in col["keys"]]
+                keys = np.concatenate(each)
+                k = np.concatenate([_unplaned(x, 4) for x in col["counts"]]).astype(np.int64)
+                order = np.argsort(keys, kind="stable")
+                new = np.ones(len(keys), bool)
+                new[1:] = keys[order][1:] != keys[order][:-1]
+                total = np.empty(len(keys), np.int64)
+                total[order] = np.add.reduceat(k[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+                at, out = 0, []
+                for x, places, chunk in zip(each, col["places"], col["chunk"], strict=True):
+                    here = slice(at, at + len(x))
+                    at += len(x)
+                    row = {"bucket": int(b), "chunk": chunk}
+                    if b >= 1 << bits:
+                        out.append(row | {"totals": _planes(total[here], 8)})
+                        continue
+                    left = total[here] - k[here]
+                    some = np.flatnonzero(left)
+                    if len(some):
+                        out.append(row | {"places": _planes(_unplaned(places, 4)[some], 4), "counts": _planes(k[here][some], 4),
+                                          "left": _planes(left[some], 8)})
+                if out:
+                    yield _batch(out, CHUNK_ROWS)
+    return run
+
+
+def _score_chunks(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ["chunk"]):
+            chunk = table.column("chunk").to_numpy()
+            for c in np.unique(chunk):
+                yield _score_chunk(sorted(table.filter(pa.array(chunk == c)).to_pylist(), key=lambda r: r["bucket"]), words)
+    return run
+
+
+def _score_chunk(rows: list[dict], words: int) -> pa.RecordBatch:
+    """Scores the documents of a chunk from its own row, which comes first, and those of the buckets."""
+    own = rows[0]
+    ids, n = np.frombuffer(own["ids"], np.int64), np.frombuffer(own["words"], np.int64)
+    doc = np.repeat(np.arange(len(n)), n)
+    totals = [_unplaned(r["totals"], 8).astype(np.int64) for r in rows[1:] if r["totals"] is not None]
+    total = np.concatenate([np.zeros(0, np.int64), *totals])[_by_count(_unplaned(own["totals"], 4).astype(np.int64))]
+    word = _unplaned(own["order"], 4).astype(np.int64)
+    _, back, mine = np.unique(doc * max(1, len(total)) + word, return_inverse=True, return_counts=True)
+    rest = (total[word] - mine[back]).astype(np.float64)  # the word outside the document
+    others = np.log(np.maximum(words - n, 1).astype(np.float64))[doc]
+    alone = np.where(rest > 0, np.log(np.maximum(rest, 1)), math.log(ALPHA)) - others
+    score = np.bincount(doc, alone + math.log(ALPHA), len(n)).astype(np.float64)
+    score[n > 0] -= math.log(ALPHA)  # a first word has no pair to back off from
+    for r in rows:
+        if r["places"] is not None:
+            at, k = (_unplaned(r[x], 4).astype(np.int64) for x in ("places", "counts"))
+            left = _unplaned(r["left"], 8).astype(np.float64)
+            score += np.bincount(doc[at], k * (np.log(left) - np.log(np.maximum(rest[at], 1)) - alone[at + 1] - math.log(ALPHA)), len(n))
+    null = np.unpackbits(np.frombuffer(own["nulls"], np.uint8))[:len(ids)].astype(bool)
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-         *(pa.array([r[i] for r in rows], pa.binary()) for i in range(2, 10))], _names(ROWS))
-
-
-def _join_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the pairs of a bucket up; per chunk, the documents that gain from them and how much.
-    Rows of the chunks themselves pass through."""
-    for table in runs(batches, ["bucket"]):
-        bucket = table.column("bucket").to_numpy()
-        own = table.filter(pa.array(bucket < 0)).select(_names(CHUNK_ROWS))
-        if own.num_rows:
-            yield from own.to_batches()
-        for b in np.unique(bucket[bucket >= 0]):
-            part = table.filter(pa.array(bucket == b))
-            col = {c: part.column(c).to_pylist() for c in ("chunk", "pairs", "docs", "counts", "gains")}
-            each = [np.cumsum(_unplaned(x, 6)) for x in col["pairs"]]
-            pairs = np.concatenate(each)
-            k = np.concatenate([_unplaned(x, 4) for x in col["counts"]]).astype(np.int64)
-            order = np.argsort(pairs, kind="stable")
-            new = np.ones(len(pairs), bool)
-            new[1:] = pairs[order][1:] != pairs[order][:-1]
-            total = np.empty(len(pairs), np.int64)
-            total[order] = np.add.reduceat(k[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-            left = total - k
-            gain = np.concatenate([np.frombuffer(x, np.int16) for x in col["gains"]]) / GRAIN
-            gain = np.where(left > 0, k * (np.log(np.maximum(left, 1)) + gain), 0.0)
-            at, out = 0, []
-            for x, docs, chunk in zip(each, col["docs"], col["chunk"], strict=True):
-                gained = np.bincount(np.frombuffer(docs, np.uint16), gain[at:at + len(x)])
-                at += len(x)
-                some = np.flatnonzero(gained)
-                out.append((chunk, some.astype(np.uint16).tobytes(), gained[some].astype(np.float32).tobytes()))
-            none = pa.nulls(len(out), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in out], pa.int64()), none, none, none, none,
-                 *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2))], _names(CHUNK_ROWS))
-
-
-def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in runs(batches, ["chunk"]):
-        chunk = table.column("chunk").to_numpy()
-        for c in np.unique(chunk):
-            rows = table.filter(pa.array(chunk == c)).to_pylist()
-            own = next(r for r in rows if r["ids"] is not None)
-            ids, n, score = np.frombuffer(own["ids"], np.int64), np.frombuffer(own["words"], np.int64), np.array(np.frombuffer(own["base"]))
-            for r in rows:
-                if r["docs"] is not None:
-                    score[np.frombuffer(r["docs"], np.uint16)] += np.frombuffer(r["gains"], np.float32)
-            null = np.unpackbits(np.frombuffer(own["nulls"], np.uint8))[:len(ids)].astype(bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, mask=null), pa.array(n), pa.array(score / np.maximum(n, 1), mask=n == 0)],
-                ["doc_id", "n_words", "log_score"])
+        [pa.array(ids, mask=null), pa.array(n), pa.array(score / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_words", "log_score"])
 
 
 def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
@@ -228,9 +263,7 @@ def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", buc
     plain = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = plain.select("text").mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
     kind, key, n = (counts.column(c).to_numpy() for c in ("kind", "key", "n"))
-    table = np.zeros(SLOTS, np.int64)
-    table[key[kind == 0]] = n[kind == 0]
-    words = int(table.sum())
+    words = int(n[kind == 0].sum())
     often = np.sort(key[(kind == 1) & (n * 2 * FREQUENT >= words)].view(np.uint64))
     totals = np.zeros(len(often), np.int64)
     if len(often):
@@ -238,7 +271,7 @@ def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", buc
             F.sum("n").alias("n")).toArrow()
         totals[np.searchsorted(often, known.column("key").to_numpy().view(np.uint64))] = known.column("n").to_numpy()
     bits = max(0, math.ceil(math.log2(max(1, words / bucket_pairs))))
-    rows = plain.mapInArrow(_score_alone(sc.broadcast(table.tobytes()), words, sc.broadcast((often.tobytes(), totals.tobytes())), bits), ROWS)
-    parts = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join_bucket, CHUNK_ROWS)
+    rows = plain.mapInArrow(_deal(sc.broadcast((often.tobytes(), totals.tobytes())), bits), ROWS)
+    parts = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join_bucket(bits), CHUNK_ROWS)
     return parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(
-        _sum_chunks, "doc_id long, n_words long, log_score double").withColumnRenamed("doc_id", id)
+        _score_chunks(words), "doc_id long, n_words long, log_score double").withColumnRenamed("doc_id", id)
