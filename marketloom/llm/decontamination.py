@@ -1,20 +1,23 @@
 """Benchmark decontamination by SimHash windows.
 
-An item of L words is known by the 126-bit SimHashes (over pairs of neighbouring words) of all its
-windows of one length, about three fifths of L, taken from a fixed ladder of lengths; a document by
-those of its windows of the lengths in use. A fingerprint has 6 blocks of 21 bits: any two within
-Hamming distance 4 share two blocks. Which block values the benchmark has is kept as one bitmap per
-length and block, of a fixed size however large the benchmark is; only document windows with two
-values in it leave the task, with the words around them. They are joined with the item windows on
-(length, block, value), and for those within the radius the weighted Jaccard similarity of 5-word
-shingles (by number of occurrences) between the item and the words in its place decides.
+An item is known by the 126-bit SimHashes (over pairs of neighbouring words) of all its windows of
+one length, taken from a fixed ladder of lengths; a document by those of its windows of the lengths
+in use. A fingerprint has 6 blocks of 21 bits: any two within Hamming distance 4 share two blocks.
+Which block values the benchmark has is kept as one bitmap per length and block, of a fixed size
+however large the benchmark is; only document windows with two values in it leave the task, with
+the words around them. They are joined with the item windows on (length, block, value), and for
+those within the radius the weighted Jaccard similarity of 5-word shingles (by number of
+occurrences) between the item and the words in its place decides.
 
 Windows start at every word for lengths up to 8 and at every 4th word above; since the item side
 has every start, an unchanged run of the window length plus 3 words meets a window with distance 0.
+Windows are so short that every passage similar enough holds such a run, wherever its words are
+changed, left out or added (``unchanged_run``); the distance matters only beyond that.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,7 +35,6 @@ BITS, BLOCKS, BLOCK_BITS = 128, 6, 21
 AGREE = 2  # blocks that must agree
 RADIUS = 24  # largest distance that is still verified; all within BLOCKS - AGREE are found
 STRIDE, SHORT = 4, 8
-SHARE = 0.6
 CHUNK = 1 << 18
 SLICE = 1 << 17  # words of a long text that are expanded to bits at once
 
@@ -45,14 +47,22 @@ def ladder(top: int) -> list[int]:
     return [x for x in out if x <= top]
 
 
-def window_length(n_words: int) -> int:
-    return ladder(max(min(n_words, SHINGLE), int(n_words * SHARE)))[-1]
+def unchanged_run(n_words: int) -> int:
+    """Words of an item that stand in a row in any passage of its length that is similar enough.
+
+    Of n shingles each, similarity s leaves n * 2s / (1 + s) in common. A word changed, left out or
+    added costs 4 shingles at least, so the common ones are in few runs; a run of m has m + 4 words.
+    """
+    n = n_words - SHINGLE + 1
+    if n <= 1:
+        return n_words
+    lost = math.floor(n * (1 - MIN_SIMILARITY) / (1 + MIN_SIMILARITY) + 1e-9)
+    return math.ceil((n - lost) / (1 + lost // (SHINGLE - 1))) + SHINGLE - 1
 
 
-def _longest_item(length: int) -> int:
-    """Words of the longest item that uses windows of this length."""
-    following = max(length + 1, length * 4 // 3)
-    return max(SHINGLE, int(following / SHARE) + 1, length)
+def window_length(n_words: int) -> int:
+    run = unchanged_run(n_words)
+    return max(x for x in ladder(run) if x <= SHORT or x + STRIDE - 1 <= run)
 
 
 def feature_bits(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -150,8 +160,14 @@ def bitmaps(items: DataFrame) -> dict[tuple[int, int], bytes]:
 FOUND_ROWS = "id long, key long, print binary, at int, from_word int, words binary"
 
 
-def _document_windows(known):
-    """Windows with a block value of the benchmark, with the words around them."""
+def longest_items(items: DataFrame) -> dict[int, int]:
+    """Words of the longest item that uses windows of a length."""
+    return {r["length"]: r["n"] for r in items.groupBy("length").agg(F.max("n_words").alias("n")).collect()}
+
+
+def _document_windows(known, longest: dict[int, int]):
+    """Windows with block values of the benchmark, with the words around them: as many as the
+    longest item of such windows has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = {k: np.frombuffer(v, np.uint8) for k, v in known.value.items()}
         lengths = sorted({k[0] for k in maps})
@@ -182,7 +198,7 @@ def _document_windows(known):
                                     for b in range(BLOCKS)], axis=1)
                     for i in np.flatnonzero(hit.sum(1) >= AGREE):
                         p, d = at[i], doc[at[i]]
-                        reach = _longest_item(length)
+                        reach = longest[length]
                         a = max(w.first[d], p - reach)
                         z = min(w.first[d + 1], p + length + reach)
                         keys = _key(length, values[i])
@@ -250,7 +266,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     items = stored(benchmark.select(F.col(item_id).cast("long"), F.col(item_text)).mapInArrow(_item_windows, ITEM_ROWS), "items")
     known = spark.sparkContext.broadcast(bitmaps(items))
     windows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        _document_windows(known), FOUND_ROWS)
+        _document_windows(known, longest_items(items)), FOUND_ROWS)
     hits = windows.join(items, "key").select(
         "id", "print", "at", "from_word", "words", "item_id", "item_words", "offset", "item_print").mapInArrow(
         _verify, "id long, item_id long, start_word int, similarity double")

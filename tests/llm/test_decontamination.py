@@ -89,3 +89,42 @@ def test_fingerprints_are_majorities():
         got = D.fingerprints(D.run_sums(bits, length), at, length)
         want = [bits[i:i + length - 1].sum(0, dtype=int) > (length - 1) // 2 for i in at]
         assert (np.unpackbits(got.astype(">u8").view(np.uint8), axis=1) == np.array(want)).all()
+
+
+def test_changes_at_every_place_are_found(spark):
+    """One word changed, at every place of items of 40, 46 and 60 words, and two at pairs of places."""
+    items, docs = [], []
+    for i, n in enumerate((40, 46, 60, 75)):
+        text = [f"i{i}w{k}" for k in range(n)]
+        items.append((i, " ".join(text)))
+        for x, y in [(x, x) for x in range(n)] + [(x, y) for x in range(0, n, 3) for y in range(x + 1, n, 4) if n > 50]:
+            w = list(text)
+            w[x] = w[y] = f"c{x}x{y}"
+            docs.append((len(docs), " ".join([*(f"p{k}" for k in range(len(docs) % 9)), *w, *(f"q{k}" for k in range(11))])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got, want = found(D.contaminated(d, b)), places(docs=d.collect(), items=b.collect())
+    assert set(got) == set(want) and len(want) > 500
+    middle = [x for x in want if x[0] in (18, 19, 20, 21)]
+    assert len(middle) == 4
+
+
+def test_windows_meet_what_verification_accepts():
+    """Unchanged runs against every way to change, leave out or add up to three words."""
+    from itertools import combinations
+
+    for n in (1, 4, 5, 9, 12, 20, 33, 40, 61, 64):
+        item = [f"w{k}" for k in range(n)]
+        assert D.window_length(n) <= D.unchanged_run(n) <= n
+        for k in (1, 2, 3) if n < 62 else (2,):
+            for at in combinations(range(0, n, 1 if n < 34 or k == 1 else 3), k):
+                changed = [f"c{i}" if i in at else w for i, w in enumerate(item)]
+                fewer = [w for i, w in enumerate(item) if i not in at] + [f"c{i}" for i in at]
+                more = [w for i, x in enumerate(item) for w in ([f"c{i}", x] if i in at else [x])][:n]
+                for text in (changed, fewer, more):
+                    if D.weighted_similarity(grams(text), grams(item)) >= D.MIN_SIMILARITY:
+                        run = best = 0
+                        for i, w in enumerate(text):
+                            run = run + 1 if i and w[0] == "w" and text[i - 1][0] == "w" and int(w[1:]) == int(text[i - 1][1:]) + 1 else int(w[0] == "w")
+                            best = max(best, run)
+                        assert best >= D.unchanged_run(n)
