@@ -5,7 +5,9 @@ lower-cased). For every line of several documents, the first document that holds
 each later one is paired with it: a line of m documents gives m - 1 pairs, never all. The lines of
 a pair are aligned by patience diff: lines unique in both, in a longest run of increasing places,
 are anchors; they grow over equal neighbours, and what lies between them is aligned likewise.
-Aligned common blocks of enough words are deleted from the later document.
+Aligned common blocks of enough words are deleted from the later document. So are runs of lines of
+as many words that alignment leaves, because they stand twice in one of the two or in crossed order:
+they are matched by the smallest ranges of lines with enough words, from every line on and up to it.
 
 Only hashes of lines move between tasks; texts move once, to be cut.
 """
@@ -116,9 +118,41 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def least_ranges(first: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ends (lo, hi) of the smallest ranges of lines with ``least`` words, from every line on and up
+    to every line, within texts that begin at ``first``. Every run of as many words consists of such
+    ranges: those from its lines on, and the one up to its last line."""
+    words = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=words[1:])
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    line = np.arange(len(sizes))
+    hi = np.searchsorted(words, words[:-1] + least)
+    lo = np.searchsorted(words, words[1:] - least, "right") - 1
+    on, upto = hi <= first[text + 1], lo >= first[text]
+    return np.concatenate([line[on], lo[upto]]), np.concatenate([hi[on], line[upto] + 1])
+
+
+def common_runs(a: list[int], b: list[int], sizes: list[int], least: int) -> np.ndarray:
+    """Which lines of ``b`` are in a run of lines of ``a`` with at least ``least`` words."""
+    size = dict(zip(b, sizes, strict=True))
+
+    def ranges(x: list[int]):
+        # Lines that b doesn't have are long, so that ranges over them are short; they match nothing.
+        n = np.array([size.get(y, least) for y in x], np.int64)
+        return zip(*(y.tolist() for y in least_ranges(np.array([0, len(x)]), n, least)), strict=True)
+
+    held = {tuple(a[lo:hi]) for lo, hi in ranges(a)}
+    gone = np.zeros(len(b), bool)
+    for lo, hi in ranges(b):
+        if tuple(b[lo:hi]) in held:
+            gone[lo:hi] = True
+    return gone
+
+
 def common_blocks(a: list[int], b: list[int], sizes: list[int], least: int = BLOCK_WORDS) -> list[tuple[int, int]]:
-    """Ranges of ``b`` that are aligned blocks with at least ``least`` words by ``sizes``."""
-    out: list[tuple[int, int]] = []
+    """Ranges of ``b`` that are common blocks with at least ``least`` words by ``sizes``: aligned
+    ones, and runs of ``a`` that alignment leaves."""
+    gone = np.zeros(len(b), bool)
     pairs = patience(a, b)
     k = 0
     while k < len(pairs):
@@ -127,9 +161,12 @@ def common_blocks(a: list[int], b: list[int], sizes: list[int], least: int = BLO
             n += 1
         lo, hi = pairs[k][1], pairs[n - 1][1] + 1
         if sum(sizes[lo:hi]) >= least:
-            out.append((lo, hi))
+            gone[lo:hi] = True
         k = n
-    return out
+    if not gone.all():
+        gone |= common_runs(a, b, sizes, least)
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).tolist()
+    return list(zip(edge[::2], edge[1::2], strict=True))
 
 
 def _align(least: int):

@@ -73,3 +73,32 @@ def test_edges(spark):
     assert len(by[None]) == 2 and sorted(r["n_removed"] for r in by[None]) == [0, 0]
     assert by[6][0]["n_removed"] == 0
     assert D.dedup_lines(empty_docs(spark)).collect() == []
+
+
+def test_repeated_and_crossed_blocks_go():
+    x, y, z, u, v, *p = range(100, 113)
+    twelve = lambda b: [12] * len(b)
+    p, q = p[:3], p[3:6]
+    b = [u, *p, v]
+    assert D.common_blocks([x, *p, y, *p, z], b, twelve(b)) == [(1, 4)]
+    b = [x, *p, y, *p, z]
+    assert D.common_blocks([u, *p, v], b, twelve(b)) == [(1, 4), (5, 8)]
+    b = [u, *q, v, *p, x]
+    assert D.common_blocks([*p, y, *q], b, twelve(b)) == [(1, 4), (5, 8)]
+    b = [u, p[0], v, p[1]]
+    assert D.common_blocks([*p], b, twelve(b)) == []
+
+
+def test_common_blocks_against_brute_force():
+    r = random.Random(5)
+    for _ in range(500):
+        size = [r.randrange(1, 14) for _ in range(8)]
+        a, b = ([r.randrange(8) for _ in range(r.randrange(25))] for _ in range(2))
+        runs = {tuple(a[i:j]) for i in range(len(a)) for j in range(i + 1, len(a) + 1)}
+        want = set()
+        for i in range(len(b)):
+            for j in range(i + 1, len(b) + 1):
+                if sum(size[x] for x in b[i:j]) >= 20 and tuple(b[i:j]) in runs:
+                    want.update(range(i, j))
+        got = D.common_blocks(a, b, [size[x] for x in b])
+        assert {k for lo, hi in got for k in range(lo, hi)} == want
