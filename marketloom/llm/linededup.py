@@ -1,8 +1,10 @@
 """Line deduplication by pairwise alignment.
 
 Lines are cut at newlines and after sentence ends, and compared by hashes of their words (A-Z
-lower-cased). For every line of several documents, the first document that holds it is known, and
-each later one is paired with it: a line of m documents gives m - 1 pairs, never all. The lines of
+lower-cased). For every smallest range of lines with enough words, from each line on and up to each
+line, the first document that holds it is known, and each later one is paired with it: a range of m
+documents gives m - 1 pairs, never all. Any passage to delete consists of such ranges, so each part
+of it has a partner, also where its single lines stand in still earlier documents. The lines of
 a pair are aligned by patience diff: lines unique in both, in a longest run of increasing places,
 are anchors; they grow over equal neighbours, and what lies between them is aligned likewise.
 Aligned common blocks of enough words are deleted from the later document. So are runs of lines of
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 from marketloom.llm.hashing import Hasher, Words, chunks, mix
 from marketloom.llm.store import stored
 
-ANCHOR_WORDS = 4
 BLOCK_WORDS = 20
+ROOT = 0x9E3779B97F4A7C15  # of the polynomial over lines
 
 
 def line_bounds(w: Words) -> np.ndarray:
@@ -70,6 +72,54 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", "tkey", "lines", "sizes"])
 
 
+def least_ranges(first: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ends (lo, hi) of the smallest ranges of lines with ``least`` words, from every line on and up
+    to every line, within texts that begin at ``first``. Every run of as many words consists of such
+    ranges: those from its lines on, and the one up to its last line."""
+    words = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=words[1:])
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    line = np.arange(len(sizes))
+    hi = np.searchsorted(words, words[:-1] + least)
+    lo = np.searchsorted(words, words[1:] - least, "right") - 1
+    on, upto = hi <= first[text + 1], lo >= first[text]
+    return np.concatenate([line[on], lo[upto]]), np.concatenate([hi[on], line[upto] + 1])
+
+
+def _ranges(least: int):
+    """Hashes of the smallest ranges of lines with enough words, each once per document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up, down = (np.cumprod(np.full(1 << 16, x, np.uint64), dtype=np.uint64) for x in (ROOT, pow(ROOT, -1, 1 << 64)))
+        for batch in batches:
+            lines, sizes = (batch.column(c) for c in ("lines", "sizes"))
+            n = sizes.value_lengths().to_numpy()
+            first = np.concatenate(([0], np.cumsum(n)))
+            h = mix(lines.flatten().to_numpy().view(np.uint64))
+            lo, hi = least_ranges(first, sizes.flatten().to_numpy(), least)
+            # A polynomial over the lines of each range, from running sums that begin anew in every
+            # stretch of lines; a range has at most ``least`` lines.
+            value = np.zeros(len(lo), np.uint64)
+            step = len(up) - least
+            part = lo // step
+            for k in range(0, len(h), step):
+                some = np.flatnonzero(part == k // step)
+                m = len(x := h[k:k + len(up)])
+                sums = np.zeros(m + 1, np.uint64)
+                np.cumsum(x * up[:m], out=sums[1:])
+                value[some] = mix((sums[hi[some] - k] - sums[lo[some] - k]) * down[lo[some] - k])
+            doc = np.searchsorted(first, lo, "right") - 1
+            order = np.lexsort((value, doc))
+            value, doc = value[order], doc[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
+            value, doc = value[new], doc[new]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("tkey"), pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(doc, np.arange(len(n) + 1)), pa.int32()), pa.array(value.view(np.int64)))],
+                ["doc_id", "tkey", "ranges"])
+    return run
+
+
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Longest run of pairs whose second numbers increase; pairs are sorted by the first."""
     tails: list[int] = []
@@ -118,20 +168,6 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def least_ranges(first: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ends (lo, hi) of the smallest ranges of lines with ``least`` words, from every line on and up
-    to every line, within texts that begin at ``first``. Every run of as many words consists of such
-    ranges: those from its lines on, and the one up to its last line."""
-    words = np.zeros(len(sizes) + 1, np.int64)
-    np.cumsum(sizes, out=words[1:])
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    line = np.arange(len(sizes))
-    hi = np.searchsorted(words, words[:-1] + least)
-    lo = np.searchsorted(words, words[1:] - least, "right") - 1
-    on, upto = hi <= first[text + 1], lo >= first[text]
-    return np.concatenate([line[on], lo[upto]]), np.concatenate([hi[on], line[upto] + 1])
-
-
 def common_runs(a: list[int], b: list[int], sizes: list[int], least: int) -> np.ndarray:
     """Which lines of ``b`` are in a run of lines of ``a`` with at least ``least`` words."""
     size = dict(zip(b, sizes, strict=True))
@@ -188,17 +224,18 @@ def _align(least: int):
     return run
 
 
-def repeated_blocks(docs: DataFrame, least: int = BLOCK_WORDS, anchor: int = ANCHOR_WORDS) -> tuple[DataFrame, DataFrame]:
+def repeated_blocks(docs: DataFrame, least: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """Lines (doc_id, tkey, lines, sizes) of the documents and blocks (doc_id, tkey, lo, hi), ranges
     of lines to delete. A document is an id and a text (tkey, its hash); later is the larger pair."""
     lines = stored(docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(_lines, LINES), "lines")
     known = lines.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "tkey"])
     known = stored(known, "known_lines")
-    held = known.select(F.struct("doc_id", "tkey").alias("d"), F.explode(F.array_distinct(F.transform(
-        F.filter(F.arrays_zip("lines", "sizes"), lambda x: x["sizes"] >= anchor), lambda x: x["lines"]))).alias("line"))
-    first = held.groupBy("line").agg(F.min("d").alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # Sorted joins at every size: the sides grow alike, and a hot line or document can be split.
-    pairs = stored(held.hint("merge").join(first, "line").filter("d <> f").select("f", "d").distinct(), "pairs")
+    held = known.select("doc_id", "tkey", "lines", "sizes").mapInArrow(
+        _ranges(least), "doc_id long, tkey long, ranges array<long>").select(
+        F.struct("doc_id", "tkey").alias("d"), F.explode("ranges").alias("range"))
+    first = held.groupBy("range").agg(F.min("d").alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Sorted joins at every size: the sides grow alike, and a hot range or document can be split.
+    pairs = stored(held.hint("merge").join(first, "range").filter("d <> f").select("f", "d").distinct(), "pairs")
     earlier = pairs.select(F.col("f.doc_id").alias("doc_id"), F.col("f.tkey").alias("tkey"), "d").join(
         known.select("doc_id", "tkey", F.col("lines").alias("first_lines")).hint("merge"), ["doc_id", "tkey"]).select("d", "first_lines")
     both = earlier.select(F.col("d.doc_id").alias("doc_id"), F.col("d.tkey").alias("tkey"), "first_lines").join(

@@ -102,3 +102,41 @@ def test_common_blocks_against_brute_force():
                     want.update(range(i, j))
         got = D.common_blocks(a, b, [size[x] for x in b])
         assert {k for lo, hi in got for k in range(lo, hi)} == want
+
+
+def test_passages_of_lines_held_elsewhere_go(spark):
+    """Every line of the passage stands in an earlier document by itself."""
+    lines = [" ".join(f"l{k}x{i}" for i in range(12)) + "." for k in range(5)]
+    rows = [(k, f"{own(k)}\n{line}\n{own(k + 50)}") for k, line in enumerate(lines)]
+    short = [" ".join(f"s{k}x{i}" for i in range(3)) + "." for k in range(8)]
+    rows += [(i, f"{own(i)}\n" + " ".join(lines) + f"\n{own(i + 50)}\n" + "\n".join(short)) for i in (100, 101, 102)]
+    got = {r["doc_id"]: r for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["text"] == text for i, text in rows if i <= 100)
+    for i in (101, 102):
+        assert got[i]["removed_words"] == 60 + 24
+        assert got[i]["text"].split() == (own(i) + " " + own(i + 50)).split()
+
+
+def test_ranges_of_long_and_short_texts():
+    """Equal ranges have equal hashes wherever they stand; none reaches into another text."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(7)
+    texts = [[r.randrange(1, 6) for _ in range(n)] for n in (0, 3, 9, 70_000, 30)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5), pa.int64()), pa.array(range(5), pa.int64()), pa.array(texts, pa.list_(pa.int64())),
+         pa.array([[x * 4 for x in t] for t in texts], pa.list_(pa.int32()))], ["doc_id", "tkey", "lines", "sizes"])
+    want = []
+    for t in texts:
+        some = set()
+        for i in range(len(t)):
+            for j in range(i + 1, min(len(t), i + 5) + 1):
+                n = 4 * sum(t[i:j])
+                if n >= 20 and (n - 4 * t[j - 1] < 20 or n - 4 * t[i] < 20):
+                    some.add(tuple(t[i:j]))
+        want.append(some)
+    for part in (batch, batch.slice(1)):
+        got = next(D._ranges(20)(iter([part]))).column("ranges").to_pylist()
+        assert [len(x) for x in got] == [len(x) for x in want[-len(got):]]
+        assert len(set(np.concatenate(got).tolist())) == len(set().union(*want))
