@@ -14,9 +14,12 @@ from marketloom.llm import (
     mixing,
     neardup,
     quality,
+    search,
     sharding,
+    spelling,
     toxicity,
     urlfilter,
+    warc,
 )
 
 
@@ -45,6 +48,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": _on(mixing.mix_digest, "documents"),
     "op9_toxicity": _on(toxicity.toxicity_digest, "documents", "labels"),
     "op10_line_dedup": _on(linededup.dedup_lines, "documents"),
+    "op11_spelling_variants": _on(spelling.variant_groups, "documents"),
+    "op12_ranked_search": _on(search.search_digest, "documents", "benchmark"),
+    "op13_warc": _on(warc.warc_digest, "pages"),
     "pipeline": _pipeline,
 }
 ORACLES: dict[str, str] = {
@@ -54,4 +60,7 @@ ORACLES: dict[str, str] = {
     "op5_url_filter": urlfilter.digest_sql(),
     "op7_sharding": sharding.digest_sql(),
     "op8_mixing": mixing.digest_sql(),
+    "op11_spelling_variants": spelling.digest_sql(),
+    "op12_ranked_search": search.digest_sql(),
+    "op13_warc": warc.digest_sql(),
 }
