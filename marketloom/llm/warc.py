@@ -41,6 +41,7 @@ MAX_FILES = 4096  # index files; with KEY_CHARS the bound of what a lookup broad
 KEY_CHARS = 256
 HOT_SHARE = 256  # payloads of 1 / HOT_SHARE of all pages: at most that many
 WINDOW = 16 << 20  # records of this range of an archive are read by one task
+TASK_BYTES = 64 << 20  # archived bytes that a task reads
 READ_BYTES = 1 << 20
 
 # --- fixed values: names of the WARC 1.1 format -------------------------------------------------
@@ -350,8 +351,11 @@ def _read(folder: str, payload: bool):
 def read_records(captures: DataFrame, folder: str, payload: bool = True) -> DataFrame:
     """Records of captures by range reads: page_id, url, payload_bytes, payload_digest,
     record_type, refers_to, html (of responses, if asked for; revisits have none of their own)."""
+    captures = stored(captures, "captures-to-read")
+    # Captures are small and the records behind them aren't: tasks are counted by the bytes they read.
+    tasks = max(1, -(-(captures.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES), captures.sparkSession.sparkContext.defaultParallelism)
     part = F.expr(f"offset div {WINDOW}")
-    dealt = captures.withColumn("part", part).repartition("archive", "part").sortWithinPartitions("archive", "offset")
+    dealt = captures.withColumn("part", part).repartition(tasks, "archive", "part").sortWithinPartitions("archive", "offset")
     return dealt.select("archive", "offset", "length").mapInArrow(_read(folder, payload), RECORDS)
 
 
