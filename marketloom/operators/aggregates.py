@@ -131,13 +131,50 @@ def pair_aggregate(
     )
 
 
-def monthly_rollup(mart: DataFrame) -> DataFrame:
+SPARSE = 256  # positions of a bucket that are kept as a list; more are a bitmap
+
+
+def daily_orders(sales: DataFrame) -> DataFrame:
+    """The distinct orders of each (date, channel), in a form that adds up: per bucket of 32,768 order
+    numbers the positions that occur, as a list while they are few, else as a bitmap.
+
+    Orders are made distinct before groups form, so a hot day is spread over all tasks; a group
+    is one bucket, so it has a bound. Stored, it answers distinct counts of any period
+    (``count_orders``) without reading the facts again. NULL order numbers do not count.
+    """
+    number = F.col("order_number").cast("bigint")
+    seen = where_not_null(sales, "sold_date_sk", "order_number").select(
+        "sold_date_sk", "channel", F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("position")).distinct()
+    keys = ["sold_date_sk", "channel", "bucket"]
+    lists = seen.groupBy(*keys).agg(F.collect_list(F.col("position").cast("int")).alias("positions"))
+    few = F.size("positions") <= SPARSE
+    dense = lists.filter(~few).select(*keys, F.explode("positions").alias("position")).groupBy(*keys).agg(
+        F.bitmap_construct_agg(F.col("position").cast("bigint")).alias("bitmap"))
+    return lists.filter(few).select(*keys, F.array_sort("positions").alias("positions"), F.lit(None).cast("binary").alias("bitmap")).unionByName(
+        dense.select(*keys, F.lit(None).cast("array<int>").alias("positions"), "bitmap"))
+
+
+def count_orders(state: DataFrame, *by: str) -> DataFrame:
+    """Distinct orders per group of stored ``daily_orders`` rows (with the columns ``by`` added), as
+    ``order_count``. An order number counts once per channel."""
+    keys = list(dict.fromkeys([*by, "channel", "bucket"]))
+    lists = state.filter("positions IS NOT NULL").select(*keys, F.explode("positions").alias("position")).groupBy(*keys).agg(
+        F.bitmap_construct_agg(F.col("position").cast("bigint")).alias("bitmap"))
+    merged = lists.unionByName(state.filter("bitmap IS NOT NULL").select(*keys, "bitmap")).groupBy(*keys).agg(
+        F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("bitmap")).alias("order_count"))
+
+
+def monthly_rollup(mart: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Monthly view of the daily mart. Order counts add up days: an order shipped on two days
-    counts twice, unlike in the channel comparison."""
+    counts twice. With ``orders`` (``daily_orders`` with sale_year and sale_month) an order counts
+    once a month, as in the channel comparison."""
     sums = (
         "line_item_count order_count quantity_sold gross_sales discount_amt tax_amt net_sales "
         "net_profit return_order_count return_quantity return_amt return_net_loss"
     ).split()
-    return mart.groupBy("sale_year", "sale_month", "channel").agg(
-        *[F.sum(c).alias(c) for c in sums]
-    )
+    keys = ["sale_year", "sale_month", "channel"]
+    out = mart.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    if orders is None:
+        return out
+    return out.drop("order_count").join(count_orders(orders, *keys), keys, "left").select(*keys, *sums)

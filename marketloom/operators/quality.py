@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators.unify import CHANNELS
-from marketloom.specs import TABLES
+from marketloom.specs import SILVER_NAMES, TABLES
 
 # --- fixed values -------------------------------------------------------------------------------
 SEGMENTS = ("Champions", "Loyal", "At risk high-value", "Hibernating", "New", "Active", "No purchase")
@@ -81,8 +81,45 @@ def key_failures(df: DataFrame, column: str) -> DataFrame:
 
 def key_range(rejected: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: rejected rows with a key that has the right form and doesn't fit its type."""
-    reasons = F.array(*[F.lit(f"{c}:out_of_range") for c in columns])
-    return rejected.agg(F.count_if(F.arrays_overlap("anomaly_reasons", reasons)).alias("failures"))
+    return rejected.agg(F.count_if(_out_of_range(columns)).alias("failures"))
+
+
+def _out_of_range(columns: Sequence[str]) -> Column:
+    return F.arrays_overlap("anomaly_reasons", F.array(*[F.lit(f"{c}:out_of_range") for c in columns]))
+
+
+# -- checks that are answered by the write of a table -----------------------------------------------
+def observed(checks: Sequence[Check]) -> dict[str, Column]:
+    """Aggregates over the rows of a table that answer its checks while it is written, by the names
+    of the checks. ``unique`` and ``foreign_key`` need a shuffle and aren't among them.
+
+    Rows of a Silver table are clean or rejected (``is_anomaly``); checks of the table hold for the
+    clean ones, checks of ``…__anomalies`` for the rejected.
+    """
+    out = {}
+    for c in checks:
+        here = F.lit(True)
+        if c.layer == "silver" and c.table in SILVER_NAMES:
+            here = ~F.col("is_anomaly")
+        if c.kind == "not_null":
+            out[c.name] = F.count_if(here & F.col(c.columns[0]).isNull())
+        elif c.kind == "accepted_values":
+            out[c.name] = F.count_if(here & F.coalesce(~F.col(c.columns[0]).isin(list(c.values)), F.lit(False)))
+        elif c.kind == "key_range":
+            out[c.name] = F.count_if(F.col("is_anomaly") & _out_of_range(c.columns))
+    return out
+
+
+def answered(checks: Sequence[Check], metrics: Mapping[str, object]) -> dict[str, int]:
+    """Failures of the checks that ``metrics`` answer. Rows with unaccepted values are counted in a
+    write, values in a check: so only their absence answers it."""
+    kinds = {c.name: c.kind for c in checks}
+    return {n: int(v) for n, v in metrics.items() if n in kinds and (kinds[n] != "accepted_values" or not v)}
+
+
+def verdict(failures: int) -> tuple[str, str | None]:
+    """Status and message of a check, as in ``run_checks``."""
+    return ("fail", f"failures: {failures}") if failures > 0 else ("pass", None)
 
 
 def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:

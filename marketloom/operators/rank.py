@@ -26,8 +26,9 @@ def global_rank(
     order: Sequence[Column],
     row_number: str | None = None,
     tiles: Mapping[str, int] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add a global row number and / or ntiles over ``order``.
+    """Add a global row number and / or ntiles over ``order``, and the number of all rows.
 
     ``order`` must be total: put the business key last, which also lets the range sort split a
     value shared by a large part of the rows. Every task sorts one range and numbers its own
@@ -51,10 +52,38 @@ def global_rank(
     rn = F.col("_before") + F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
     numbered = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     added = {row_number: rn} if row_number else {}
+    added |= {total: F.col("_n")} if total else {}
     added |= {name: tile_of(rn, F.col("_n"), k) for name, k in (tiles or {}).items()}
     return numbered.withColumns(added).drop("_part", "_pos", "_before", "_n")
 
 
+def stacked_tiles(
+    df: DataFrame, key: str, measures: Mapping[str, tuple[Column, bool]], k: int
+) -> DataFrame:
+    """Add an ntile(k) over each of several numeric measures, by one sort.
+
+    ``measures`` maps the name of a tile column to its measure and whether it falls. Rising order puts
+    NULLs last, falling order first; ties go by the key, which is unique. The measures are stacked as
+    (number, null, value, key) and sorted as one range; the first stack carries the row itself, so that one
+    regrouping by key ends it. Every stack has as many rows as the table, so a row's place
+    within its own is its place in the whole less that many rows per stack before.
+    """
+    value = lambda c, down: -c.cast("decimal(38,6)") if down else c.cast("decimal(38,6)")
+    stack = F.array(*[
+        F.struct(F.lit(i).alias("_stack"), F.when(c.isNull(), F.lit(-1 if down else 1)).otherwise(0).alias("_null"), value(c, down).alias("_value"))
+        for i, (c, down) in enumerate(measures.values())])
+    rest = [c for c in df.columns if c != key]
+    rows = df.select(key, F.struct(*rest).alias("_row"), F.explode(stack).alias("_s")).select(
+        key, "_s.*", F.when(F.col("_s._stack") == 0, F.col("_row")).alias("_row"))
+    ranked = global_rank(rows, [F.col(c).asc() for c in ("_stack", "_null", "_value", key)], row_number="_place", total="_all")
+    n = F.floor(F.col("_all") / len(measures))
+    tile = tile_of(F.col("_place") - F.col("_stack") * n, n, k)
+    out = ranked.groupBy(key).agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        *[F.max(F.when(F.col("_stack") == i, tile)).alias(name) for i, name in enumerate(measures)])
+    return out.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest], *measures)
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
     return global_rank(df, order, row_number=name)
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions.exprs import clean_text, is_anomaly, is_clean, with_flags
 from marketloom.specs import TABLES, TableSpec, silver_tables
-from marketloom.warehouse import ANOMALIES, Warehouse
+from marketloom.warehouse import ANOMALIES, Warehouse, Written
 
 
 def _typed(spec: TableSpec, wrap=lambda c: c) -> list:
@@ -33,8 +35,10 @@ def silver_split(
     return clean, anomalies
 
 
-def store_silver(wh: Warehouse, df: DataFrame, spec: TableSpec, strict: bool = False) -> str:
-    """Write both halves in one pass over the raw table.
+def store_silver(
+    wh: Warehouse, df: DataFrame, spec: TableSpec, strict: bool = False, metrics: Mapping[str, Column] | None = None
+) -> Written:
+    """Write both halves in one pass over the raw table, and count the rejected rows in it.
 
     Each row is flagged once. Clean rows fill the typed columns, rejected rows fill the ``raw``
     struct; the unused half is all NULL and costs next to nothing in Parquet. Both halves share
@@ -54,6 +58,7 @@ def store_silver(wh: Warehouse, df: DataFrame, spec: TableSpec, strict: bool = F
         ),
         "silver",
         spec.silver_name,
+        metrics={"rejected": F.count_if(F.col("is_anomaly")), **(metrics or {})},
     )
 
 

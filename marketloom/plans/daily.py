@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from itertools import groupby
 from threading import Lock
+from types import MappingProxyType
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from marketloom.operators.quality import Check, gold_suite, graph_suite, ops_suite, range_suite, run_checks, table_suite
+from marketloom.operators.quality import (
+    Check, answered, gold_suite, graph_suite, observed, ops_suite, range_suite, run_checks, table_suite, verdict,
+)
 from marketloom.operators.silver import read_clean, store_silver
 from marketloom.operators.unify import CHANNELS, unify_returns, unify_sales
 from marketloom.plans import marts
-from marketloom.plans.graph import build_graph, load_ontology
+from marketloom.plans.graph import Tables, build_graph, load_ontology
 from marketloom.plans.ops import RunLog, ops_tables
-from marketloom.sources.bronze import load_bronze, tables_loaded
+from marketloom.sources.bronze import LoadStats, failed_load, file_path, load_table, tables_loaded
 from marketloom.specs import TABLES, silver_tables
-from marketloom.warehouse import Warehouse
+from marketloom.warehouse import Warehouse, Written
 
 
 def silver_frame(wh: Warehouse, name: str) -> DataFrame:
@@ -30,14 +36,14 @@ def layer_frame(wh: Warehouse, layer: str, name: str) -> DataFrame:
     return wh.read(layer, name)
 
 
-def write_sales(wh: Warehouse) -> None:
+def write_sales(wh: Warehouse) -> Written:
     facts = [read_clean(wh, f"{ch}_sales") for ch in CHANNELS]
-    wh.write(unify_sales(*facts), "silver", "int_sales_unified", partition_by=["channel"])
+    return wh.write(unify_sales(*facts), "silver", "int_sales_unified", partition_by=["channel"])
 
 
-def write_returns(wh: Warehouse) -> None:
+def write_returns(wh: Warehouse) -> Written:
     facts = [read_clean(wh, f"{ch}_returns") for ch in CHANNELS]
-    wh.write(unify_returns(*facts), "silver", "int_returns_unified", partition_by=["channel"])
+    return wh.write(unify_returns(*facts), "silver", "int_returns_unified", partition_by=["channel"])
 
 
 def gold_frame(wh: Warehouse, name: str) -> DataFrame:
@@ -61,30 +67,45 @@ def gold_frame(wh: Warehouse, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Node:
-    """A table of the run: how it is made, what it needs, what is checked afterwards."""
+    """A step of the run: how its table is made, what it needs, what is checked before and after.
+
+    ``make`` gets the aggregates that answer checks and returns what was written and counted.
+    """
 
     name: str
     layer: str
-    make: object
+    make: Callable[[Mapping[str, Column]], Written]
     needs: tuple[str, ...] = ()
     before: tuple[Check, ...] = ()
     after: tuple[Check, ...] = ()
+    weight: int = 0  # heavier nodes begin first
+
+
+def load_name(table: str) -> str:
+    return f"load {table}"
 
 
-def nodes_of_run(wh: Warehouse) -> list[list[Node]]:
-    """Stages in order; nodes of one stage do not depend on each other."""
+def nodes_of_run(wh: Warehouse, load: Callable[[str], Written], sizes: Mapping[str, int] | None = None) -> list[Node]:
+    """Loads, Silver, unified facts and marts with what each needs. The Silver table of a raw table
+    needs that table's load only, so that no table waits for all others."""
+    sizes = sizes or {}
+
     def silver(t: str):
-        return lambda: store_silver(wh, wh.read("bronze", t), TABLES[t])
+        return lambda metrics: store_silver(wh, wh.read("bronze", t), TABLES[t], metrics=metrics)
+
+    def mart(m: str):
+        return lambda metrics: wh.write(gold_frame(wh, m), "gold", m, metrics=metrics)
 
-    first = [
-        Node(TABLES[t].silver_name, "silver", silver(t), before=tuple(table_suite("bronze", t)),
-             after=(*table_suite("silver", t), *range_suite(t)))
+    nodes = [Node(load_name(t), "bronze", lambda _, t=t: load(t), after=tuple(table_suite("bronze", t)), weight=sizes.get(t, 0)) for t in TABLES]
+    nodes += [
+        Node(TABLES[t].silver_name, "silver", silver(t), (load_name(t),), after=(*table_suite("silver", t), *range_suite(t)),
+             weight=sizes.get(t, 0))
         for t in silver_tables()
     ]
     facts = {k: tuple(f"fact_{ch}_{k}" for ch in CHANNELS) for k in ("sales", "returns")}
-    second = [
-        Node("int_sales_unified", "silver", lambda: write_sales(wh), facts["sales"]),
-        Node("int_returns_unified", "silver", lambda: write_returns(wh), facts["returns"]),
+    nodes += [
+        Node("int_sales_unified", "silver", lambda _: write_sales(wh), facts["sales"]),
+        Node("int_returns_unified", "silver", lambda _: write_returns(wh), facts["returns"]),
     ]
     both = ("int_sales_unified", "int_returns_unified")
     needs = {
@@ -94,12 +115,42 @@ def nodes_of_run(wh: Warehouse) -> list[list[Node]]:
                               "dim_household_demographics", "dim_income_band"),
         "mart_product_analytics": (*both, "dim_item"),
     }
-    third = [
-        Node(m, "gold", lambda m=m: wh.write(gold_frame(wh, m), "gold", m), n,
-             after=tuple(c for c in gold_suite() if c.table == m))
-        for m, n in needs.items()
-    ]
-    return [first, second, third]
+    return nodes + [Node(m, "gold", mart(m), n, after=tuple(c for c in gold_suite() if c.table == m)) for m, n in needs.items()]
+
+
+def run_nodes(spark: SparkSession, nodes: Sequence[Node], work: Callable[[Node], None], threads: int) -> None:
+    """Calls ``work`` for every node as soon as those it needs have ended, ``threads`` next to each
+    other and each in a pool of its own, so that a FAIR session shares its cores among them."""
+    by_name = {n.name: n for n in nodes}
+    missing = {x for n in nodes for x in n.needs} - set(by_name)
+    if missing:
+        raise ValueError(f"needed but not there: {', '.join(sorted(missing))}")
+    waiting = {n.name: set(n.needs) for n in nodes}
+    running: dict = {}
+
+    def in_pool(node: Node) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", node.name)
+        work(node)
+
+    # The queue of the threads is kept short, so that the heaviest of all ready nodes comes next.
+    ready = [by_name[n] for n, needs in waiting.items() if not needs]
+    with ThreadPoolExecutor(threads) as pool:
+        while ready or running:
+            ready.sort(key=lambda n: n.weight)
+            while ready and len(running) < threads:
+                node = ready.pop()
+                del waiting[node.name]
+                running[pool.submit(inheritable_thread_target(spark)(in_pool), node)] = node.name
+            ended, _ = wait(running, return_when=FIRST_COMPLETED)
+            for future in ended:
+                name = running.pop(future)
+                future.result()
+                for user, needs in waiting.items():
+                    if name in needs:
+                        needs.discard(name)
+                        ready += [by_name[user]] if not needs else []
+    if waiting:
+        raise ValueError(f"nodes need each other: {', '.join(sorted(waiting))}")
 
 
 @dataclass
@@ -116,24 +167,28 @@ class Outcome:
         return 0 if self.status == "success" else 1
 
 
-def run_daily(wh: Warehouse, raw_folder: str, threads: int = 4) -> Outcome:
-    """Full refresh. A failed load ends the run; a failed table or check skips what depends on
-    it and fails the run. Rejected rows do not fail it, unless a key was out of range. Whatever
-    goes wrong, the run is closed in the log with all that was recorded."""
+def run_daily(wh: Warehouse, raw_folder: str, threads: int = 8, on_load_error: str = "stop") -> Outcome:
+    """Full refresh. Each table is loaded, validated and checked on its own, and what needs it follows.
+
+    A failed table or check skips what depends on it and fails the run. A failed load ends the run:
+    what has begun is ended, nothing else begins (with ``on_load_error="skip"`` only what depends on
+    it is skipped). Rejected rows do not fail it, unless a key was out of range. Whatever goes wrong,
+    the run is closed in the log with all that was recorded.
+    """
+    if on_load_error not in ("stop", "skip"):
+        raise ValueError(f"unknown answer {on_load_error!r} to a failed load; known: stop, skip")
     log = RunLog(wh)
-    run = _Run(wh, log, Outcome(log.start(), "failed"))
-    out, loaded, rows = run.out, 0, 0
+    run = _Run(wh, log, Outcome(log.start(), "failed"), raw_folder, on_load_error == "stop")
+    out = run.out
     try:
-        stats = load_bronze(wh, raw_folder)
-        log.stats(stats)
-        rows = sum(s.rows_loaded for s in stats)
-        loaded = tables_loaded(stats, in_daily_run=True)
-        if stats[-1].status == "failed":
-            out.message = f"load failed at {stats[-1].table_name}: {stats[-1].error_message}"
+        sizes = {t: wh.size_bytes(file_path(raw_folder, t)) for t in TABLES}
+        run_nodes(wh.spark, nodes_of_run(wh, run.load, sizes), run.node, threads)
+        run.stats.sort(key=lambda s: list(TABLES).index(s.table_name))
+        broken = [s for s in run.stats if s.status == "failed"]
+        log.stats(run.stats)
+        if broken:
+            out.message = f"load failed at {broken[0].table_name}: {broken[0].error_message}"
             return out
-        for stage in nodes_of_run(wh):
-            with ThreadPoolExecutor(threads) as pool:  # independent tables share the cluster
-                list(pool.map(run.node, stage))
         log.flush()  # the log's own tables are checked as they stand now
         run.checks(tuple(ops_suite()))
         out.status = "success" if out.failed == 0 else "failed"
@@ -143,38 +198,66 @@ def run_daily(wh: Warehouse, raw_folder: str, threads: int = 4) -> Outcome:
         out.status, out.message = "failed", f"{type(exc).__name__}: {exc}"
         return out
     finally:
-        log.end(out.status, loaded, rows, out.message)
+        log.end(out.status, tables_loaded(run.stats, in_daily_run=True), sum(s.rows_loaded for s in run.stats), out.message)
 
 
 class _Run:
     """Builds and checks the tables of one run; several threads share it."""
 
-    def __init__(self, wh: Warehouse, log: RunLog, out: Outcome):
-        self.wh, self.log, self.out, self._lock = wh, log, out, Lock()
+    def __init__(self, wh: Warehouse, log: RunLog, out: Outcome, raw_folder: str, stop: bool):
+        self.wh, self.log, self.out, self.raw_folder, self.stop = wh, log, out, raw_folder, stop
+        self.stats: list[LoadStats] = []
+        self._lock = Lock()
+
+    def load(self, table: str) -> Written:
+        started = datetime.now(timezone.utc)
+        try:
+            done = load_table(self.wh, self.raw_folder, table)
+        except Exception as exc:
+            with self._lock:
+                self.stats.append(failed_load(table, started, exc))
+            raise
+        with self._lock:
+            self.stats.append(done)
+        nulls = [c.name for c in table_suite("bronze", table) if c.kind == "not_null"]
+        return Written("", done.rows_loaded, {n: done.null_keys for n in nulls})
 
     def node(self, node: Node) -> None:
-        if self.out.blocked & set(node.needs) or not self.checks(node.before):
+        is_load = node.layer == "bronze"  # loads have their own statistics
+        with self._lock:
+            blocking = sorted(self.out.blocked & set(node.needs))
+            if self.stop and not blocking:
+                blocking = [load_name(s.table_name) for s in self.stats if s.status == "failed"][:1]
+        if blocking:
             self._block(node)
-            self._record(node.name, "model", "skipped", 0.0)
+            if not is_load:
+                self._record(node.name, "model", "skipped", 0.0, message=f"blocked by {', '.join(blocking)}")
             return
         clock = time.perf_counter()
         try:
-            node.make()
-            seconds = time.perf_counter() - clock
-            rows = layer_frame(self.wh, node.layer, node.name).count()  # from the Parquet footers
+            done = node.make(observed(node.after))
         except Exception as exc:  # recorded; dependants are skipped
             self._block(node)
-            self._record(node.name, "model", "error", time.perf_counter() - clock, message=str(exc))
+            if not is_load:
+                self._record(node.name, "model", "error", time.perf_counter() - clock, message=str(exc))
             return
-        self._record(node.name, "model", "success", seconds, rows=rows)
-        if not self.checks(node.after):
+        seconds = time.perf_counter() - clock
+        if not is_load:
+            self._record(node.name, "model", "success", seconds, rows=done.rows - done.metrics.get("rejected", 0))
+        if not self.checks(node.after, done.metrics, seconds):
             self._block(node)
 
-    def checks(self, checks: tuple[Check, ...]) -> bool:
-        """Runs checks table by table; the seconds of a check are those of the pass that answers
-        it. A check that raises is an error, and counts as failed."""
-        good = True
-        for (layer, table), group in groupby(checks, lambda c: (c.layer, c.table)):
+    def checks(self, checks: tuple[Check, ...], metrics: Mapping[str, object] = MappingProxyType({}), written_s: float = 0.0) -> bool:
+        """Records checks that were answered by the write, and runs the others table by table; the
+        seconds of a check are those of the pass that answers it. A check that raises is an error, and
+        counts as failed."""
+        good, known = True, answered(checks, metrics)
+        for name, failures in known.items():
+            status, message = verdict(failures)
+            self._record(name, "test", status, written_s, failures, message)
+            good &= status == "pass"
+        left = [c for c in checks if c.name not in known]
+        for (_, table), group in groupby(left, lambda c: (c.layer, c.table)):
             group, clock = list(group), time.perf_counter()
             try:
                 rows = run_checks(lambda x, t: self._frame(x, t), group).collect()  # one per check
@@ -202,13 +285,13 @@ class _Run:
             self.out.failed += status in ("fail", "error", "runtime error")
 
 
-def refresh_graph(wh: Warehouse, upsert: bool = True) -> dict:
-    """Build the graph from stored Silver, check its keys and log the build. A graph that fails a
+def refresh_graph(wh: Warehouse, upsert: bool = True, tables: Tables | None = None) -> dict:
+    """Build the graph from stored Silver (or other ``tables`` by Silver name), check its keys and log the build. A graph that fails a
     check is stored, and the run is logged as failed and raises."""
     log = RunLog(wh, "graph")
     log.start()
     try:
-        counts = build_graph(wh, load_ontology(), lambda t: silver_frame(wh, t), upsert=upsert)
+        counts = build_graph(wh, load_ontology(), tables or (lambda t: silver_frame(wh, t)), upsert=upsert)
         bad = [r for r in run_checks(lambda layer, t: wh.read(layer, t), graph_suite()).collect() if r["status"] != "pass"]
         if bad:
             raise ValueError("; ".join(f"{r['test_name']}: {r['message']}" for r in bad))

@@ -16,6 +16,8 @@ from marketloom.operators.aggregates import pair_aggregate
 from marketloom.operators.rank import top_n, top_n_per
 from marketloom.session import checkpointed
 from marketloom.sources.sinks import insert_missing, merge_by_key
+from marketloom.sources.upsert import replace_keyed
+from marketloom.sources.upsert import upsert as upsert_rows
 from marketloom.specs import TABLES
 from marketloom.warehouse import Warehouse
 
@@ -155,19 +157,19 @@ def build_edges(onto: Ontology, tables: Tables, nodes: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def build_graph(wh: Warehouse, onto: Ontology, tables: Tables, upsert: bool = False) -> dict:
+def build_graph(wh: Warehouse, onto: Ontology, tables: Tables, upsert: bool = False, buckets: int = 4) -> dict:
     """Write graph.node and graph.edge; returns rows per class and relationship.
 
-    ``upsert`` keeps nodes and edges that have vanished from Silver, as a refresh in place does.
+    ``upsert`` keeps nodes and edges that have vanished from Silver, as a refresh in place does, and
+    writes only the buckets that hold a change. Foreign-key edges are only added. ``buckets`` of a new
+    graph are per class and relationship; a large one needs more (a bucket is read by a task).
     """
-    nodes = build_nodes(onto, tables)
-    if upsert and wh.exists("graph", "node"):
-        nodes = merge_nodes(wh.read("graph", "node"), nodes)
-    wh.write(nodes.select(*NODE_COLUMNS), "graph", "node", partition_by=["class_name"])
-    edges = build_edges(onto, tables, wh.read("graph", "node"))
-    if upsert and wh.exists("graph", "edge"):
-        edges = merge_edges(wh.read("graph", "edge"), edges, onto)
-    wh.write(edges.select(*EDGE_COLUMNS), "graph", "edge", partition_by=["relationship_name"])
+    put = upsert_rows if upsert else replace_keyed
+    put(wh, build_nodes(onto, tables).select(*NODE_COLUMNS), "graph", "node", ["node_id"], ["class_name"], buckets)
+    edges = build_edges(onto, tables, wh.read("graph", "node")).select(*EDGE_COLUMNS)
+    fks = [n for n, r in onto["relationships"].items() if r["kind"] == "fk"]
+    added = {"only_added": F.col("relationship_name").isin(fks)} if upsert else {}
+    put(wh, edges, "graph", "edge", ["from_node_id", "to_node_id"], ["relationship_name"], buckets, **added)
     for table, frame in zip(("ontology_class", "ontology_relationship"), ontology_tables(wh.spark, onto), strict=True):
         wh.write(frame.coalesce(1), "graph", table)
     counts = graph_counts(wh.read("graph", "node"), wh.read("graph", "edge")).collect()

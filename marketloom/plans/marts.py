@@ -12,7 +12,7 @@ from marketloom.functions.exprs import (
 )
 from marketloom.operators import aggregates as agg
 from marketloom.operators.joins import enrich_customer, join_dates, left_join, with_scalar
-from marketloom.operators.rank import global_rank
+from marketloom.operators.rank import global_rank, stacked_tiles
 from marketloom.session import checkpointed
 
 AMOUNT = T.DecimalType(18, 2)  # money at the mart boundary
@@ -71,19 +71,10 @@ def score_customers(sales: DataFrame, returns: DataFrame) -> DataFrame:
     scored = with_scalar(buyers, agg.reference_day(sales)).withColumn(
         "recency_days", recency_days(F.col("today_sk"), F.col("last_sale_date_sk"))
     ).drop("today_sk")
-    # Read by three sorts and by the result. Only the key and one measure are sorted.
-    scored = checkpointed(scored)
-    key = F.col("customer_sk").asc()
-    out = scored
-    # Descending puts NULLs first and ascending puts them last, as in PostgreSQL.
-    for quintile, measure, order in (
-        ("r_quintile", "recency_days", F.col("recency_days").desc_nulls_first()),
-        ("f_quintile", "order_count", F.col("order_count").asc_nulls_last()),
-        ("m_quintile", "ltv_net_paid", F.col("ltv_net_paid").asc_nulls_last()),
-    ):
-        tiles = global_rank(scored.select("customer_sk", measure), [order, key], tiles={quintile: 5})
-        out = out.join(tiles.select("customer_sk", quintile), "customer_sk")
-    return out
+    # Falling order puts NULLs first and rising order last, as in PostgreSQL.
+    return stacked_tiles(scored, "customer_sk", {
+        "r_quintile": (F.col("recency_days"), True), "f_quintile": (F.col("order_count"), False),
+        "m_quintile": (F.col("ltv_net_paid"), False)}, 5)
 
 
 def mart_customer_360(

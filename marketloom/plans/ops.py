@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import time
 from datetime import datetime, timezone
+from itertools import count
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,22 +42,24 @@ TIMINGS = (
 
 class RunLog:
     """Writes one run's events. Nothing is updated in place: a run is started by one event and
-    ended by another, and ``runs`` shows the last state."""
+    ended by another, and ``runs`` shows the last state. Runs are numbered by the warehouse and events
+    by the run, so order doesn't depend on clocks; an append that is repeated adds nothing."""
 
     def __init__(self, wh: Warehouse, kind: str = "ingest"):
         self.wh, self.table = wh, {"ingest": "ingest_runs", "graph": "graph_runs"}[kind]
         self.schema = RUNS if kind == "ingest" else GRAPH_RUNS
-        self.run_id = time.time_ns() // 1000
+        self.run_id = wh.next_number("runs")
+        self._seq, self._batches = count(1), count(1)
         self._stats, self._results, self._timings = [], [], []
         self._lock = Lock()  # tables of a run are built by several threads
 
     def _add(self, name: str, rows: list[tuple], schema: str) -> None:
         if rows:
-            self.wh.append(self.wh.spark.createDataFrame(rows, schema).coalesce(1), "ops", name)
+            self.wh.append(self.wh.spark.createDataFrame(rows, schema).coalesce(1), "ops", name, f"run-{self.run_id}-{next(self._batches)}")
 
     def start(self) -> int:
         now = datetime.now(timezone.utc)
-        self._add(self.table, [(self.run_id, time.time_ns(), now, None, "running", None, None, None)],
+        self._add(self.table, [(self.run_id, next(self._seq), now, None, "running", None, None, None)],
                   self.schema)
         return self.run_id
 
@@ -74,7 +76,7 @@ class RunLog:
 
     def node(self, node: str, kind: str, status: str, seconds: float, rows: int | None = None) -> None:
         with self._lock:
-            self._timings.append((self.run_id, time.time_ns(), node, kind, status, float(seconds), rows))
+            self._timings.append((self.run_id, next(self._seq), node, kind, status, float(seconds), rows))
 
     def flush(self) -> None:
         """Write what was collected: one small file per log table and run."""
@@ -87,7 +89,7 @@ class RunLog:
         """Close the run. The two counts are (tables, rows) or, for the graph, (nodes, edges)."""
         self.flush()
         now = datetime.now(timezone.utc)
-        self._add(self.table, [(self.run_id, time.time_ns(), None, now, status, first, second, error)],
+        self._add(self.table, [(self.run_id, next(self._seq), None, now, status, first, second, error)],
                   self.schema)
 
 

@@ -206,3 +206,38 @@ def bounded(bed):
     listed = bed.silver("item").select("i_item_sk", "i_product_name").orderBy(
         F.col("i_product_name").asc_nulls_last(), "i_item_sk")
     return R.bounded(listed)
+
+
+# -- distinct orders that add up ---------------------------------------------------------------------------
+def daily_orders_of(bed):
+    return bed.stored("gold", "agg_daily_orders", lambda: A.daily_orders(bed.sales()))
+
+
+def _dated_orders(bed):
+    days = bed.silver("date_dim").select(
+        F.col("d_date_sk").alias("sold_date_sk"), F.col("d_year").alias("sale_year"), F.col("d_moy").alias("sale_month"),
+        F.col("d_qoy").alias("sale_quarter"))
+    return daily_orders_of(bed).join(days, "sold_date_sk")
+
+
+@query(oracle(f"SELECT sold_date_sk, channel, {big('count(DISTINCT order_number)', 'order_count')} FROM sales "
+              "WHERE sold_date_sk IS NOT NULL GROUP BY sold_date_sk, channel", "sales"))
+def daily_order_state(bed):
+    """The stored state, counted day by day."""
+    return A.count_orders(daily_orders_of(bed), "sold_date_sk", "channel")
+
+
+@query(oracle(f"SELECT d_year AS sale_year, d_qoy AS sale_quarter, {big('count(DISTINCT (channel, order_number))', 'order_count')} FROM sales "
+              "JOIN dim_date_dim ON d_date_sk = sold_date_sk WHERE order_number IS NOT NULL GROUP BY ALL", "sales", "dim_date_dim"))
+def quarterly_orders(bed):
+    """Another period, over all channels, from the same state."""
+    return A.count_orders(_dated_orders(bed), "sale_year", "sale_quarter")
+
+
+@query(oracle(f"SELECT sale_year, sale_month, p.channel, {big('any_value(m.order_count)', 'order_count')}, {big('sum(quantity_sold)', 'quantity_sold')}, "
+              f"{amount('sum(p.net_sales)', 'net_sales')} FROM sales_performance p JOIN monthly_sales m "
+              "ON m.d_year = sale_year AND m.d_moy = sale_month AND m.channel = p.channel GROUP BY ALL", "sales_performance", "monthly_sales"))
+def monthly_rollup_distinct(bed):
+    """The monthly view with the order counts of the channel comparison, the facts not read again."""
+    out = A.monthly_rollup(stored_mart(bed, "mart_sales_performance"), _dated_orders(bed))
+    return _plain(out.select("sale_year", "sale_month", "channel", "order_count", "quantity_sold", "net_sales"))

@@ -243,3 +243,59 @@ def silver_overview(bed):
 @query(oracle(f"SELECT {big('count(*)', 'tables')}, {big('sum(rows)', 'rows')}, true AS has_bytes FROM ({_overview_sql()})", *_PARTS))
 def layer_totals(bed):
     return O.layer_totals(_overview(bed)).withColumn("has_bytes", F.col("bytes") > 0).drop("bytes")
+
+
+# -- a daily run and a graph build, by their logs -----------------------------------------------------------
+_UNIQUE = "unique_bronze_item_i_item_sk"
+_MADE = {
+    **{TABLES[t].silver_name: TABLES[t].silver_name for t in silver_tables() if t != "item"},
+    "int_sales_unified": "sales", "int_returns_unified": "returns", "mart_sales_performance": "sales_performance",
+    "mart_channel_comparison": "channel_comparison", "mart_customer_360": "customer_360",
+}
+
+
+def _nodes_sql() -> str:
+    rows = [f"SELECT '{n}' AS node_id, 'success' AS status, {big('count(*)', 'rows')}, CAST(NULL AS VARCHAR) AS message FROM {p}" for n, p in _MADE.items()]
+    rows.append("SELECT 'dim_item', 'skipped', CAST(NULL AS BIGINT), 'blocked by load item'")
+    rows.append("SELECT 'mart_product_analytics', 'skipped', CAST(NULL AS BIGINT), 'blocked by dim_item'")
+    rows.append(f"SELECT '{_UNIQUE}', 'fail', CAST(NULL AS BIGINT), 'failures: ' || count(*) FROM (SELECT i_item_sk FROM raw_item "
+                "WHERE i_item_sk IS NOT NULL GROUP BY i_item_sk)")
+    return " UNION ALL ".join(rows)
+
+
+@query(oracle(_nodes_sql(), *_MADE.values(), "raw_item"))
+def daily_nodes(bed):
+    """Node log of a daily run over raw files in which every item stands twice: tables with their rows,
+    the check that fails, and what is skipped because of it."""
+    from marketloom.plans.daily import run_daily
+    from marketloom.queries.sources import raw_files, raw_table
+    from marketloom.session import new_folder
+    from marketloom.sources.bronze import write_raw
+    from marketloom.warehouse import Warehouse
+
+    folder = raw_files(bed, [t for t in TABLES if t != "item"])
+    items = raw_table(bed, "item")
+    write_raw(items.unionByName(items), folder, "item")
+    wh = Warehouse(bed.spark, new_folder(bed.spark, "daily"))
+    run_daily(wh, folder)
+    timings = O.node_timings(wh).filter("node_type = 'model' OR status <> 'pass'")
+    return timings.join(wh.read("ops", "test_results"), F.col("node_id") == F.col("test_name")).select(
+        "node_id", timings["status"], F.col("rows_affected").alias("rows"), "message")
+
+
+@query(oracle(f"SELECT 'success' AS status, (SELECT {big('count(*)', 'n')} FROM node) AS nodes_loaded, "
+              f"(SELECT {big('count(*)', 'n')} FROM edge) AS edges_loaded, 2 AS seq", "node", "edge"))
+def graph_build_log(bed):
+    """Log of a graph build from stored Silver: one run, ended by its second event."""
+    from marketloom.plans.daily import refresh_graph
+    from marketloom.queries.graph import tables_of
+    from marketloom.session import new_folder
+    from marketloom.warehouse import Warehouse
+
+    bed.silver_layer()
+    wh = Warehouse(bed.spark, new_folder(bed.spark, "graph"))
+    refresh_graph(wh, tables=tables_of(bed))
+    events = wh.read("ops", "graph_runs")
+    last = events.groupBy("run_id").agg(F.max("seq").cast("int").alias("seq"))
+    runs = O.recent_runs(O.runs(wh, "graph"), 1)
+    return runs.join(last, "run_id").select("status", "nodes_loaded", "edges_loaded", "seq")

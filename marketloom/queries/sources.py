@@ -12,6 +12,7 @@ from marketloom.queries.oracle import PARTS, big, oracle
 from marketloom.session import new_folder
 from marketloom.sources import bronze as B
 from marketloom.sources import sinks as S
+from marketloom.sources import upsert as U
 from marketloom.specs import TABLES
 from marketloom.warehouse import Warehouse
 
@@ -90,7 +91,7 @@ def blank_line_aborts(bed):
     *[f"raw_{t}" for t in _FILES]))
 def load_bronze(bed):
     wh = Warehouse(bed.spark, new_folder(bed.spark, "load"))
-    stats = B.load_bronze(wh, raw_files(bed, _FILES), list(_FILES), on_error="raise")
+    stats = B.load_bronze(wh, raw_files(bed, _FILES), list(_FILES), on_error="raise", threads=8)
     return load_stats_frame(bed.spark, 1, stats).select("table_name", "rows_loaded", "status")
 
 
@@ -150,3 +151,31 @@ def layer_views(bed):
     name = next(v for v in views if v.endswith("int_sales_unified"))
     return bed.spark.sql(
         f"SELECT channel, count(*) AS n, CAST(sum(net_paid) AS DECIMAL(18,2)) AS net_sales FROM {name} GROUP BY channel")
+
+
+@query("""SELECT * FROM (SELECT 1 AS step, count(*) AS changed, 16 AS touched FROM part
+          UNION ALL SELECT 2, 0, 0 UNION ALL SELECT 3, 1, 1
+          UNION ALL SELECT 4, count(*), 16 FROM part WHERE p_size > 25) WHERE (SELECT count(*) FROM part) > 0""")
+def upsert_buckets(bed):
+    """Rows that an upsert found changed and buckets it wrote: a new table, the same rows again, one row
+    changed, the rows of large parts changed."""
+    p = bed.source("part").select("p_partkey", "p_name", "p_size")
+    one = p.agg(F.min("p_partkey")).scalar()
+    wh = Warehouse(bed.spark, new_folder(bed.spark, "upsert"))
+    new_name = lambda which: p.withColumn("p_name", F.when(which, "renamed").otherwise(F.col("p_name")))
+    steps = [p, p, new_name(F.col("p_partkey") == one), p.filter("p_size > 25").withColumn("p_name", F.lit("large"))]
+    done = [U.upsert(wh, rows, "silver", "part", ["p_partkey"]) for rows in steps]
+    return bed.spark.createDataFrame([(i + 1, d.changed, len(d.touched)) for i, d in enumerate(done)], "step int, changed long, touched int")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size > 25 THEN 'large' WHEN p_partkey = (SELECT min(p_partkey) FROM part) THEN 'renamed'
+          ELSE p_name END AS p_name, p_size FROM part WHERE p_size > 10 OR p_partkey = (SELECT min(p_partkey) FROM part)""")
+def upsert_rows(bed):
+    """A stored table after three upserts: rows that were left out of the later ones stay."""
+    p = bed.source("part").select("p_partkey", "p_name", "p_size")
+    first = F.col("p_partkey") == p.agg(F.min("p_partkey")).scalar()
+    wh = Warehouse(bed.spark, new_folder(bed.spark, "upsert"))
+    for rows in (p.filter("p_size > 10"), p.filter(first).withColumn("p_name", F.when(F.col("p_size") > 25, "large").otherwise("renamed")),
+                 p.filter("p_size > 25").withColumn("p_name", F.lit("large"))):
+        U.upsert(wh, rows, "silver", "part", ["p_partkey"])
+    return wh.read("silver", "part")

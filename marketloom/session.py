@@ -55,6 +55,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         # The JVM never compiles a method above 8000 bytes of bytecode; wide Silver projections
         # run faster as split methods than as one huge one that is interpreted.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Tables of a daily run are built next to each other, each in a pool of its own.
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

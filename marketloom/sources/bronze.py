@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from threading import Event
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ class LoadStats:
     duration_s: float
     status: str
     error_message: str | None = None
+    null_keys: int | None = None  # of the table's key, counted in the write
 
 
 def file_path(folder: str, table: str) -> str:
@@ -63,32 +67,48 @@ def check_tables(tables: list[str] | None) -> list[str]:
 
 
 def load_table(wh: Warehouse, folder: str, table: str) -> LoadStats:
-    """Replace one Bronze table; a bad line leaves the old table in place."""
+    """Replace one Bronze table; a bad line leaves the old table in place. Rows and missing keys are
+    counted in the write."""
     started, clock = datetime.now(timezone.utc), time.perf_counter()
     size = wh.size_bytes(file_path(folder, table))
-    wh.write(read_bronze(wh.spark, folder, table), "bronze", table)
-    rows = wh.read("bronze", table).count()  # answered from the Parquet footers
-    return LoadStats(
-        table, started, datetime.now(timezone.utc), rows, size, time.perf_counter() - clock, "success"
-    )
+    key = spec_of(table).pk
+    counted = {"null_keys": F.count_if(F.col(key).isNull())} if key else {}
+    done = wh.write(read_bronze(wh.spark, folder, table), "bronze", table, metrics=counted)
+    return LoadStats(table, started, datetime.now(timezone.utc), done.rows, size, time.perf_counter() - clock, "success",
+                     null_keys=done.metrics.get("null_keys", 0) if key else None)
+
+
+def failed_load(table: str, started: datetime, exc: Exception) -> LoadStats:
+    return LoadStats(table, started, datetime.now(timezone.utc), 0, 0, 0.0, "failed", f"{type(exc).__name__}: {exc}")
 
 
 def load_bronze(
-    wh: Warehouse, folder: str, tables: list[str] | None = None, on_error: str = "stop"
+    wh: Warehouse, folder: str, tables: list[str] | None = None, on_error: str = "stop", threads: int = 1
 ) -> list[LoadStats]:
-    """Load tables in order; the first failure is recorded and stops the load."""
-    done: list[LoadStats] = []
-    for table in check_tables(tables):
+    """Load tables; the first failure is recorded and no further load begins.
+
+    Tables are begun in order, ``threads`` of them next to each other; loads that had begun before
+    another one failed are ended and recorded.
+    """
+    chosen = check_tables(tables)
+    done: dict[str, LoadStats] = {}
+    failed = Event()
+
+    def load(table: str) -> None:
+        if failed.is_set():
+            return
+        started = datetime.now(timezone.utc)
         try:
-            done.append(load_table(wh, folder, table))
+            done[table] = load_table(wh, folder, table)
         except Exception as exc:  # recorded, then reported by the caller
+            failed.set()
             if on_error == "raise":
                 raise
-            now = datetime.now(timezone.utc)
-            message = f"{type(exc).__name__}: {exc}"
-            done.append(LoadStats(table, now, now, 0, 0, 0.0, "failed", message))
-            break
-    return done
+            done[table] = failed_load(table, started, exc)
+
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(inheritable_thread_target(wh.spark)(load), chosen))
+    return [done[t] for t in chosen if t in done]
 
 
 def tables_loaded(stats: list[LoadStats], in_daily_run: bool = False) -> int:
@@ -105,9 +125,7 @@ def profile_files(spark: SparkSession, folder: str, tables: list[str] | None = N
     """
     chosen = check_tables(tables)
     wh = Warehouse(spark, folder)
-    present = [
-        t for t in chosen if wh.fs(p := wh.hpath(file_path(folder, t))).exists(p)
-    ]
+    present = [t for t in chosen if wh.files.exists(file_path(folder, t))]
     declared = spark.createDataFrame(
         [(t, spec_of(t).file, len(spec_of(t).columns), t in present,
           wh.size_bytes(file_path(folder, t)) if t in present else 0) for t in chosen],

@@ -1,10 +1,11 @@
-"""Sinks that Parquet lacks: upsert and insert-if-absent as whole-table results."""
+"""Sinks that Parquet lacks: upsert and insert-if-absent as whole-table results, event logs."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,17 +20,25 @@ def last_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 def merge_by_key(
     old: DataFrame, new: DataFrame, keys: Sequence[str], seq: str | None = None
 ) -> DataFrame:
-    """Upsert: rows of ``new`` replace rows of ``old`` with the same key; other rows stay.
+    """Upsert: rows of ``new`` replace rows of ``old`` with the same key; other rows stay. Null keys are
+    equal to each other. For stored tables see ``upsert``, which writes what has changed only.
 
     Without ``seq`` the keys of ``new`` must be unique; with it the last write per key wins.
     """
     fresh = last_per_key(new, keys, seq) if seq else new
-    return fresh.unionByName(old.join(fresh.select(*keys), list(keys), "left_anti"))
+    return fresh.unionByName(_without(old, fresh, keys))
 
 
 def insert_missing(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert if absent: rows of ``new`` whose key is not in ``old`` are added."""
-    return old.unionByName(new.join(old.select(*keys), list(keys), "left_anti"))
+    """Insert if absent: rows of ``new`` whose key is not in ``old`` are added; null keys are equal."""
+    return old.unionByName(_without(new, old, keys))
+
+
+def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``other``."""
+    held = other.select(*[F.col(k).alias(f"_held_{i}") for i, k in enumerate(keys)])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_held_{i}")) for i, k in enumerate(keys)])
+    return df.join(held, same, "left_anti")
 
 
 def latest_events(events: DataFrame, key: str, seq: str) -> DataFrame:

@@ -309,7 +309,9 @@ class Bed:
                 self._ready.add(name)
 
     def _order_lines(self) -> DataFrame:
-        return self.spark.sql(BASE_SQL, lineitem=self.source("lineitem"), orders=self.source("orders"))
+        # A given table may be one row group: its lines are dealt to all cores before they are joined.
+        lines = self.source("lineitem").repartition(self.spark.sparkContext.defaultParallelism, "l_orderkey")
+        return self.spark.sql(BASE_SQL, lineitem=lines, orders=self.source("orders"))
 
     # -- layers --------------------------------------------------------------------------------
     def raw(self, table: str) -> DataFrame:

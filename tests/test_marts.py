@@ -110,3 +110,23 @@ def test_product_analytics(spark, make):
     assert [(rows[i].sales_rank, rows[i].sales_percentile) for i in (1, 2, 3)] == [(2, 2), (1, 1), (None, None)]
     assert (rows[1].return_rate, rows[1].store_quantity, rows[1].web_quantity) == (D("0.3333"), 3, 0)
     assert (rows[3].returned_amt, rows[3].return_rate, rows[3].total_quantity) == (D("5.00"), None, 0)
+
+
+def test_orders_of_a_period_add_up(spark):
+    """Lists and bitmaps, order numbers over several buckets, negative ones and none."""
+    from pyspark.sql import functions as F
+
+    from marketloom.operators import aggregates as A
+
+    sales = spark.range(20_000).select(
+        F.when(F.col("id") % 11 > 0, (F.col("id") % 7).cast("int")).alias("sold_date_sk"), F.element_at(F.array(F.lit("web"), F.lit("store")), (F.col("id") % 2 + 1).cast("int")).alias("channel"),
+        F.when(F.col("id") % 13 > 0, F.when(F.col("id") % 3 == 0, F.col("id") % 5000).otherwise(F.col("id") * 97 - 40_000)).cast("int").alias("order_number"))
+    state = A.daily_orders(sales)
+    assert state.filter("bitmap IS NOT NULL").count() > 0 and state.filter("size(positions) > 0").count() > 0
+    assert state.agg(F.max(F.size("positions"))).first()[0] <= A.SPARSE
+    dated = where = sales.filter("sold_date_sk IS NOT NULL AND order_number IS NOT NULL")
+    for by in (["sold_date_sk", "channel"], ["channel"]):
+        want = dated.groupBy(*by).agg(F.countDistinct("order_number").alias("order_count"))
+        got = A.count_orders(state, *by)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*by, "order_count").collect()))
+    assert A.count_orders(state).first()[0] == where.select("channel", "order_number").distinct().count()

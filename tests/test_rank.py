@@ -36,3 +36,20 @@ def test_top_n_per(spark):
     assert top_n_per(df, ["c"], order, None).count() == 14
     plan = top_n_per(df, ["c"], order, 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_stacked_tiles_are_ntiles_by_one_sort(spark, tmp_path):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from marketloom.operators.rank import stacked_tiles
+
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, 1, 1, 1, 2, 3, 50]), rng.choice([None, 0.5, -2.25, 7.75]), f"row {i}") for i in range(1003)]
+    df = spark.createDataFrame(rows, "k int, a int, b double, name string").withColumn("b", F.col("b").cast("decimal(10,2)"))
+    df.createOrReplaceTempView("stacked")
+    want = spark.sql("SELECT *, ntile(5) OVER (ORDER BY a DESC NULLS FIRST, k) AS ta, ntile(5) OVER (ORDER BY b NULLS LAST, k) AS tb FROM stacked")
+    got = stacked_tiles(df, "k", {"ta": (F.col("a"), True), "tb": (F.col("b"), False)}, 5)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert stacked_tiles(df.limit(0), "k", {"ta": (F.col("a"), True)}, 5).count() == 0

@@ -102,7 +102,9 @@ def test_failed_check_skips_dependants(spark, raw, tmp_path, wh):
     items.unionByName(items.limit(1)).write.text(str(folder / "item.dat"))
     out = run_daily(wh, str(folder))
     assert (out.status, out.failed) == ("failed", 1)
-    assert out.blocked == {"dim_item", "mart_product_analytics"}
+    assert out.blocked == {"load item", "dim_item", "mart_product_analytics"}
+    skipped = wh.read("ops", "test_results").filter("status = 'skipped'").collect()
+    assert {(r.test_name, r.message) for r in skipped} == {("dim_item", "blocked by load item"), ("mart_product_analytics", "blocked by dim_item")}
     assert wh.exists("gold", "mart_customer_360") and not wh.exists("gold", "mart_product_analytics")
     failed = wh.read("ops", "test_results").filter("status = 'fail'").first()
     assert (failed.test_name, failed.failures) == ("unique_bronze_item_i_item_sk", 1)
@@ -118,10 +120,10 @@ def test_a_check_that_raises_fails_the_run_and_all_is_logged(raw, wh, monkeypatc
 
     monkeypatch.setattr(daily, "run_checks", checks)
     out = run_daily(wh, raw)
-    assert (out.status, out.failed, out.blocked) == ("failed", 2, {"dim_store"})
+    assert (out.status, out.failed, out.blocked) == ("failed", 1, {"load store", "dim_store"})
     assert O.runs(wh).first().status == "failed" and wh.read("ops", "ingest_table_stats").count() == 25
     errors = wh.read("ops", "test_results").filter("status = 'error'").collect()
-    assert {r.test_name for r in errors} == {"not_null_bronze_store_s_store_sk", "unique_bronze_store_s_store_sk"}
+    assert {r.test_name for r in errors} == {"unique_bronze_store_s_store_sk"}  # the write has counted the null keys
     assert all(r.message.endswith("because") for r in errors)  # whole, not cut
     assert wh.read("ops", "node_timings").filter("status = 'skipped'").count() == 1
 
@@ -129,7 +131,7 @@ def test_a_check_that_raises_fails_the_run_and_all_is_logged(raw, wh, monkeypatc
 def test_a_run_that_breaks_is_closed(raw, wh, monkeypatch):
     from marketloom.plans import daily
 
-    monkeypatch.setattr(daily, "nodes_of_run", lambda wh: 1 / 0)
+    monkeypatch.setattr(daily, "ops_suite", lambda: 1 / 0)
     out = run_daily(wh, raw)
     assert out.status == "failed" and "ZeroDivisionError" in out.message
     row = O.runs(wh).first()
@@ -147,3 +149,94 @@ def test_keys_that_do_not_fit_fail_the_run(spark, raw, tmp_path, wh):
     failed = wh.read("ops", "test_results").filter("status = 'fail'").collect()
     assert out.status == "failed" and [(r.test_name, r.failures) for r in failed] == [
         ("key_range_silver_dim_reason__anomalies", 1)]
+
+
+def test_nodes_run_as_soon_as_they_can(spark):
+    """No barrier: a chain isn't held up by a slow node it doesn't need; needs come first; errors end it."""
+    import threading
+    import time
+
+    from marketloom.plans.daily import Node, run_nodes
+
+    order, lock, slow = [], threading.Lock(), threading.Event()
+
+    def work(node):
+        if node.name == "slow":
+            assert slow.wait(30)
+        with lock:
+            order.append((node.name, spark.sparkContext.getLocalProperty("spark.scheduler.pool")))
+        if node.name == "c":
+            slow.set()
+
+    def node(name, *needs, weight=0):
+        return Node(name, "silver", lambda _: None, needs, weight=weight)
+
+    run_nodes(spark, [node("slow"), node("c", "b"), node("b", "a"), node("a"), node("last", "slow", "c")], work, 2)
+    assert [n for n, _ in order] == ["a", "b", "c", "slow", "last"] and all(n == p for n, p in order)
+    begun = []
+    run_nodes(spark, [node("light"), node("heavy", weight=9), node("middle", weight=5)], lambda n: begun.append(n.name), 1)
+    assert begun == ["heavy", "middle", "light"]
+    with pytest.raises(ValueError, match="not there"):
+        run_nodes(spark, [node("a", "nope")], work, 2)
+    with pytest.raises(ValueError, match="each other"):
+        run_nodes(spark, [node("a", "b"), node("b", "a")], work, 2)
+    with pytest.raises(ZeroDivisionError):
+        run_nodes(spark, [node("a"), node("b", "a")], lambda n: 1 / 0, 2)
+    assert time.time() > 0
+
+
+def test_a_failed_load_may_skip_its_dependants_only(raw, tmp_path, wh):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for t in TABLES:
+        (folder / f"{t}.dat").symlink_to(file_path(raw, t))
+    (folder / "item.dat").unlink()
+    out = run_daily(wh, str(folder), on_load_error="skip")
+    assert out.status == "failed" and "load failed at item" in out.message
+    assert out.blocked == {"load item", "dim_item", "mart_product_analytics"}
+    assert wh.exists("gold", "mart_customer_360") and wh.read("ops", "ingest_table_stats").count() == 25
+
+
+def test_nothing_is_read_again_for_counts(spark, raw, tmp_path):
+    """Rows, null keys and rejected rows come from the writes: one Spark job per write, none besides."""
+    from marketloom.operators.silver import store_silver
+    from marketloom.sources.bronze import load_table
+
+    wh = Warehouse(spark, str(tmp_path / "w"))
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+
+    def jobs(work):
+        sc.setJobGroup(work.__name__ + str(tmp_path), "counted")
+        try:
+            out = work()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return out, len(tracker.getJobIdsForGroup(work.__name__ + str(tmp_path)))
+
+    def load():
+        return load_table(wh, raw, "store_sales")
+
+    stats, n = jobs(load)
+    assert n == 1 and stats.rows_loaded == wh.read("bronze", "store_sales").count() and stats.null_keys is None
+
+    def silver():
+        checks = Q.range_suite("store_sales")
+        return store_silver(wh, wh.read("bronze", "store_sales"), TABLES["store_sales"], metrics=Q.observed(checks))
+
+    done, n = jobs(silver)
+    rejected = wh.read("silver", "fact_store_sales__anomalies")
+    assert n <= 2 and done.rows == stats.rows_loaded and done.metrics["rejected"] == rejected.count() > 0  # reading the schema may be a job
+    assert done.metrics["key_range_silver_fact_store_sales__anomalies"] == 0
+
+
+def test_observed_checks_agree_with_run_checks(spark, wh):
+    rows = [(1, "New"), (None, "New"), (2, "Other"), (3, None), (4, "Odd"), (5, "Odd")]
+    df = spark.createDataFrame(rows, "c_customer_sk int, segment string")
+    suite = [c for c in Q.gold_suite() if c.table == "mart_customer_360"]
+    done = wh.write(df, "gold", "mart_customer_360", metrics=Q.observed(suite))
+    known = Q.answered(suite, done.metrics)
+    full = {r.test_name: (r.status, r.failures, r.message) for r in Q.run_checks(lambda layer, t: wh.read(layer, t), suite).collect()}
+    assert len(known) == 2 and {n: (v[0], f, v[1]) for n, f in known.items() for v in [Q.verdict(f)]}.items() <= full.items()
+    assert full["accepted_values_gold_mart_customer_360_segment"][1] == 2  # values, so the three rows counted in the write don't answer it
+    good = wh.write(df.filter("segment = 'New'"), "gold", "mart_customer_360", metrics=Q.observed(suite))
+    assert Q.answered(suite, good.metrics)["accepted_values_gold_mart_customer_360_segment"] == 0
