@@ -4,13 +4,14 @@ A word pair scores count(pair) / count(first word) if the pair occurs outside th
 0.4 * count(second word) / words; a word unknown elsewhere scores 0.4 * 0.4 / words. All counts
 leave the scored document out, otherwise every pair would be known by itself.
 
-All counts are exact and kept by hash, so none is bounded by a table. The distinct words of a chunk
-of documents and the pairs of each document, counted within it, are dealt to buckets, as packed
-arrays, one row per chunk and bucket. A bucket of words sends the totals of its words back to the
-chunk; a bucket of pairs sends the places of those that occur elsewhere, and how often. Where the
-rows of a chunk meet again, its documents are scored. A word is in a bucket once per chunk, however
-frequent it is. Pairs so frequent that a bucket couldn't hold their documents (at most 8192 can be)
-are counted beforehand and looked up in the task that reads the text.
+Counts are kept by hash, none is bounded by a table. The distinct words and the distinct pairs of a
+chunk of documents, counted within it, are dealt to buckets, as packed arrays, one row per chunk and
+bucket. A bucket adds its rows up and sends totals back: to the chunk the totals of its words, and
+the places and totals of those pairs that occur in other chunks too. Where the rows of a chunk meet
+again, its documents are scored. So a word or a pair is in a bucket once per chunk, however frequent
+it is; a bucket has a fixed number of entries, and is added up in narrow arrays. Pairs that make up a
+large share of all (at most 8192 can) are counted beforehand and looked up where the text is read.
+Words are compared by 64 bits of their hash at most, by 48 behind the bits of their bucket at least.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.hashing import Hasher, Words, chunks, mix
 from marketloom.llm.neardup import runs
+from marketloom.llm.store import stored
 
 ALPHA = 0.4
 FREQUENT = 4096  # a pair is frequent from this share of all pairs on: 1 / FREQUENT
-BUCKET_PAIRS = 1 << 21
-CHUNK = 1 << 20
+BUCKET_PAIRS = 1 << 20
+CHUNK = 4 << 20
 SPREAD = 1_000_003  # rows of chunks are dealt by their number modulo this
 
 
@@ -41,11 +43,6 @@ def pairs_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return at, mix(w.hashes[at] * np.uint64(0x9E3779B97F4A7C15) + w.hashes[at + 1])
 
 
-def slots_of(w: Words) -> np.ndarray:
-    """What words are counted under: their hashes, none shared."""
-    return w.hashes
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of this task: all words (kind 0), and pairs that may be frequent (kind 1): a pair
     frequent in the corpus has half that share in chunks that hold half its places."""
@@ -95,8 +92,8 @@ def _unplaned(raw: bytes, n: int) -> np.ndarray:
 
 
 #: A chunk's own row (bucket < 0) has ids, nulls, words and order; rows of pairs have places, those of words don't.
-ROWS = "bucket int, chunk long, ids binary, nulls binary, words binary, order binary, keys binary, counts binary, places binary, left binary"
-CHUNK_ROWS = "bucket int, chunk long, ids binary, nulls binary, words binary, order binary, counts binary, places binary, left binary, totals binary"
+ROWS = "bucket int, chunk long, ids binary, nulls binary, words binary, order binary, keys binary, counts binary, places binary, totals binary"
+CHUNK_ROWS = "bucket int, chunk long, ids binary, nulls binary, words binary, order binary, counts binary, places binary, totals binary"
 
 
 def _names(schema: str) -> list[str]:
@@ -110,8 +107,8 @@ def _batch(rows: list[dict], schema: str) -> pa.RecordBatch:
 
 
 def _deal(known, bits: int):
-    """Per chunk: a row of its own with the order of its words and the frequent pairs found, and
-    for every bucket its distinct words, and the pairs of its documents."""
+    """Per chunk: a row of its own with the order of its words and the totals of the frequent pairs found,
+    and for every bucket its distinct words and its distinct pairs, counted within the chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         keys, totals = (np.frombuffer(x, t) for x, t in zip(known.value, (np.uint64, np.int64), strict=True))
@@ -127,34 +124,28 @@ def _deal(known, bits: int):
 def _chunk_rows(hasher, keys, totals, bits, chunk, texts, ids) -> list[dict]:
     w = hasher.words(texts)
     n = w.counts
-    doc = np.repeat(np.arange(len(n)), n)
-    word, back, count = np.unique(slots_of(w), return_inverse=True, return_counts=True)
+    word, back, count = np.unique(w.hashes, return_inverse=True, return_counts=True)
     # Frequent words have small numbers, which pack well.
     rank = np.empty(len(word), np.int64)
     rank[_by_count(count)] = np.arange(len(word))
     at, h = pairs_of(w)
-    order = np.lexsort((doc[at], h))
+    order = np.argsort(h, kind="stable")
     h, at = h[order], at[order]
-    d = doc[at]
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+    new[1:] = h[1:] != h[:-1]
     begin = np.flatnonzero(new)
     k = np.diff(np.append(begin, len(h)))
-    h, at = h[begin], at[begin]
-    sure, left = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sure_at = sure_k = sure
+    h, at = h[begin], at[begin]  # a pair is named by the place of its first word where it stands first
+    sure_at, sure = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(keys) and len(h):
         where = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         is_known = keys[where] == h
-        left = np.where(is_known, totals[where] - k, 0)
-        sure = np.flatnonzero(left > 0)
-        sure_at, sure_k, left = at[sure], k[sure], left[sure]
+        sure_at, sure = at[is_known], totals[where[is_known]]
         h, at, k = (x[~is_known] for x in (h, at, k))
     rows = [{
         "bucket": -1 - chunk % SPREAD, "chunk": chunk, "ids": ids.fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
         "nulls": np.packbits(ids.is_null().to_numpy(zero_copy_only=False)).tobytes(), "words": n.astype(np.int64).tobytes(),
-        "order": _planes(rank[back], 4), "keys": _planes(count, 4), "counts": _planes(sure_k, 4),
-        "places": _planes(sure_at, 4), "left": _planes(left, 8)}]
+        "order": _planes(rank[back], 4), "keys": _planes(count, 4), "places": _planes(sure_at, 4), "totals": _planes(sure, 8)}]
     for x, y, bucket in _bucket_ranges(word, bits):
         rows.append({"bucket": (1 << bits) + bucket, "chunk": chunk, "keys": _tails(word[x:y], bits), "counts": _planes(count[x:y], 4)})
     for x, y, bucket in _bucket_ranges(h, bits):
@@ -181,44 +172,56 @@ def _tails(h: np.ndarray, bits: int) -> bytes:
     return _planes(np.diff((h << np.uint64(bits)) >> np.uint64(16), prepend=np.uint64(0)), 6)
 
 
+def _totals(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of the counts of equal keys, for each of them."""
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys), bool)
+    new[1:] = np.diff(keys[order]) != 0
+    begin = np.flatnonzero(new)
+    sums = np.add.reduceat(counts[order], begin, dtype=np.int64)
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(sums, np.diff(np.append(begin, len(keys))))
+    return out
+
+
 def _join_bucket(bits: int):
     """Adds the words or the pairs of a bucket up. Per chunk: the totals of its words, or the places
-    of the pairs that occur elsewhere, with both counts. Rows of the chunks themselves pass through."""
+    and totals of its pairs that occur elsewhere. Rows of the chunks themselves pass through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["bucket"]):
             bucket = table.column("bucket").to_numpy()
-            own = table.filter(pa.array(bucket < 0))
-            for r in own.to_pylist():
-                yield _batch([r | {"totals": r["keys"]}], CHUNK_ROWS)
-            for b in np.unique(bucket[bucket >= 0]):
+            for b in np.unique(bucket):
                 part = table.filter(pa.array(bucket == b))
-                col = {c: part.column(c).to_pylist() for c in ("chunk", "keys", "counts", "places")}
-                each = [np.cumsum(_unplaned(x, 6)) for x in col["keys"]]
-                keys = np.concatenate(each)
-                k = np.concatenate([_unplaned(x, 4) for x in col["counts"]]).astype(np.int64)
-                order = np.argsort(keys, kind="stable")
-                new = np.ones(len(keys), bool)
-                new[1:] = keys[order][1:] != keys[order][:-1]
-                total = np.empty(len(keys), np.int64)
-                total[order] = np.add.reduceat(k[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-                at, out = 0, []
-                for x, places, chunk in zip(each, col["places"], col["chunk"], strict=True):
-                    here = slice(at, at + len(x))
-                    at += len(x)
-                    row = {"bucket": int(b), "chunk": chunk}
-                    if b >= 1 << bits:
-                        out.append(row | {"totals": _planes(total[here], 8)})
-                        continue
-                    left = total[here] - k[here]
-                    some = np.flatnonzero(left)
-                    if len(some):
-                        out.append(row | {"places": _planes(_unplaned(places, 4)[some], 4), "counts": _planes(k[here][some], 4),
-                                          "left": _planes(left[some], 8)})
-                if out:
-                    yield _batch(out, CHUNK_ROWS)
+                if b < 0:
+                    for i in range(part.num_rows):
+                        r = part.slice(i, 1).to_pylist()[0]
+                        yield _batch([r | {"counts": r["keys"]}], CHUNK_ROWS)
+                    continue
+                yield from _join_rows(part, int(b), int(b) >= 1 << bits)
     return run
 
 
+def _join_rows(part: pa.Table, b: int, are_words: bool) -> Iterator[pa.RecordBatch]:
+    """Packed rows are taken one by one, so that no more than the arrays of the bucket are held."""
+    packed = (part.column(c) for c in ("keys", "counts"))
+    keys, counts = (np.concatenate([f(_unplaned(x.as_py(), n)) for x in c]) for c, n, f in zip(
+        packed, (6, 4), (np.cumsum, lambda x: x.astype(np.uint32)), strict=True))
+    total, at = _totals(keys, counts), 0
+    del keys
+    for i in range(part.num_rows):
+        places = part.column("places")[i].as_py()
+        n = len(_unplaned(part.column("counts")[i].as_py(), 4))
+        mine, held = total[at:at + n], counts[at:at + n]
+        at += n
+        row = {"bucket": b, "chunk": part.column("chunk")[i].as_py()}
+        if are_words:
+            yield _batch([row | {"totals": _planes(mine, 8)}], CHUNK_ROWS)
+            continue
+        some = np.flatnonzero(mine > held)
+        if len(some):
+            yield _batch([row | {"places": _planes(_unplaned(places, 4)[some], 4), "totals": _planes(mine[some], 8)}], CHUNK_ROWS)
+
+
 def _score_chunks(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["chunk"]):
@@ -233,25 +236,33 @@ def _score_chunk(rows: list[dict], words: int) -> pa.RecordBatch:
     own = rows[0]
     ids, n = np.frombuffer(own["ids"], np.int64), np.frombuffer(own["words"], np.int64)
     doc = np.repeat(np.arange(len(n)), n)
-    totals = [_unplaned(r["totals"], 8).astype(np.int64) for r in rows[1:] if r["totals"] is not None]
-    total = np.concatenate([np.zeros(0, np.int64), *totals])[_by_count(_unplaned(own["totals"], 4).astype(np.int64))]
+    totals = [_unplaned(r["totals"], 8).astype(np.int64) for r in rows[1:] if r["places"] is None]
+    total = np.concatenate([np.zeros(0, np.int64), *totals])[_by_count(_unplaned(own["counts"], 4).astype(np.int64))]
     word = _unplaned(own["order"], 4).astype(np.int64)
-    _, back, mine = np.unique(doc * max(1, len(total)) + word, return_inverse=True, return_counts=True)
-    rest = (total[word] - mine[back]).astype(np.float64)  # the word outside the document
-    others = np.log(np.maximum(words - n, 1).astype(np.float64))[doc]
-    alone = np.where(rest > 0, np.log(np.maximum(rest, 1)), math.log(ALPHA)) - others
-    score = np.bincount(doc, alone + math.log(ALPHA), len(n)).astype(np.float64)
-    score[n > 0] -= math.log(ALPHA)  # a first word has no pair to back off from
+    rest = total[word] - _held(doc, word, len(total))  # the word outside the document
+    alone = np.where(rest > 0, np.log(np.maximum(rest, 1)), math.log(ALPHA)) - np.log(np.maximum(words - n, 1).astype(np.float64))[doc]
+    # Pairs by the place of their first word; those that no bucket sent back occur in this chunk only.
+    at = np.flatnonzero(doc[1:] == doc[:-1])
+    _, pair, count = np.unique(word[at] * max(1, len(total)) + word[at + 1], return_inverse=True, return_counts=True)
     for r in rows:
         if r["places"] is not None:
-            at, k = (_unplaned(r[x], 4).astype(np.int64) for x in ("places", "counts"))
-            left = _unplaned(r["left"], 8).astype(np.float64)
-            score += np.bincount(doc[at], k * (np.log(left) - np.log(np.maximum(rest[at], 1)) - alone[at + 1] - math.log(ALPHA)), len(n))
+            places = _unplaned(r["places"], 4).astype(np.int64)
+            count[pair[np.searchsorted(at, places)]] = _unplaned(r["totals"], 8).astype(np.int64)
+    left = count[pair] - _held(doc[at], pair, len(count))
+    each = alone.copy()
+    each[at + 1] = np.where(left > 0, np.log(np.maximum(left, 1)) - np.log(np.maximum(rest[at], 1)), alone[at + 1] + math.log(ALPHA))
+    score = np.bincount(doc, each, len(n))
     null = np.unpackbits(np.frombuffer(own["nulls"], np.uint8))[:len(ids)].astype(bool)
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, mask=null), pa.array(n), pa.array(score / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_words", "log_score"])
 
 
+def _held(doc: np.ndarray, what: np.ndarray, kinds: int) -> np.ndarray:
+    """How often the document of each place holds what stands there."""
+    _, back, held = np.unique(doc * max(1, kinds) + what, return_inverse=True, return_counts=True)
+    return held[back]
+
+
 def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
     """One row per input row: doc_id, n_words, log_score (mean natural logarithm per word).
 
@@ -261,10 +272,11 @@ def score_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", buc
     """
     sc = docs.sparkSession.sparkContext
     plain = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    counts = plain.select("text").mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
-    kind, key, n = (counts.column(c).to_numpy() for c in ("kind", "key", "n"))
-    words = int(n[kind == 0].sum())
-    often = np.sort(key[(kind == 1) & (n * 2 * FREQUENT >= words)].view(np.uint64))
+    counts = stored(plain.select("text").mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "pair-counts")
+    words = counts.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Candidates by their sums; at most 2 * FREQUENT have the share.
+    often = counts.filter(F.col("kind") == 1).filter(F.col("n") * 2 * FREQUENT >= words).select("key").toArrow().column("key").to_numpy()
+    often = np.sort(often.view(np.uint64))
     totals = np.zeros(len(often), np.int64)
     if len(often):
         known = plain.select("text").mapInArrow(_count_known(sc.broadcast(often.tobytes())), "key long, n long").groupBy("key").agg(
