@@ -1,9 +1,9 @@
 """Quality rules with adaptive thresholds.
 
 Four features per document are put into logarithmic buckets; the bucket counts per language and
-source are a quantile sketch with bounded relative error that merges by addition. Quantiles of
-the merged counts give an upper fence per group, and documents are joined with their group's
-fences. Groups with few documents use the sketch of their language, then that of all documents.
+source are a quantile sketch with bounded relative error that merges by addition. A high quantile of
+the merged counts, and a little more, is the upper fence of a group, and documents are joined with
+their group's fences. Groups with few documents use the sketch of their language, then that of all documents.
 
 Only DataFrame functions. The text is read once; features are checkpointed, because they are
 used by the sketch and by the filter.
@@ -24,12 +24,12 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 #: Parameters of the method: relative error of a bucket, documents a group needs for fences of
-#: its own, width of the fence in quartile ranges, and the smallest fence per feature. The last
-#: keeps a group whose documents are all alike from rejecting a document for one odd word.
+#: its own, and per feature the quantile of a fence and the slack above it. The slack keeps a group whose
+#: documents are all alike from rejecting a document for one odd word or line.
 ACCURACY = 0.02
 MIN_GROUP = 100
-FENCE = 6.0
-FLOORS = {"symbol_share": 0.25, "dup_line_share": 0.3, "repeat_share": 0.3, "word_length": 20.0}
+FENCES = {"symbol_share": (0.9, 0.25), "dup_line_share": (0.98, 0.15), "repeat_share": (0.98, 0.15), "word_length": (0.9, 1.0)}
+PROBS = {f"q{round(100 * p)}": p for p, _ in FENCES.values()}
 LEVELS = (("lang", "source"), ("lang",), ())
 
 
@@ -64,18 +64,20 @@ def repeated_window_words(w: Column, size: int = WINDOW) -> Column:
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; null texts count nothing."""
+    """Adds n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines, n_repeat_words; null
+    texts count nothing."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, GAP_CHARS, "")) > 0)
     by_word = let(words(F.col(text)), lambda w: F.struct(
         F.size(w).cast("long").alias("n"), repeated_window_words(w).alias("rep")))
     return docs.withColumn("_w", by_word).withColumn("_l", let(
-        lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))).select(
+        lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))).select(
         *[c for c in docs.columns if c != text],
         F.col("_w.n").alias("n_words"),
         F.length(F.translate(t, GAP_CHARS, "")).cast("long").alias("word_chars"),
         (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.col("_l").alias("n_dup_lines"),
+        F.col("_l.n").alias("n_lines"),
+        F.col("_l.dup").alias("n_dup_lines"),
         F.col("_w.rep").alias("n_repeat_words"),
     )
 
@@ -84,7 +86,7 @@ def _shares() -> dict[str, Column]:
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     return {
         "symbol_share": F.col("n_symbols") / n,
-        "dup_line_share": F.col("n_dup_lines") / n,
+        "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)).cast("double"),
         "repeat_share": F.col("n_repeat_words") / n,
         "word_length": F.col("word_chars") / n,
     }
@@ -115,16 +117,15 @@ def quantiles(sk: DataFrame, keys: tuple[str, ...], probs: dict[str, float], acc
         *[F.min(F.when(F.col("upto") >= F.col("total") * p, value)).alias(name) for name, p in probs.items()])
 
 
-def fences(sk: DataFrame, keys: tuple[str, ...], width: float = FENCE) -> DataFrame:
+def fences(sk: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """keys, total, fences (feature -> largest accepted value)."""
-    q = quantiles(sk, keys, {"q1": 0.25, "q3": 0.75})
-    floor = F.create_map(*[x for k, v in FLOORS.items() for x in (F.lit(k), F.lit(v))])
-    top = F.greatest(F.col("q3") + width * (F.col("q3") - F.col("q1")), floor[F.col("feature")])
+    q = quantiles(sk, keys, PROBS)
+    top = F.coalesce(*[F.when(F.col("feature") == f, F.col(f"q{round(100 * p)}") + slack) for f, (p, slack) in FENCES.items()])
     return q.groupBy(*keys).agg(
         F.max("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("feature", top))).alias("fences"))
 
 
-def judge(docs: DataFrame, min_group: int = MIN_GROUP, width: float = FENCE,
+def judge(docs: DataFrame, min_group: int = MIN_GROUP,
           id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, lang, source, features, base_failed, kept, reason.
 
@@ -142,7 +143,7 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, width: float = FENCE,
     for k, keys in enumerate(LEVELS):
         # The sketch of a wider level is the sum of the sketches below it.
         own = fine.groupBy(*keys, "feature", "bucket").agg(F.sum("n").alias("n")) if k else fine
-        table = fences(own, keys, width).filter(F.col("total") >= (min_group if keys else 0))
+        table = fences(own, keys).filter(F.col("total") >= (min_group if keys else 0))
         named = table.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("fences").alias(f"_f{k}"))
         on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
         out = out.join(named, on, "left") if keys else out.join(F.broadcast(named), F.lit(True), "left")  # one row
@@ -152,36 +153,36 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP, width: float = FENCE,
         F.when(v > F.coalesce(fence[name], F.lit(float("inf"))), F.lit(name)) for name, v in _shares().items()
     ]), lambda x: x.isNotNull())
     return out.withColumn("_over", over).select(
-        id, "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        id, "lang", "source", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.size("_over") == 0)).alias("kept"),
-        F.when(F.col("base_failed"), F.lit("base")).when(F.size("_over") > 0, F.array_join("_over", ",")).alias("reason"))
+        F.when(F.col("base_failed"), F.lit("base")).when(F.size("_over") > 0, F.array_join("_over", ",")).alias("reason"),
+        fence.alias("fences"))
 
 
 def quality_digest(docs: DataFrame) -> DataFrame:
-    return judge(docs).drop("lang", "source", "reason")
+    return judge(docs).drop("lang", "source", "n_lines", "reason", "fences")
 
 
 def digest_sql() -> str:
     """The same counts, sketches and fences in SQL over documents."""
     gap = "[\\x20\\x09-\\x0D]+"
-    values = {"symbol_share": "n_symbols", "dup_line_share": "n_dup_lines", "repeat_share": "n_repeat_words",
-              "word_length": "word_chars"}
+    words, lines = ("greatest({}, 1)::DOUBLE".format(c) for c in ("n_words", "n_lines"))
+    values = {"symbol_share": f"n_symbols / {words}", "dup_line_share": f"n_dup_lines / {lines}",
+              "repeat_share": f"n_repeat_words / {words}", "word_length": f"word_chars / {words}"}
+    top = " ".join(f"WHEN '{f}' THEN q{round(100 * p)} + {slack}" for f, (p, slack) in FENCES.items())
     long = " UNION ALL ".join(
-        f"SELECT lang, source, '{f}' AS feature, greatest({c} / greatest(n_words, 1)::DOUBLE, 1e-6) AS x, "
-        f"{FLOORS[f]} AS lowest FROM fine" for f, c in values.items())
+        f"SELECT lang, source, '{f}' AS feature, greatest({c}, 1e-6) AS x FROM fine" for f, c in values.items())
     gamma = (1 + ACCURACY) / (1 - ACCURACY)
     levels = []
     for k, keys in enumerate(LEVELS):
         by = "".join(f"{c}, " for c in keys)
         group = f"PARTITION BY {by}feature"
         levels.append(f"""
-ranked{k} AS (SELECT {by}feature, bucket, lowest, sum(n) OVER ({group} ORDER BY bucket) AS upto, sum(n) OVER ({group}) AS total
-  FROM (SELECT {by}feature, lowest, bucket, sum(n) AS n FROM sketch GROUP BY ALL)),
-fence{k} AS (SELECT {by}feature, max(total) AS total, greatest(q3 + {FENCE} * (q3 - q1), lowest) AS top FROM (
-  SELECT {by}feature, total, lowest,
-    min(CASE WHEN upto >= total * 0.25 THEN pow({gamma}, bucket) * {2 / (1 + gamma)} END) AS q1,
-    min(CASE WHEN upto >= total * 0.75 THEN pow({gamma}, bucket) * {2 / (1 + gamma)} END) AS q3
-  FROM ranked{k} GROUP BY ALL) GROUP BY ALL)""")
+ranked{k} AS (SELECT {by}feature, bucket, sum(n) OVER ({group} ORDER BY bucket) AS upto, sum(n) OVER ({group}) AS total
+  FROM (SELECT {by}feature, bucket, sum(n) AS n FROM sketch GROUP BY ALL)),
+fence{k} AS (SELECT {by}feature, total, CASE feature {top} END AS top FROM (
+  SELECT {by}feature, total, {', '.join(f"min(CASE WHEN upto >= total * {p}::DOUBLE THEN pow({gamma}, bucket) * {2 / (1 + gamma)} END) AS {q}" for q, p in PROBS.items())}
+  FROM ranked{k} GROUP BY ALL))""")
 
     def fence(f: str) -> str:
         tries = []
@@ -190,7 +191,7 @@ fence{k} AS (SELECT {by}feature, max(total) AS total, greatest(q3 + {FENCE} * (q
             tries.append(f"(SELECT top FROM fence{k} t WHERE t.feature = '{f}' AND t.total >= {MIN_GROUP if keys else 0}{same})")
         return f"coalesce({', '.join(tries)}, 'infinity'::DOUBLE)"
 
-    over = " OR ".join(f"{c} / greatest(n_words, 1)::DOUBLE > {fence(f)}" for f, c in values.items())
+    over = " OR ".join(f"{c} > {fence(f)}" for f, c in values.items())
     return f"""
 WITH split_up AS (
   SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t,
@@ -205,11 +206,12 @@ counted AS (
     len(t) - len(translate(t, '{SYMBOLS}', '')) AS n_symbols,
     len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
       - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines,
+    len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) AS n_lines,
     coalesce(n, 0) AS n_repeat_words
   FROM split_up s LEFT JOIN repeats USING (r)),
 judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted),
 fine AS (SELECT * FROM judged WHERE NOT base_failed),
-sketch AS (SELECT lang, source, feature, lowest, ceil(ln(x) / ln({gamma}))::INT AS bucket, count(*) AS n FROM ({long}) GROUP BY ALL),
+sketch AS (SELECT lang, source, feature, ceil(ln(x) / ln({gamma}))::INT AS bucket, count(*) AS n FROM ({long}) GROUP BY ALL),
 {','.join(levels)}
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
