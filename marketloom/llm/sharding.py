@@ -7,8 +7,9 @@ rows of buckets that are still too large, and the levels between are added up fr
 A bucket of one row, or of rows that no bit tells apart, stays whole.
 
 The directory has an entry for each run of ``STEP`` bits below a split bucket and names the
-bucket it points to. Documents look their shard up in it, one equi-join per step; the first step
-has 2^STEP entries at most, however many documents there are.
+bucket it points to. Documents look their shard up in it, one equi-join per step: the rows themselves
+while the directory is small enough to be broadcast, else their keys alone, and then the texts move
+once, to the shards of their keys.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from marketloom.llm.store import stored
 STEP = 10
 ID_HEX, ROW_HEX = 9, 6
 LIMIT = 32 << 20
+BROADCAST_ENTRIES = 1 << 16  # of at most 130 bytes each
 
 
 def _bits(hex_digits: Column, n: int) -> Column:
@@ -32,11 +34,15 @@ def key_bits(id: Column, row: Column) -> Column:
                     _bits(F.substring(F.md5(row.cast("string")), 1, ROW_HEX), ROW_HEX))
 
 
-def _lookup(rows: DataFrame, step: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Rows with the shard of their directory entry of the step, if it has one."""
-    d = step.select(F.col("entry").alias("_entry"), F.col("bucket").alias("_bucket"))
-    return rows.join(d, F.col("_shard").isNull() & (F.substring("_key", 1, hi) == F.col("_entry")), "left").withColumn(
-        "_shard", F.coalesce("_shard", "_bucket")).drop("_entry", "_bucket")
+def _look_up(rows: DataFrame, steps: list[tuple[DataFrame, int, int]], small: bool) -> DataFrame:
+    """Rows (with ``key``) and the shard of the directory entry that fits; the last bits of the directory
+    where none does."""
+    rows = rows.withColumn("shard", F.lit(None).cast("string"))
+    for entries, _, hi in steps:
+        d = entries.select("entry", "bucket")
+        rows = rows.join(F.broadcast(d) if small else d, F.col("shard").isNull() & (F.substring("key", 1, hi) == F.col("entry")), "left").withColumn(
+            "shard", F.coalesce("shard", "bucket")).drop("entry", "bucket")
+    return rows.withColumn("shard", F.coalesce("shard", F.substring("key", 1, steps[-1][2])))
 
 
 def directory(slim: DataFrame, limit: int, step: int = STEP) -> list[tuple[DataFrame, int, int]]:
@@ -67,28 +73,29 @@ def directory(slim: DataFrame, limit: int, step: int = STEP) -> list[tuple[DataF
         lo = hi
 
 
-def shard(docs: DataFrame, limit: int = LIMIT, id: str = "doc_id", text: str = "text") -> DataFrame:
+def shard(docs: DataFrame, limit: int = LIMIT, id: str = "doc_id", text: str = "text", broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
     """The input rows with all columns plus ``shard`` (hash prefix as bits, '' for the whole) and
     ``shard_bytes`` (UTF-8 bytes of the row's text).
 
     Null and empty texts have no bytes. Null ids share the first 36 bits and are told apart by
     the rest, as are repeated rows. A single text above the limit is a shard of its own. Columns
-    of the input named like the added ones are replaced. An empty table gives no rows.
+    of the input named like the added ones are replaced; all other names may occur. An empty table gives no rows.
     """
+    kept = [c for c in docs.columns if c not in ("shard", "shard_bytes")]
     keyed = docs.select(
-        *[docs[c] for c in docs.columns if c not in ("shard", "shard_bytes")],
-        key_bits(docs[id], F.monotonically_increasing_id()).alias("_key"),
-        F.coalesce(F.octet_length(docs[text]), F.lit(0)).cast("long").alias("shard_bytes"))
-    slim = stored(keyed.select(F.col("_key").alias("key"), F.col("shard_bytes").alias("bytes")), "keys")
+        F.struct(*[docs[c] for c in kept]).alias("row"), key_bits(docs[id], F.monotonically_increasing_id()).alias("key"),
+        F.coalesce(F.octet_length(docs[text]), F.lit(0)).cast("long").alias("bytes"))
+    slim = stored(keyed.select("key", "bytes"), "keys")
     steps = directory(slim, limit)
-    rows = keyed.withColumn("_shard", F.lit(None).cast("string") if steps else F.lit(""))
-    for entries, lo, hi in steps:
-        rows = _lookup(rows, entries, lo, hi)
-    kept = [c for c in keyed.columns if c not in ("_key", "shard_bytes")]
-    if steps:
-        # A row whose last bits aren't in the directory, should the input be numbered anew.
-        rows = rows.withColumn("_shard", F.coalesce("_shard", F.substring("_key", 1, steps[-1][2])))
-    return rows.select(*kept, F.col("_shard").alias("shard"), "shard_bytes")
+    if not steps:
+        rows = keyed.withColumn("shard", F.lit(""))
+    elif sum(entries.count() for entries, _, _ in steps) <= broadcast_entries:
+        rows = _look_up(keyed, steps, True)
+    else:
+        assigned = stored(_look_up(slim.select("key").distinct(), steps, False), "assigned")
+        last = F.substring("key", 1, steps[-1][2])
+        rows = keyed.join(assigned, "key", "left").withColumn("shard", F.coalesce("shard", last))
+    return rows.select(*[F.col("row")[c].alias(c) for c in kept], "shard", F.col("bytes").alias("shard_bytes"))
 
 
 def shard_digest(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
