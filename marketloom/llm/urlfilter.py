@@ -9,6 +9,7 @@ for its share of the graph.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,8 +39,8 @@ RULES = (
     Rule("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-ROUNDS = 20
 TOLERANCE = 1e-6
+ROUNDS = math.ceil(math.log(TOLERANCE / 2) / math.log(DAMPING))  # after so many, ranks move by less than the tolerance
 MIN_DISTRUST = 0.1  # of the mean rank of a host
 
 
