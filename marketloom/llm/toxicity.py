@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.hashing import Hasher, chunks
+from marketloom.llm.store import stored
 from marketloom.llm.toxicnet import ToxicNet, Vocabulary, train, windows
 
 #: Rows held out from learning, and the score from which a text counts as toxic.
 HELD_OUT = (4, 2)
 THRESHOLD = 0.3
-#: Bound of the sample: documents per label, the first by a hash of their id.
+#: Bounds of the sample: documents per label, the first by a hash of their id, one text each, and their bytes.
 SAMPLE_PER_LABEL = 1000
+SAMPLE_BYTES = 16 << 20
 CHUNK = 1 << 18
 
 
@@ -29,19 +31,28 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % n == k, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, seed: int = 7) -> ToxicNet:
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, seed: int = 7, max_bytes: int = SAMPLE_BYTES) -> ToxicNet:
     """Network learned from at most ``per_label`` documents of each label that aren't held out.
 
-    Labels other than 0 and 1 are no labels; an id with both is left out. Without documents of
-    both labels, all scores are low and equal.
+    Labels other than 0 and 1 are no labels; an id with both is left out. An id with several texts gives
+    one of them. Texts beyond ``max_bytes`` in all, in the order of their hashes, aren't used, however
+    many rows share an id. Without documents of both labels, all scores are low and equal.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most")
     first = F.xxhash64("doc_id")
     sample = known.filter("toxic = 0").orderBy(first).limit(per_label).unionByName(
         known.filter("toxic = 1").orderBy(first).limit(per_label)).select("doc_id", "toxic")
-    # At most 2 * per_label ids.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter("text IS NOT NULL").collect()
+    # At most 2 * per_label ids, so as many rows; partial minima keep a hot id from gathering in a task.
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter("text IS NOT NULL")
+    one = stored(found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "sample")
+    sizes = sorted(map(tuple, one.select(first, "doc_id", F.octet_length("text")).collect()))
+    used, chosen = 0, []
+    for _, doc_id, size in sizes:
+        if used + size <= max_bytes:
+            used += size
+            chosen.append(doc_id)
+    rows = one.filter(F.col("doc_id").isin(chosen)).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows]), seed)
 
