@@ -75,6 +75,31 @@ def test_fences_follow_the_group(spark):
     assert sum(not r["kept"] for r in got.values()) == 1
 
 
+def test_fences_on_documents(spark):
+    """Groups of the given documents have fences of their own, and every feature rejects something."""
+    rows = quality.judge(table(spark, "/root/testdata/sf0.1", "documents"), min_group=40).toPandas()
+    assert rows["fences"].notna().all()
+    groups = rows.assign(f=[tuple(sorted(f.items())) for f in rows["fences"]]).groupby(["lang", "source"], dropna=False)["f"].agg(["nunique", "first"])
+    assert (groups["nunique"] == 1).all() and groups["first"].nunique() > 0.5 * len(groups)
+    for name in quality.FENCES:
+        fences = {dict(f)[name] for f in groups["first"]}
+        assert len(fences) > 3 and rows["reason"].fillna("").str.contains(name).any(), name
+    fine = rows[~rows["base_failed"]]
+    assert 0.8 < fine["kept"].mean() < 1
+
+
+def test_fences_come_from_the_group_alone(spark):
+    """The same document is kept or rejected by what is usual around it: no fixed cutoff."""
+    def text(i, dup):
+        return "\n".join([f"line {i} {k} with several words in it" for k in range(12 - dup)] + ["a line that is repeated here"] * (dup + 1))
+
+    rows = [(i, text(i, 0), "en", "plain") for i in range(200)] + [(1000 + i, text(i, 8), "en", "lists") for i in range(200)]
+    rows += [(5000, text(5000, 4), "en", "plain"), (5001, text(5001, 4), "en", "lists")]
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect() if not r["base_failed"]}
+    if 5000 in got:
+        assert "dup_line_share" in got[5000]["reason"] and got[5001]["kept"]
+
+
 def test_sketch_merges_and_bounds_the_error(spark):
     df = spark.range(1, 20001).select((F.col("id") % 7).alias("g"), (F.col("id") / 1000.0).alias("x"))
     values = {"f": F.col("x")}
@@ -99,6 +124,39 @@ def test_mix_targets_and_copies(spark):
     assert {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == want
 
 
+def test_rows_of_one_id_have_coins_of_their_own(spark):
+    """Null ids, one id for all rows, and rows that are equal: words taken come near the targets, and agree on a rerun."""
+    for ids, text in (("null", "concat('w ', cast(id as string), repeat(' x', 8))"), ("7", "concat('w ', cast(id as string), repeat(' x', 8))"), ("null", "repeat('w ', 10)")):
+        docs = spark.range(4000).selectExpr(f"cast({ids} as long) as doc_id", f"{text} as text", "if(id % 2 = 0, 'a', 'b') as source", "'mine' as _row", "1 as _coin")
+        per = mixing.plan_mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+        assert len(per) == 2 and all(abs(r["taken"] / r["target"] - 1) < 0.1 for r in per)
+        assert mixing.plan_mix(docs).exceptAll(mixing.plan_mix(docs)).isEmpty()
+        mixed = mixing.mix(docs)
+        assert mixed.columns == docs.columns
+        words = {r["source"]: 10 * r["count"] for r in mixed.groupBy("source").count().collect()}
+        assert all(abs(words[r["source"]] / r["target"] - 1) < 0.1 for r in per)
+
+
+CLASHES = ("_key", "_entry", "_bucket", "_shard", "_mix_source", "_mix_rate", "_mix_copy", "_row", "row", "key", "bytes", "entry", "bucket", "_coin", "_source", "_rate", "_twin", "_own")
+
+
+def test_names_of_helper_columns_may_occur(spark):
+    docs = table(spark, SMALL, "documents").withColumns({c: F.lit(f"mine {c}") for c in CLASHES})
+    mixed, shards = mixing.mix(docs), sharding.shard(docs, 3000)
+    assert mixed.columns == docs.columns and shards.columns == [*docs.columns, "shard", "shard_bytes"]
+    for out in (mixed, shards):
+        assert all(r[c] == f"mine {c}" for r in out.limit(50).collect() for c in CLASHES)
+    assert shards.drop("shard", "shard_bytes").exceptAll(docs).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [3000, 40_000])
+def test_a_large_directory_is_joined_with_keys_only(spark, limit):
+    docs = table(spark, MIDDLE, "documents")
+    want = sharding.shard(docs, limit)
+    got = sharding.shard(docs, limit, broadcast_entries=0)
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
 def test_a_small_source_is_full_and_its_excess_shared(spark):
     rows = [(i, "w " * 10, "en", f"s{i % 3}") for i in range(300)] + [(999, "w " * 5, "en", None)]
     t = {r["source"]: r["target"] for r in mixing.source_targets(
