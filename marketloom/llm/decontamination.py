@@ -4,15 +4,17 @@ An item is known by the 126-bit SimHashes (over pairs of neighbouring words) of
 one length, taken from a fixed ladder of lengths; a document by those of its windows of the lengths
 in use. A fingerprint has 6 blocks of 21 bits: any two within Hamming distance 4 share two blocks.
 Which block values the benchmark has is kept as one bitmap per length and block, of a fixed size
-however large the benchmark is; only document windows with two values in it leave the task, with
-the words around them. They are joined with the item windows on (length, block, value), and for
-those within the radius the weighted Jaccard similarity of 5-word shingles (by number of
-occurrences) between the item and the words in its place decides.
+however large the benchmark is; only document windows with two values in it leave the task, and
+besides, once each, the stretches of words around them. Windows are joined with the item windows on
+(length, block, value); those within the radius name a stretch, an item and a place. Words are joined
+to them at last, and the weighted Jaccard similarity of 5-word shingles (by number of occurrences)
+between the item and the words in its place decides. The radius is what the blocks guarantee.
 
 Windows start at every word for lengths up to 8 and at every 4th word above; since the item side
 has every start, an unchanged run of the window length plus 3 words meets a window with distance 0.
 Windows are so short that every passage similar enough holds such a run, wherever its words are
-changed, left out or added (``unchanged_run``); the distance matters only beyond that.
+changed, left out or added (``unchanged_run``). That needs an item without a repeated run of four
+words; others have windows of one shingle, of which every similar passage holds one unchanged.
 """
 
 from __future__ import annotations
@@ -23,20 +25,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.hashing import NOT_ALNUM, Hasher, chunks, mix
+from marketloom.llm.hashing import NOT_ALNUM, Hasher, chunks, mix, shingles
 from marketloom.llm.store import stored
 
 SHINGLE = 5
 MIN_SIMILARITY = 0.75
 BITS, BLOCKS, BLOCK_BITS = 128, 6, 21
 AGREE = 2  # blocks that must agree
-RADIUS = 24  # largest distance that is still verified; all within BLOCKS - AGREE are found
+RADIUS = BLOCKS - AGREE  # differing bits in other blocks at most: all fingerprints so near are found
 STRIDE, SHORT = 4, 8
 CHUNK = 1 << 18
 SLICE = 1 << 17  # words of a long text that are expanded to bits at once
+KNOWN_ITEMS = 1000  # items whose shingle counts a task keeps
 
 
 def ladder(top: int) -> list[int]:
@@ -50,7 +54,7 @@ def ladder(top: int) -> list[int]:
 def unchanged_run(n_words: int) -> int:
     """Words of an item that stand in a row in any passage of its length that is similar enough.
 
-    Of n shingles each, similarity s leaves n * 2s / (1 + s) in common. A word changed, left out or
+    The item repeats no run of four words. Of n shingles each, similarity s leaves n * 2s / (1 + s) in common. A word changed, left out or
     added costs 4 shingles at least, so the common ones are in few runs; a run of m has m + 4 words.
     """
     n = n_words - SHINGLE + 1
@@ -60,11 +64,21 @@ def unchanged_run(n_words: int) -> int:
     return math.ceil((n - lost) / (1 + lost // (SHINGLE - 1))) + SHINGLE - 1
 
 
-def window_length(n_words: int) -> int:
+def window_length(n_words: int, repeats: bool = False) -> int:
+    """Length of an item's windows; ``repeats``: it holds some run of four words twice."""
+    if repeats:
+        return min(n_words, SHINGLE)
     run = unchanged_run(n_words)
     return max(x for x in ladder(run) if x <= SHORT or x + STRIDE - 1 <= run)
 
 
+def repeats_itself(hashes: np.ndarray) -> bool:
+    if len(hashes) < SHINGLE:
+        return False
+    runs, _ = shingles(hashes, np.array([0, len(hashes)]), SHINGLE - 1)
+    return len(np.unique(runs)) < len(runs)
+
+
 def feature_bits(hashes: np.ndarray, length: int) -> np.ndarray:
     """128 bits, one per byte, of what windows of a length are made of: each word with the next
     one, or single words for windows of one word."""
@@ -105,37 +119,41 @@ def _key(length: int, values: np.ndarray) -> np.ndarray:
     return (length << 24 | np.arange(values.shape[-1])) << BLOCK_BITS | values
 
 
-def _small(hashes: np.ndarray) -> bytes:
-    return (hashes >> np.uint64(32)).astype(np.uint32).tobytes()
+#: An item has a row with its words (``offset`` is how far its place may shift), and rows of its windows, one for each block.
+ITEM_ROWS = "item long, item_id long, n_words int, words binary, offset int, length int, key long, high long, low long"
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
 
 
-ITEM_ROWS = "item_id long, item_words binary, n_words int, offset int, length int, key long, item_print binary"
+def _batch(schema: str, **columns) -> pa.RecordBatch:
+    """A batch of the schema; columns that aren't given are null."""
+    n = max(len(c) for c in columns.values())
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[c], _TYPES[t]) if c in columns else pa.nulls(n, _TYPES[t]) for c, t in fields], [c for c, _ in fields])
 
 
-def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = Hasher(NOT_ALNUM)
+def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher, item = Hasher(NOT_ALNUM), TaskContext.get().partitionId() << 32
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lo, hi in chunks(texts, CHUNK):
             w = hasher.words(texts[lo:hi])
-            rows = []
             for d in range(hi - lo):
                 h = w.hashes[w.first[d]:w.first[d + 1]]
                 if not len(h):
                     continue
-                length = window_length(len(h))
-                at = np.arange(len(h) - length + 1)
-                prints = fingerprints(run_sums(feature_bits(h, length), length), at, length)
-                keys = _key(length, block_values(prints))
-                small = _small(h)
-                for o in at:
-                    p = prints[o].tobytes()
-                    rows += [(ids[lo + d], small, len(h), int(o), length, int(k), p) for k in keys[o]]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (
-                        pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)],
-                    [x.split()[0] for x in ITEM_ROWS.split(", ")])
+                item += 1
+                length = window_length(len(h), repeats_itself(h))
+                yield _batch(ITEM_ROWS, item=[item], item_id=[ids[lo + d]], n_words=[len(h)], words=[h.tobytes()], offset=[shift(len(h))], length=[length])
+                for base in range(0, len(h) - length + 1, SLICE // 8):
+                    at = np.arange(base, min(base + SLICE // 8, len(h) - length + 1))
+                    part = h[base:at[-1] + length]
+                    prints = fingerprints(run_sums(feature_bits(part, length), length), at - base, length)
+                    keys = _key(length, block_values(prints))
+                    high, low = (np.repeat(x.view(np.int64), BLOCKS) for x in np.ascontiguousarray(prints.T))
+                    n = keys.size
+                    yield _batch(ITEM_ROWS, item=np.full(n, item), n_words=np.full(n, len(h)), offset=np.repeat(at, BLOCKS),
+                                 length=np.full(n, length), key=keys.reshape(-1), high=high, low=low)
 
 
 def bitmaps(items: DataFrame) -> dict[tuple[int, int], bytes]:
@@ -157,7 +175,8 @@ def bitmaps(items: DataFrame) -> dict[tuple[int, int], bytes]:
     return {k: v.tobytes() for k, v in out.items()}
 
 
-FOUND_ROWS = "id long, key long, print binary, at int, from_word int, words binary"
+#: A stretch of a document has a row with its words, and rows of the windows found in it.
+FOUND_ROWS = "stretch long, id long, from_word int, total int, words binary, at int, key long, high long, low long"
 
 
 def longest_items(items: DataFrame) -> dict[int, int]:
@@ -165,58 +184,105 @@ def longest_items(items: DataFrame) -> dict[int, int]:
     return {r["length"]: r["n"] for r in items.groupBy("length").agg(F.max("n_words").alias("n")).collect()}
 
 
-def _document_windows(known, longest: dict[int, int]):
-    """Windows with block values of the benchmark, with the words around them: as many as the
-    longest item of such windows has."""
+def _document_rows(known, longest: dict[int, int]):
+    """Windows with block values of the benchmark, and stretches of words around them that reach as
+    far as the longest item of such windows. Stretches of a document that overlap are one, so that its
+    words leave the task once at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = {k: np.frombuffer(v, np.uint8) for k, v in known.value.items()}
         lengths = sorted({k[0] for k in maps})
-        hasher = Hasher(NOT_ALNUM)
+        hasher, stretch = Hasher(NOT_ALNUM), TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in chunks(texts, CHUNK):
                 w = hasher.words(texts[lo:hi])
-                if not len(w.hashes):
+                found = _found(w, maps, lengths) if len(w.hashes) and lengths else []
+                if not found:
                     continue
-                doc = np.repeat(np.arange(hi - lo), w.counts)
-                place = np.arange(len(doc)) - w.first[doc]
-                left = w.first[doc + 1] - np.arange(len(doc))
-                out = []
-                for base, length in ((b, n) for b in range(0, len(doc), SLICE) for n in lengths):
-                    if length == lengths[0]:
-                        sums: dict[bool, dict[int, np.ndarray]] = {}
-                    cut = slice(base, base + SLICE)
-                    at = base + np.flatnonzero((left[cut] >= length) & (place[cut] % (1 if length <= SHORT else STRIDE) == 0))
-                    if not len(at):
-                        continue
-                    if (length > 1) not in sums:
-                        sums[length > 1] = run_sums(
-                            feature_bits(w.hashes[base:base + SLICE + lengths[-1]], length), lengths[-1] if length > 1 else 1)
-                    prints = fingerprints(sums[length > 1], at - base, length)
-                    values = block_values(prints)
-                    hit = np.stack([maps[length, b][values[:, b] >> 3] >> (values[:, b] & 7).astype(np.uint8) & 1
-                                    for b in range(BLOCKS)], axis=1)
-                    for i in np.flatnonzero(hit.sum(1) >= AGREE):
-                        p, d = at[i], doc[at[i]]
-                        reach = longest[length]
-                        a = max(w.first[d], p - reach)
-                        z = min(w.first[d + 1], p + length + reach)
-                        keys = _key(length, values[i])
-                        row = (prints[i].tobytes(), int(place[p]), int(a - w.first[d]), _small(w.hashes[a:z]))
-                        # All but one of the blocks: one of any two that agree is among them.
-                        out += [(ids[lo + d], int(keys[b]), *row) for b in np.flatnonzero(hit[i])[AGREE - 1:]]
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
-                            pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
-                        [x.split()[0] for x in FOUND_ROWS.split(", ")])
+                p, length, prints, values, hit = (np.concatenate(x) for x in zip(*found, strict=True))
+                doc = np.searchsorted(w.first, p, "right") - 1
+                reach = np.array([longest[n] + shift(longest[n]) for n in length.tolist()])
+                a, z = np.maximum(w.first[doc], p - reach), np.minimum(w.first[doc + 1], p + length + reach)
+                order = np.lexsort((a, doc))
+                p, doc, a, z, values, hit, prints = (x[order] for x in (p, doc, a, z, values, hit, prints))
+                of = np.empty(len(p), np.int64)
+                begin = 0
+                for i in range(len(p)):
+                    if i == begin or a[i] > end or doc[i] != doc[begin]:
+                        if i != begin:
+                            yield _stretch(w, ids[lo + doc[begin]], stretch, a[begin], end, doc[begin])
+                        stretch, begin, end = stretch + 1, i, z[i]
+                    end = max(end, z[i])
+                    of[i] = stretch
+                yield _stretch(w, ids[lo + doc[begin]], stretch, a[begin], end, doc[begin])
+                # All but one of the blocks: one of any two that agree is among them.
+                row, block = np.nonzero(hit & (np.cumsum(hit, axis=1) >= AGREE))
+                high, low = (x.view(np.int64)[row] for x in np.ascontiguousarray(prints.T))
+                yield _batch(FOUND_ROWS, stretch=of[row], at=(p - w.first[doc])[row], key=values[row, block], high=high, low=low)
     return run
 
 
-def _shingle_counts(words: np.ndarray) -> Counter:
-    if len(words) < SHINGLE:
-        return Counter([words.tobytes()]) if len(words) else Counter()
-    return Counter(words[i:i + SHINGLE].tobytes() for i in range(len(words) - SHINGLE + 1))
+def _stretch(w, id, number: int, a: int, z: int, doc: int) -> pa.RecordBatch:
+    return _batch(FOUND_ROWS, stretch=[number], id=[id], from_word=[int(a - w.first[doc])], total=[int(w.counts[doc])], words=[w.hashes[a:z].tobytes()])
+
+
+def _found(w, maps, lengths: list[int]) -> list[tuple]:
+    """Places, lengths, fingerprints, keys and known blocks of the windows with enough known blocks."""
+    doc = np.repeat(np.arange(len(w.first) - 1), w.counts)
+    place = np.arange(len(doc)) - w.first[doc]
+    left = w.first[doc + 1] - np.arange(len(doc))
+    out = []
+    for base in range(0, len(doc), SLICE):
+        cut, sums = slice(base, base + SLICE), {}
+        for length in lengths:
+            at = base + np.flatnonzero((left[cut] >= length) & (place[cut] % (1 if length <= SHORT else STRIDE) == 0))
+            if not len(at):
+                continue
+            if (length > 1) not in sums:
+                sums[length > 1] = run_sums(
+                    feature_bits(w.hashes[base:base + SLICE + lengths[-1]], length), lengths[-1] if length > 1 else 1)
+            prints = fingerprints(sums[length > 1], at - base, length)
+            values = block_values(prints)
+            hit = np.stack([maps[length, b][values[:, b] >> 3] >> (values[:, b] & 7).astype(np.uint8) & 1 for b in range(BLOCKS)], axis=1)
+            some = np.flatnonzero(hit.sum(1) >= AGREE)
+            if len(some):
+                out.append((at[some], np.full(len(some), length), prints[some], _key(length, values[some]), hit[some].astype(bool)))
+    return out
+
+
+def shift(n_words: int) -> int:
+    """How far the place of a similar passage may be from where one of its unchanged runs puts it: a
+    word more or less before the run costs SHINGLE - 1 shingles."""
+    lost = max(0, n_words - SHINGLE + 1) * (1 - MIN_SIMILARITY) / (1 + MIN_SIMILARITY)
+    return int(lost / (SHINGLE - 1)) + 1
+
+
+def _shingle_list(words: np.ndarray, size: int) -> list[bytes]:
+    raw = words.tobytes()
+    return [raw[8 * i:8 * (i + size)] for i in range(len(words) - size + 1)]
+
+
+def best_place(words: np.ndarray, item: np.ndarray, theirs: Counter, ends: bool = True) -> tuple[float, int]:
+    """Highest weighted similarity of an item with as many words in a row as it has, and the first
+    place that has it; fewer words only where the document ``ends``. Counts follow the place step by step."""
+    size = min(SHINGLE, len(item))
+    runs, whole = _shingle_list(words, size), len(item) - size + 1
+    mine = Counter(runs[:whole])
+    both = sum((mine & theirs).values())
+    held = min(whole, len(runs))
+    best, at = (both / (held + whole - both) if held + whole - both else 0.0), 0
+    for i in range(whole, len(runs) + (whole - 1 if ends else 0)):
+        gone = runs[i - whole]
+        both -= mine[gone] <= theirs[gone]
+        mine[gone] -= 1
+        if i < len(runs):
+            mine[runs[i]] += 1
+            both += mine[runs[i]] <= theirs[runs[i]]
+        else:
+            held -= 1
+        if both / (held + whole - both) > best:
+            best, at = both / (held + whole - both), i - whole + 1
+    return best, at
 
 
 def weighted_similarity(a: Counter, b: Counter) -> float:
@@ -226,29 +292,25 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return both / whole if whole else 0.0
 
 
+FOUND = "id long, item_id long, start_word int, similarity double"
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, Counter] = {}
     for batch in batches:
-        out = []
-        col = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-        seen: dict[int, Counter] = {}
+        col = {n: batch.column(n) for n in batch.schema.names}
+        out: list[tuple] = []
         for i in range(batch.num_rows):
-            mine = np.frombuffer(col["print"][i], np.uint8) ^ np.frombuffer(col["item_print"][i], np.uint8)
-            if int(np.unpackbits(mine).sum()) > RADIUS:
-                continue
-            words, item = np.frombuffer(col["words"][i], np.uint32), np.frombuffer(col["item_words"][i], np.uint32)
-            start = col["at"][i] - col["offset"][i]
-            a = max(0, start - col["from_word"][i])
-            z = max(a, start + len(item) - col["from_word"][i])
-            key = hash(col["item_words"][i])
-            theirs = seen.setdefault(key, _shingle_counts(item))
-            s = weighted_similarity(_shingle_counts(words[a:z]), theirs)
+            item, theirs = col["item"][i].as_py(), np.frombuffer(col["item_words"][i].as_py(), np.uint64)
+            if item not in known:
+                if len(known) >= KNOWN_ITEMS:
+                    known.clear()
+                known[item] = Counter(_shingle_list(theirs, min(SHINGLE, len(theirs))))
+            s, at = best_place(np.frombuffer(col["words"][i].as_py(), np.uint64), theirs, known[item], col["ends"][i].as_py())
             if s >= MIN_SIMILARITY:
-                out.append((col["id"][i], col["item_id"][i], max(start, 0), s))
+                out.append((col["id"][i].as_py(), col["item_id"][i].as_py(), col["first"][i].as_py() + at, s))
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
-                    pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)],
-                ["id", "item_id", "start_word", "similarity"])
+            yield _batch(FOUND, **dict(zip(("id", "item_id", "start_word", "similarity"), zip(*out, strict=True), strict=True)))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text",
@@ -259,17 +321,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     Words are runs of ASCII letters, digits and other characters above ASCII, A-Z lower-cased.
     Null and empty texts and items have no words and match nothing; items of fewer than five words
     are one shingle and must stand as they are. Repeated rows give one result per id and item;
-    a null id is a value like others. An empty table of either kind gives no rows. Texts are read
-    whole, however long; other columns are not read.
+    a null id is a value like others. An empty table of either kind gives no rows. Texts and items are
+    read whole, however long; other columns are not read.
     """
     spark = docs.sparkSession
-    items = stored(benchmark.select(F.col(item_id).cast("long"), F.col(item_text)).mapInArrow(_item_windows, ITEM_ROWS), "items")
-    known = spark.sparkContext.broadcast(bitmaps(items))
-    windows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        _document_windows(known, longest_items(items)), FOUND_ROWS)
-    hits = windows.join(items, "key").select(
-        "id", "print", "at", "from_word", "words", "item_id", "item_words", "offset", "item_print").mapInArrow(
-        _verify, "id long, item_id long, start_word int, similarity double")
+    items = stored(benchmark.select(F.col(item_id).cast("long"), F.col(item_text)).mapInArrow(_item_rows, ITEM_ROWS), "items")
+    item_windows, item_words = items.filter("key IS NOT NULL"), items.filter("words IS NOT NULL")
+    known = spark.sparkContext.broadcast(bitmaps(item_windows))
+    found = stored(docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
+        _document_rows(known, longest_items(item_words)), FOUND_ROWS), "document-windows")
+    theirs = item_windows.select("item", "key", "offset", F.col("high").alias("item_high"), F.col("low").alias("item_low"))
+    bits = F.bit_count(F.col("high").bitwiseXOR(F.col("item_high"))) + F.bit_count(F.col("low").bitwiseXOR(F.col("item_low")))
+    near = found.filter("key IS NOT NULL").select("stretch", "at", "key", "high", "low").join(theirs, "key").filter(bits <= RADIUS).select(
+        "stretch", "item", (F.col("at") - F.col("offset")).alias("start")).distinct()
+    # The words in the item's place and next to it, of those of the stretch: 8 bytes each.
+    first = F.greatest(F.col("start") - F.col("shift") - F.col("from_word"), F.lit(0))
+    last = F.greatest(first, F.col("start") + F.col("n_words") + F.col("shift") - F.col("from_word"))
+    places = near.join(found.filter("words IS NOT NULL").select("stretch", "id", "from_word", "total", "words"), "stretch").join(
+        item_words.select("item", "item_id", "n_words", F.col("offset").alias("shift"), F.col("words").alias("item_words")), "item")
+    hits = places.select("id", "item", "item_id", (F.col("from_word") + first).alias("first"), "item_words",
+                         (F.col("start") + F.col("n_words") + F.col("shift") >= F.col("total")).alias("ends"), F.substring(F.col("words"), 8 * first + 1, 8 * (last - first)).alias("words")).mapInArrow(
+        _verify, FOUND)
     return hits.groupBy("id", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start_word")).alias("back"))).alias("best")).select(
         F.col("id").alias(id), "item_id", (-F.col("best.back")).alias("start_word"), F.col("best.similarity").alias("similarity"))

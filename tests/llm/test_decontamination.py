@@ -128,3 +128,75 @@ def test_windows_meet_what_verification_accepts():
                             run = run + 1 if i and w[0] == "w" and text[i - 1][0] == "w" and int(w[1:]) == int(text[i - 1][1:]) + 1 else int(w[0] == "w")
                             best = max(best, run)
                         assert best >= D.unchanged_run(n)
+
+
+def test_long_items(spark):
+    """Items of 6,000 to 100,000 words, in documents that hold them whole, changed here and there, or in part."""
+    def text(n, tag):
+        return [f"{tag}{k * k % 100_003}x{k}" for k in range(n)]
+
+    items = [(1, text(6000, "a")), (2, text(10_000, "b")), (3, text(100_000, "c")), (4, ["one", "two"] * 3000)]
+    changed = [f"new{k}" if k % 400 == 7 else w for k, w in enumerate(items[2][1])]
+    docs = [(1, ["before"] * 50 + items[0][1] + ["after"] * 9), (2, items[1][1]), (3, ["x"] + changed), (4, items[2][1][:30_000]),
+            (5, ["y"] * 7 + ["one", "two"] * 3000), (6, text(20_000, "d")), (7, items[1][1][:9000] + ["z"] * 3)]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["similarity"]) for r in D.contaminated(d, b).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (5, 4), (7, 2)}
+    assert got[1, 1] == (50, 1.0) and got[2, 2] == (0, 1.0) and got[5, 4][1] == 1.0 and 0.75 < got[3, 3][1] < 1
+
+
+def test_recall_over_random_changes(spark):
+    """Passages with random changes, of items with and without repeated runs, against every place: what
+    is similar enough is found, all of it."""
+    import random
+
+    rng, items, docs = random.Random(11), [], []
+    for i in range(24):
+        n = rng.randint(12, 90)
+        words = [f"i{i}w{k}" for k in range(n)]
+        if i % 3 == 0:  # a repeated run of four to eight words
+            size = rng.randint(4, 8)
+            a = rng.randrange(max(1, n - size))
+            words += words[a:a + size]
+        if i % 6 == 1:
+            words = [f"i{i}r{rng.randrange(4)}" for _ in range(n)]
+        items.append((i, " ".join(words)))
+        for _ in range(25):
+            w = list(words)
+            for _ in range(rng.randint(0, 1 + n // 25)):
+                at = rng.randrange(len(w))
+                how = rng.randrange(3)
+                w[at:at + 1] = [["changed"], [], ["added", w[at]]][how]
+            docs.append((len(docs), " ".join([*(f"p{k}" for k in range(rng.randrange(40))), *w, *(f"q{k}" for k in range(rng.randrange(30)))])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got, want = found(D.contaminated(d, b)), places(d.collect(), b.collect())
+    assert set(got) <= set(want) and len(want) > 300
+    assert set(want) - set(got) == set()
+
+
+def test_best_place_is_that_of_all_places():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(4)
+    for _ in range(300):
+        item = np.array([rng.randrange(6) for _ in range(rng.randint(1, 14))], np.uint64)
+        words = np.array([rng.randrange(6) for _ in range(rng.randint(len(item), 30))], np.uint64)
+        g = grams(item.tolist())
+        size = min(5, len(item))
+        part = lambda k: Counter(tuple(words[k + i:k + i + size].tolist()) for i in range(min(len(item), len(words) - k) - size + 1))
+        ends = rng.random() < 0.5
+        want = max((D.weighted_similarity(part(k), g), -k) for k in range(len(words) - (size if ends else len(item)) + 1))
+        got = D.best_place(words, item, D.Counter(D._shingle_list(item, size)), ends)
+        assert got == (want[0], -want[1])
+
+
+def test_items_that_repeat_themselves():
+    import numpy as np
+
+    h = np.arange(1, 30, dtype=np.uint64)
+    assert not D.repeats_itself(h) and D.repeats_itself(np.concatenate([h, h[3:7]])) and not D.repeats_itself(np.concatenate([h, h[3:6]]))
+    assert D.window_length(60, True) == D.SHINGLE and D.window_length(3, True) == 3
