@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from pathlib import Path
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ SK_BITS = 40  # node id: class id above, source key below
 SK_SHIFT = 1 << 31  # added to the key, so that negative keys keep to their class
 NODE_COLUMNS = ("node_id", "class_name", "source_sk", "natural_id", "label", "properties")
 EDGE_COLUMNS = ("from_node_id", "to_node_id", "relationship_name", "properties")
+# --- fixed values: lines of an exported file ---
+NODE_BATCH, EDGE_BATCH = 2000, 5000
+# --- end of fixed values ---
 Ontology = Mapping[str, Mapping[str, dict]]
 Tables = Callable[[str], DataFrame]  # Silver table name -> frame
 
@@ -381,9 +386,10 @@ def export_label(name: str) -> str:
 
 def export_graph(
     nodes: DataFrame, edges: DataFrame, onto: Ontology, path: str, mode: str = "sample",
-    top: int = 200, node_batch: int = 0, edge_batch: int = 0,
+    top: int = 200, node_batch: int = NODE_BATCH, edge_batch: int = EDGE_BATCH, threads: int = 8,
 ) -> DataFrame:
-    """Write JSON lines per class and relationship; a batch above 0 bounds the lines of a file.
+    """Write JSON lines per class and relationship, in ranges of keys; no file has more lines than its
+    batch (0: no bound). A manifest beside them has the rows, keys and checksum of every file.
 
     ``mode`` is "sample" (top customers and two hops out) or "full". Returns the counts read
     back from the files.
@@ -393,23 +399,49 @@ def export_graph(
     if mode == "sample":
         # The sample is small and read once per class and relationship: compute it once.
         nodes, edges = map(checkpointed, restrict(nodes, edges, sample_nodes(edges, onto, top)))
-    jobs = [(f"nodes/{export_label(n)}", flatten_nodes(onto, nodes, n), node_batch) for n in onto["classes"]]
-    jobs += [(f"edges/{export_label(n)}", flatten_edges(onto, edges, n), edge_batch)
+    jobs = [(f"nodes/{export_label(n)}", flatten_nodes(onto, nodes, n), ["source_sk"], node_batch) for n in onto["classes"]]
+    jobs += [(f"edges/{export_label(n)}", flatten_edges(onto, edges, n), ["from_sk", "to_sk"], edge_batch)
              for n in onto["relationships"]]
-    for folder, df, batch in jobs:
-        df.write.mode("error").option("maxRecordsPerFile", batch).json(f"{path}/{folder}")
-    return export_counts(nodes.sparkSession, path)
+
+    def write(job) -> None:
+        folder, df, keys, batch = job
+        df.orderBy(*keys).write.mode("error").option("maxRecordsPerFile", batch).json(f"{path}/{folder}")
+
+    spark = nodes.sparkSession
+    with ThreadPoolExecutor(threads) as pool:  # independent folders share the cluster
+        list(pool.map(inheritable_thread_target(spark)(write), jobs))
+    _write_manifest(spark, path)
+    return export_counts(spark, path)
+
+
+def _write_manifest(spark: SparkSession, path: str) -> None:
+    """Rows, first and last key, and the sum of the lines' CRC-32 per file, from one scan of the files."""
+    lines = spark.read.text([f"{path}/nodes/*", f"{path}/edges/*"]).select("value", F.col("_metadata.file_path").alias("file"))
+    key = F.coalesce(F.get_json_object("value", "$.source_sk"), F.get_json_object("value", "$.from_sk")).cast("bigint")
+    files = lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(key).alias("first"), F.max(key).alias("last"),
+        F.sum(F.crc32(F.col("value").cast("binary"))).alias("checksum"))
+    files.select(
+        F.regexp_extract("file", r"/(nodes|edges)/[^/]+/[^/]+$", 1).alias("kind"), F.regexp_extract("file", r"/([^/]+)/[^/]+$", 1).alias("name"),
+        F.regexp_extract("file", r"[^/]+$", 0).alias("file"), "rows", "first", "last", "checksum").write.mode("error").parquet(f"{path}/manifest")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """kind, name, file, rows, first, last, checksum: a row per exported file."""
+    return spark.read.parquet(f"{path}/manifest")
+
+
+def damaged_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of the manifest that are missing or hold other lines than when they were written."""
+    lines = spark.read.text([f"{path}/nodes/*", f"{path}/edges/*"]).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+$", 0).alias("file"))
+    now = lines.groupBy("file").agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.crc32(F.col("value").cast("binary"))).alias("_sum"))
+    same = (F.col("rows") == F.col("_rows")) & (F.col("checksum") == F.col("_sum"))
+    return read_manifest(spark, path).join(now, "file", "left").filter(~F.coalesce(same, F.lit(False))).select("kind", "name", "file")
 
 
 def export_counts(spark: SparkSession, path: str) -> DataFrame:
     """Objects in an export, per kind and folder."""
-    lines = spark.read.text([f"{path}/nodes/*", f"{path}/edges/*"])
-    where = F.col("_metadata.file_path")
-    return (
-        lines.select(F.regexp_extract(where, r"/(nodes|edges)/[^/]+/[^/]+$", 1).alias("kind"),
-                     F.regexp_extract(where, r"/([^/]+)/[^/]+$", 1).alias("name"))
-        .groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"))
-    )
+    return read_manifest(spark, path).groupBy("kind", "name").agg(F.sum("rows").alias("n"))
 
 
 def labels_of(nodes: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.exprs import prop
@@ -266,8 +267,9 @@ def sample_nodes(bed):
 
 
 @query(oracle("""
-    SELECT relationship_name, from_node_id, to_node_id FROM edge WHERE from_node_id IN (SELECT node_id FROM sample)
-    AND to_node_id IN (SELECT node_id FROM sample)""", "edge", "sample"))
+    SELECT relationship_name, from_node_id, to_node_id FROM edge
+    SEMI JOIN sample a ON a.node_id = from_node_id SEMI JOIN sample b ON b.node_id = to_node_id""",
+    "edge", "sample", once=("sales", "returns", "node", "edge", "sample")))
 def sample_edges(bed):
     edges = edges_of(bed)
     return G.restrict(nodes_of(bed), edges, G.sample_nodes(edges, ONTO))[1].drop("properties")
@@ -292,11 +294,24 @@ def export_full(bed):
 
 @query(oracle(_EXPORTED.format(
     n="node_id IN (SELECT node_id FROM sample)",
-    e="from_node_id IN (SELECT node_id FROM sample) AND to_node_id IN (SELECT node_id FROM sample)"), "node", "edge", "sample"))
+    e="from_node_id IN (SELECT node_id FROM sample) AND to_node_id IN (SELECT node_id FROM sample)"), "node", "edge", "sample",
+    once=("sales", "returns", "node", "edge", "sample")))
 def export_sample(bed):
     return G.export_graph(nodes_of(bed), edges_of(bed), ONTO, new_folder(bed.spark, "export"), mode="sample")
 
 
+@query(oracle("SELECT *, true AS bounded, true AS ordered FROM (" + _EXPORTED.format(n="true", e="true") + ")", "node", "edge"))
+def export_manifest(bed):
+    """Files of a full export by its manifest: their rows, none above the bound, ranges of keys that don't overlap."""
+    path = new_folder(bed.spark, "export")
+    G.export_graph(nodes_of(bed), edges_of(bed), ONTO, path, mode="full")
+    files = G.read_manifest(bed.spark, path)
+    before = F.max("last").over(Window.partitionBy("kind", "name").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    bound = F.when(F.col("kind") == "nodes", G.NODE_BATCH).otherwise(G.EDGE_BATCH)
+    return files.withColumn("apart", F.coalesce(before <= F.col("first"), F.lit(True))).groupBy("kind", "name").agg(
+        F.sum("rows").alias("n"), F.bool_and(F.col("rows") <= bound).alias("bounded"), F.bool_and("apart").alias("ordered"))
+
+
 @query(oracle("""
     SELECT 'Store' AS node_class, CAST(s_store_sk AS BIGINT) AS source_sk, COALESCE(s_store_name, s_store_id) AS label,
            s_store_id AS natural_id, s_store_name AS store_name, s_city AS city, s_state AS state, s_zip AS zip,

@@ -86,6 +86,20 @@ def blank_line_aborts(bed):
         F.bool_and(F.col("error_message").contains("expected 3 fields, found 1")).alias("names_line"))
 
 
+@query("""SELECT 'good' AS half, CAST(p_partkey AS VARCHAR) AS line, 3 AS fields FROM part WHERE p_size % 10 > 0
+          UNION ALL SELECT 'bad', CASE WHEN p_size % 20 = 0 THEN '' ELSE p_partkey || '|' || p_brand END,
+          CASE WHEN p_size % 20 = 0 THEN 1 ELSE 2 END FROM part WHERE p_size % 10 = 0""")
+def quarantined_lines(bed):
+    """Both halves of a file with short and blank lines: rows loaded, and lines set aside."""
+    folder, wh = new_folder(bed.spark, "raw"), Warehouse(bed.spark, new_folder(bed.spark, "load"))
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+    line = F.when(size % 20 == 0, "").when(size % 10 == 0, F.concat_ws("|", key, "p_brand")).otherwise(F.concat_ws("|", key, "p_brand", "p_type"))
+    bed.source("part").select(line.alias("value")).write.text(B.file_path(folder, "reason"))
+    B.load_table(wh, folder, "reason", mode="quarantine", max_bad_share=0.5)
+    return wh.read("bronze", "reason").select(F.lit("good").alias("half"), F.col("r_reason_sk").alias("line"), F.lit(3).alias("fields")).unionByName(
+        wh.read("bronze", "reason__bad_lines").select(F.lit("bad").alias("half"), "line", "fields"))
+
+
 @query(oracle(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, {big('count(*)', 'rows_loaded')}, 'success' AS status FROM raw_{t}" for t in _FILES),
     *[f"raw_{t}" for t in _FILES]))

@@ -36,21 +36,34 @@ def file_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{spec_of(table).file}"
 
 
-def read_bronze(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def read_bronze(spark: SparkSession, folder: str, table: str, mode: str = "abort") -> DataFrame:
     """Scan one raw file: no header, empty field is NULL, quotes are data.
 
     A line with another number of fields than the table has columns, a blank line too, stops the
-    job, whichever columns are read.
+    job, whichever columns are read; with ``mode="quarantine"`` it is left out (see ``bad_lines``).
     """
+    if mode not in ("abort", "quarantine"):
+        raise ValueError(f"unknown mode {mode!r}; known: abort, quarantine")
     names = spec_of(table).columns
     fields = F.split("value", f"[{DELIMITER}]", -1)
     checked = F.when(F.size(fields) == len(names), fields).otherwise(F.raise_error(F.concat(
         F.lit(f"{table}: expected {len(names)} fields, found "), F.size(fields).cast("string"), F.lit(" in line: "), "value")))
-    lines = spark.read.text(file_path(folder, table)).select(checked.alias("_fields"))
+    lines = spark.read.text(file_path(folder, table))
+    if mode == "quarantine":
+        lines = lines.filter(F.size(fields) == len(names))
+    lines = lines.select(checked.alias("_fields"))
     value = lambda i: F.col("_fields")[i]
     return lines.select(*[F.when(value(i) != "", value(i)).alias(c) for i, c in enumerate(names)])
 
 
+def bad_lines(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """file, line, fields: the lines with another number of fields than the table has columns. A blank
+    line has one field."""
+    fields = F.size(F.split("value", f"[{DELIMITER}]", -1))
+    lines = spark.read.text(file_path(folder, table)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), fields.alias("fields"))
+    return lines.filter(F.col("fields") != len(spec_of(table).columns))
+
+
 def write_raw(df: DataFrame, folder: str, table: str) -> None:
     """Write an all-text frame in the raw file format (a folder of part files)."""
     line = F.concat_ws(DELIMITER, *[F.coalesce(F.col(c), F.lit("")) for c in spec_of(table).columns])
@@ -66,14 +79,23 @@ def check_tables(tables: list[str] | None) -> list[str]:
     return chosen
 
 
-def load_table(wh: Warehouse, folder: str, table: str) -> LoadStats:
+def load_table(wh: Warehouse, folder: str, table: str, mode: str = "abort", max_bad_share: float = 0.01) -> LoadStats:
     """Replace one Bronze table; a bad line leaves the old table in place. Rows and missing keys are
-    counted in the write."""
+    counted in the write.
+
+    With ``mode="quarantine"`` bad lines become the table ``<table>__bad_lines``; more of them than
+    ``max_bad_share`` of all lines fail the load, and the old table stays.
+    """
     started, clock = datetime.now(timezone.utc), time.perf_counter()
     size = wh.size_bytes(file_path(folder, table))
     key = spec_of(table).pk
     counted = {"null_keys": F.count_if(F.col(key).isNull())} if key else {}
-    done = wh.write(read_bronze(wh.spark, folder, table), "bronze", table, metrics=counted)
+    if mode == "quarantine":
+        bad = wh.write(bad_lines(wh.spark, folder, table), "bronze", f"{table}__bad_lines").rows
+        lines = wh.spark.read.text(file_path(folder, table)).count() if bad else 0
+        if bad > max_bad_share * lines:
+            raise ValueError(f"{table}: {bad} of {lines} lines don't have {len(spec_of(table).columns)} fields")
+    done = wh.write(read_bronze(wh.spark, folder, table, mode), "bronze", table, metrics=counted)
     return LoadStats(table, started, datetime.now(timezone.utc), done.rows, size, time.perf_counter() - clock, "success",
                      null_keys=done.metrics.get("null_keys", 0) if key else None)
 
