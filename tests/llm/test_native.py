@@ -1,5 +1,6 @@
 """The operators on SQL functions: against their SQL, plain Python, and rows of all kinds."""
 
+import random
 import re
 from collections import Counter
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import licenses, mixing, quality, sharding
 from marketloom.llm.queries import ORACLES, QUERIES
+from marketloom.llm.sqlwords import LOWER, UPPER
 
 
 @pytest.mark.parametrize("folder", [SMALL, MIDDLE])
@@ -49,6 +51,47 @@ def test_licenses(spark):
     assert pick(8) == (1, 0, 0, "cc-by-nc", "cc-by-nc") and pick(9)[0] == 0
 
 
+def plain_scan(text, templates=licenses.TEMPLATES, min_score=licenses.MIN_SCORE):
+    """Every template at every place."""
+    w = [x for x in re.split(licenses.GAP, (text or "").translate(str.maketrans(UPPER, LOWER))) if x]
+    out = []
+    for t in templates:
+        key = t.key.split()
+        for i in range(len(w) - len(key) + 1):
+            o = i - t.key_at
+            if w[i:i + len(key)] == key:
+                score = sum(0 <= o + k < len(w) and w[o + k] == x for k, x in enumerate(t.words)) / len(t.words)
+                if score >= min_score:
+                    out.append((t.label, t.base, o, score))
+    return sorted(out)
+
+
+def test_licenses_against_every_place(spark, monkeypatch):
+    """Whole, cut off, altered and repeated notices, among words that other templates hold too."""
+    rng, texts = random.Random(5), [None, "", "of the license", LONG + " licensed under cc by nc 4 0"]
+    common = sorted({x for t in licenses.TEMPLATES for x in t.words})
+    for t in licenses.TEMPLATES * 3:
+        w = t.words
+        cut = w[rng.randint(0, len(w) // 2):] if rng.random() < 0.4 else w[:rng.randint(len(w) // 2, len(w))]
+        altered = [x if rng.random() < 0.9 else rng.choice(common) for x in cut]
+        noise = [rng.choice(common) for _ in range(rng.randint(0, 60))]
+        texts.append(" ".join([*noise, *altered, *noise[::-1], *(w * rng.randint(0, 3))]).upper())
+    want = [plain_scan(x) for x in texts]
+    assert sum(map(len, want)) > 150 and sum(0 < s < 1 for x in want for *_, s in x) > 10
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rarest in (licenses.RAREST, 0):  # the words that every file looks up; the rest is found by the key words
+        monkeypatch.setattr(licenses, "RAREST", rarest)
+        got = {r["doc_id"]: sorted(tuple(f) for f in r["found"]) for r in licenses.scan_licenses(docs).collect()}
+        assert got == dict(enumerate(want))
+
+
+def test_rarest_words_come_first(spark):
+    docs = spark.createDataFrame([(i, "license of the" if i else "license mozilla") for i in range(9)], "doc_id long, text string")
+    table = licenses.template_table(spark, licenses.TEMPLATES)
+    ranked = licenses.rarest_first(licenses.document_frequencies(docs, table)).first()["ranked"]
+    assert ranked[-4:] == ["mozilla", "of", "the", "license"] and len(ranked) == len({x for t in licenses.TEMPLATES for x in t.words})
+
+
 def repeated(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     runs = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
