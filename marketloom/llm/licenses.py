@@ -120,9 +120,11 @@ START, SHIFT = 1 << 40, 1 << 32
 
 # -- the index --------------------------------------------------------------------------------------
 def template_table(spark: SparkSession, templates: tuple[Template, ...]) -> DataFrame:
-    return spark.createDataFrame(
-        [(n, t.label, t.base, t.words, t.key.split(), t.key_at) for n, t in enumerate(templates)],
-        "template int, label string, base boolean, words array<string>, key array<string>, key_at int")
+    rows = [F.struct(
+        F.lit(n).alias("template"), F.lit(t.label).alias("label"), F.lit(t.base).alias("base"),
+        F.split(F.lit(t.text), " ").alias("words"), F.split(F.lit(t.key), " ").alias("key"), F.lit(t.key_at).alias("key_at"),
+    ) for n, t in enumerate(templates)]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def postings(table: DataFrame) -> DataFrame:
