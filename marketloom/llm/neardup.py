@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.components import components
+from marketloom.llm.components import components, split_join
 from marketloom.llm.hashing import Hasher, chunks, distinct_sets, minhashes, mix, odd_numbers, set_keys, shingles
 from marketloom.llm.store import stored
 
@@ -185,7 +185,7 @@ def candidate_links(sets: DataFrame) -> DataFrame:
         rows = stored(rows, "paths")
         met = stored(rows.groupBy("path").agg(
             F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).filter("n > 1"), "met")
-        met = stored(rows.join(met, "path"), "met")
+        met = stored(split_join(rows, met, "path", "node"), "met")
         leaves = met.filter(F.col("n") <= SMALL_NODE).join(sets.select("node", "sketch"), "node")
         links.append(stored(
             leaves.select("path", "node", "sketch").repartition("path").sortWithinPartitions("path")
@@ -275,7 +275,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, block_shingles: int = BL
     n_shingles.
     """
     blocks = groups.groupBy("grp").agg(F.ceil(F.sum("n_shingles") / block_shingles).cast("int").alias("n_blocks"))
-    placed = stored(groups.join(blocks, "grp").withColumn(
+    placed = stored(split_join(groups, blocks, "grp", "node").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")), "placed")
     # Texts are always dealt by id, never joined with a broadcast of the groups.
     rows = docs.select("doc_id", "text").hint("merge").join(
@@ -302,7 +302,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, block_shingles: int = BL
             "root", F.coalesce("root", "node"))
         named = stored(named, "named")
         most = named.groupBy("grp", "root").count().groupBy("grp").agg(F.max_by("root", "count").alias("main"))
-        waiting = stored(named.join(most, "grp").filter("root <> main").join(done, "node", "left_anti")
+        waiting = stored(split_join(named, most, "grp", "node").filter("root <> main").join(done, "node", "left_anti")
                          .select("grp", "node", "n_blocks"), "waiting")
         if waiting.isEmpty():
             return links.union(found)
@@ -329,7 +329,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     members = sets.select("node", "rep", "n_shingles").join(groups, "node")
     roots = components(confirmed_links(plain, members, block_shingles))
     smallest = roots.join(sets.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("component_id"))
-    linked = roots.join(smallest, "root").select("node", "component_id")
+    linked = split_join(roots, smallest, "root", "node").select("node", "component_id")
     # Stored, so that the join below deals both sides and can split a set with many copies.
     owner = stored(sets.select("node", "rep").join(linked, "node", "left").select(
         "node", F.coalesce("component_id", "rep").alias("component_id")), "owners")

@@ -2,7 +2,9 @@ from helpers import MIDDLE, SENTENCE, components, edge_docs, empty_docs, shingle
 from pyspark.sql import functions as F
 
 from marketloom.llm import neardup
+from marketloom.llm import components as stars
 from marketloom.llm.components import components as spark_components
+from marketloom.llm.components import split_join
 
 
 def expected(rows):
@@ -78,3 +80,24 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in spark_components(edges).collect()}
     assert got == {i: i // 100 * 100 for i in range(500)}
     assert spark_components(edges.filter("a < 0")).collect() == []
+
+
+def test_hot_nodes(spark, monkeypatch):
+    """A node of most edges, in both directions, and a chain behind it."""
+    hub = spark.range(1, 4000).selectExpr("CASE WHEN id % 2 = 0 THEN id ELSE 2000 END a", "CASE WHEN id % 2 = 0 THEN 2000 ELSE id END b")
+    edges = hub.union(spark.range(5000, 5050).selectExpr("id a", "id + 1 b")).union(hub.limit(10))
+    for salts in (stars.SALTS, 3):
+        monkeypatch.setattr(stars, "SALTS", salts)
+        got = {r["node"]: r["root"] for r in spark_components(edges).collect()}
+        assert got == {i: 1 for i in range(1, 4000)} | {i: 5000 for i in range(5000, 5051)}
+
+
+def test_split_join_is_a_join(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id % 90 END k", "id v")
+    rows = rows.union(rows.limit(5)).union(spark.sql("SELECT 7L, CAST(NULL AS BIGINT)"))
+    table = spark.range(60).selectExpr("id k", "id * 2 x")
+    want = sorted(map(str, rows.join(table, "k").select("k", "v", "x").collect()))
+    assert sorted(map(str, split_join(rows, table, "k", "v").select("k", "v", "x").collect())) == want
+    # Every place holds a part of the hot key only.
+    spread = rows.filter("k = 7").selectExpr(f"pmod(xxhash64(v), {stars.SALTS}) s").groupBy("s").count()
+    assert spread.agg({"count": "max"}).first()[0] < 20
