@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 from helpers import MIDDLE, SENTENCE, components, edge_docs, empty_docs, shingles, similar_pairs, table
 from pyspark.sql import functions as F
 
@@ -101,3 +103,34 @@ def test_split_join_is_a_join(spark):
     # Every place holds a part of the hot key only.
     spread = rows.filter("k = 7").selectExpr(f"pmod(xxhash64(v), {stars.SALTS}) s").groupBy("s").count()
     assert spread.agg({"count": "max"}).first()[0] < 20
+
+
+def missed_by_trees(levels, pairs=10_000):
+    """Share of pairs that agree in 48 of 64 tokens and meet at no tree node of a level, if all nodes are large."""
+    rng = np.random.default_rng(7)
+    left = rng.integers(0, 1 << 32, (pairs, neardup.TOKENS), dtype=np.uint32)
+    right = left.copy()
+    for row, other in zip(right, rng.random(left.shape).argsort(1)[:, :neardup.TOKENS // 4], strict=True):
+        row[other] ^= np.uint32(0x5A5A5A5A)
+    share, out = neardup.PERCENT / 100 * neardup.TOKENS, []
+    paths = None  # of the nodes that both sets of a pair reach: (pair, path)
+    for level in range(levels):
+        first, met = level == 0, []
+        own = np.arange(pairs) if first else paths[0]
+        for tokens in (left, right):
+            columns = [pa.array(own), pa.array([tokens[i].tobytes() for i in own], pa.binary())]
+            names = ["node", "tokens"]
+            if not first:
+                columns, names = [*columns, pa.array(paths[1])], [*names, "path"]
+            step = neardup._branch((neardup.FIRST_CHILDREN if first else neardup.CHILDREN) / share, first)
+            rows = pa.Table.from_batches(step([pa.RecordBatch.from_arrays(columns, names)]))
+            met.append(set(zip(rows["node"].to_pylist(), rows["path"].to_pylist(), strict=True)))
+        both = sorted(met[0] & met[1])
+        paths = tuple(np.array(x, np.int64) for x in zip(*both, strict=True))
+        out.append(1 - len(set(paths[0].tolist())) / pairs)
+    return out
+
+
+def test_recall_of_large_nodes():
+    """The worst case: borderline pairs, all common nodes large down to the last level."""
+    assert missed_by_trees(neardup.DEPTH)[-1] < 3e-4
