@@ -16,7 +16,8 @@ and no task holds a group.
 Recall: a pair of similarity 0.75 shares a tree node of the first level with probability 0.86, of
 the second with 0.79, of the third with 0.75 and of the fourth with 0.72, or more, as each node has one
 child at least. So it is missed by all 8 trees with probability 1e-7, 4e-6, 2e-5 and 4e-5 at most, as
-large as the nodes around it make the trees deep. More similar pairs are missed less. Both agree in fewer than 28 of 64 tokens with probability 1e-8.
+large as the nodes around it make the trees deep. More similar pairs are
+missed less. Both agree in fewer than 28 of 64 tokens with probability 1e-8.
 """
 
 from __future__ import annotations
