@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.operators.keysets import KeySet, is_integer, key_set, non_members
 from marketloom.operators.unify import CHANNELS
 from marketloom.specs import SILVER_NAMES, TABLES
 
@@ -59,12 +60,19 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return bad.agg(F.count(F.lit(1)).alias("failures"))
 
 
-def foreign_key(df: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
+def foreign_key(df: DataFrame, column: str, parent: DataFrame, key: str, known: KeySet | None = None) -> DataFrame:
     """One row: rows whose non-NULL value is not a key of the parent.
 
-    Values are counted before the lookup, so a value held by many rows is one row of the join.
+    Integer keys of the parent are a bitmap (``known`` if it is there already) that is sent to the
+    rows. Where it is too large for that, and for other types, values are counted before the
+    lookup, so a value held by many rows is one row of the join.
     """
-    held = df.dropna(subset=[column]).groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.dropna(subset=[column])
+    if known is None and is_integer(df, column) and is_integer(parent, key):
+        known = key_set(parent, key)
+    if known is not None and known.is_small:
+        return non_members(rows.select(column), column, known).agg(F.count(F.lit(1)).alias("failures"))
+    held = rows.groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     orphans = held.join(parent.select(F.col(key).alias("_v")), "_v", "left_anti")
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
 
@@ -129,6 +137,7 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
     table.
     """
     parts: list[DataFrame] = []
+    parents: dict[tuple[str, str, str], KeySet] = {}
     by_table: dict[tuple[str, str], list[Check]] = {}
     for check in suite:
         by_table.setdefault((check.layer, check.table), []).append(check)
@@ -153,7 +162,10 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
             elif c.kind == "accepted_values":
                 one = accepted_values(df, c.columns[0], c.values)
             elif c.kind == "foreign_key":
-                one = foreign_key(df, c.columns[0], frames(*c.parent[:2]), c.parent[2])
+                parent, key = frames(*c.parent[:2]), c.parent[2]
+                if c.parent not in parents and is_integer(df, c.columns[0]) and is_integer(parent, key):
+                    parents[c.parent] = key_set(parent, key)
+                one = foreign_key(df, c.columns[0], parent, key, parents.get(c.parent))
             elif c.kind == "key_range":
                 one = key_range(df, c.columns)
             elif c.kind == "not_null":

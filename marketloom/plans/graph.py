@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from marketloom.functions.exprs import prop, props_json, safe_label, where_not_null
 from marketloom.operators.aggregates import pair_aggregate
+from marketloom.operators.keysets import KeySet, key_set, members
 from marketloom.operators.rank import top_n, top_n_per
 from marketloom.session import checkpointed
 from marketloom.sources.sinks import insert_missing, merge_by_key
@@ -102,37 +103,48 @@ def build_nodes(onto: Ontology, tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def resolve_ends(df: DataFrame, nodes: DataFrame, from_class: str, to_class: str) -> DataFrame:
-    """Replace (from_sk, to_sk) by node ids; rows whose ends are not both nodes are dropped."""
-    def end(class_name: str, side: str) -> DataFrame:
-        return nodes.filter(F.col("class_name") == class_name).select(
-            F.col("source_sk").alias(f"{side}_sk"), F.col("node_id").alias(f"{side}_node_id")
-        )
+class NodeSets:
+    """Ids of the nodes of each class as key sets; each is made when it is first asked for."""
 
-    return (
-        df.join(end(from_class, "from"), "from_sk").join(end(to_class, "to"), "to_sk")
-        .drop("from_sk", "to_sk")
-    )
+    def __init__(self, nodes: DataFrame):
+        self.nodes, self._sets = nodes, {}
+
+    def of(self, class_name: str) -> KeySet:
+        if class_name not in self._sets:
+            self._sets[class_name] = key_set(self.nodes.filter(F.col("class_name") == class_name), "node_id")
+        return self._sets[class_name]
+
+
+def _sets_of(nodes: DataFrame | NodeSets) -> NodeSets:
+    return nodes if isinstance(nodes, NodeSets) else NodeSets(nodes)
 
 
-def fk_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFrame) -> DataFrame:
+def resolve_ends(onto: Ontology, df: DataFrame, nodes: NodeSets, from_class: str, to_class: str) -> DataFrame:
+    """Replace (from_sk, to_sk) by node ids; rows whose ends are not both nodes are dropped. Ids are
+    computed, and the sets of existing ones go to the rows."""
+    for side, class_name in (("from", from_class), ("to", to_class)):
+        df = df.withColumn(f"{side}_node_id", node_id(onto, class_name, F.col(f"{side}_sk"))).drop(f"{side}_sk")
+        df = members(df, f"{side}_node_id", nodes.of(class_name))
+    return df
+
+
+def fk_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFrame | NodeSets) -> DataFrame:
     """One edge per pair of origin and target, however often the pair stands in the source. The
     origin is a row of the node's own table and becomes its node id without a lookup; only the
     target is looked up."""
-    rel = onto["relationships"][name]
+    rel, sets = onto["relationships"][name], _sets_of(nodes)
     key = onto["classes"][rel["from"]]["surrogate_key"]
     pairs = where_not_null(source, key, rel["column"]).select(
         node_id(onto, rel["from"], F.col(key)).alias("from_node_id"),
         node_id(onto, rel["to"], F.col(rel["column"])).alias("to_node_id"),
-    ).distinct()
-    targets = nodes.filter(F.col("class_name") == rel["to"]).select(F.col("node_id").alias("to_node_id"))
-    return pairs.join(targets, "to_node_id", "left_semi").select(
+    )
+    return members(pairs, "to_node_id", sets.of(rel["to"])).distinct().select(
         "from_node_id", "to_node_id", F.lit(name).alias("relationship_name"),
         F.lit("{}").alias("properties"),
     )
 
 
-def aggregate_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFrame) -> DataFrame:
+def aggregate_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFrame | NodeSets) -> DataFrame:
     """Top pairs per origin by the first aggregate (ties by target key), with the aggregates as
     properties. Without ``top_n`` all pairs become edges."""
     rel = onto["relationships"][name]
@@ -141,13 +153,13 @@ def aggregate_edges(onto: Ontology, name: str, source: DataFrame, nodes: DataFra
     best = top_n_per(
         pairs, ["from_sk"], [F.col(first).desc_nulls_last(), F.col("to_sk").asc()], rel.get("top_n")
     )
-    return resolve_ends(best, nodes, rel["from"], rel["to"]).select(
+    return resolve_ends(onto, best, _sets_of(nodes), rel["from"], rel["to"]).select(
         "from_node_id", "to_node_id", F.lit(name).alias("relationship_name"),
         props_json({a: a for a in rel["aggregates"]}, keep_nulls=True).alias("properties"),
     )
 
 
-def relationship_edges(onto: Ontology, name: str, tables: Tables, nodes: DataFrame) -> DataFrame:
+def relationship_edges(onto: Ontology, name: str, tables: Tables, nodes: DataFrame | NodeSets) -> DataFrame:
     rel = onto["relationships"][name]
     if rel["kind"] == "fk":
         table = onto["classes"][rel["from"]]["source_table"]
@@ -158,7 +170,8 @@ def relationship_edges(onto: Ontology, name: str, tables: Tables, nodes: DataFra
 
 
 def build_edges(onto: Ontology, tables: Tables, nodes: DataFrame) -> DataFrame:
-    parts = [relationship_edges(onto, n, tables, nodes) for n in onto["relationships"]]
+    sets = NodeSets(nodes)
+    parts = [relationship_edges(onto, n, tables, sets) for n in onto["relationships"]]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -249,10 +262,7 @@ def top_customers(nodes: DataFrame, edges: DataFrame, n: int = 5) -> DataFrame:
 
 def hop_out(seed: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes reached by one outbound edge."""
-    return (
-        edges.join(seed.select(F.col("node_id").alias("from_node_id")), "from_node_id", "left_semi")
-        .select(F.col("to_node_id").alias("node_id")).distinct()
-    )
+    return members(edges, "from_node_id", key_set(seed, "node_id")).select(F.col("to_node_id").alias("node_id")).distinct()
 
 
 def sample_nodes(edges: DataFrame, onto: Ontology, top: int = 200) -> DataFrame:
@@ -268,10 +278,9 @@ def sample_nodes(edges: DataFrame, onto: Ontology, top: int = 200) -> DataFrame:
 
 def restrict(nodes: DataFrame, edges: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes in the id set, and edges with both ends in it."""
-    kept = edges
-    for end in ("from_node_id", "to_node_id"):
-        kept = kept.join(ids.select(F.col("node_id").alias(end)), end, "left_semi")
-    return nodes.join(ids, "node_id", "left_semi"), kept.select(*EDGE_COLUMNS)
+    inside = key_set(ids, "node_id")
+    kept = members(members(edges, "from_node_id", inside), "to_node_id", inside)
+    return members(nodes, "node_id", inside), kept.select(*EDGE_COLUMNS)
 
 
 def edge_view(nodes: DataFrame, edges: DataFrame) -> DataFrame:
