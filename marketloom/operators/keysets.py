@@ -11,6 +11,7 @@ NULL is in no set, and NULL keys of the set are left out. Repeated keys count on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,3 +74,25 @@ def members(df: DataFrame, column: str, keys: KeySet) -> DataFrame:
 def non_members(df: DataFrame, column: str, keys: KeySet) -> DataFrame:
     """Rows whose value is not in the set, NULL among them."""
     return _join(df, column, keys, "left_anti")
+
+
+def missing(df: DataFrame, wanted: Sequence[tuple[str, str, KeySet]]) -> DataFrame:
+    """(name, failures): non-NULL values of a column that are not in its set, for each wanted (name,
+    column, set). All are counted in one pass over the rows; so the sets are small ones."""
+    if not all(keys.is_small for _, _, keys in wanted):
+        raise ValueError("a key set is too large to be sent to the rows")
+    for c in {c for _, c, _ in wanted}:
+        if not is_integer(df, c):
+            raise TypeError(f"{c} is not an integer column")
+    columns = list(dict.fromkeys(c for _, c, _ in wanted))
+    place = {c: f"v{i}" for i, c in enumerate(columns)}
+    rows = df.select(*[F.col(c).cast("bigint").alias(v) for c, v in place.items()])
+    for i, (_, column, keys) in enumerate(wanted):
+        value = F.col(place[column])
+        words = keys.words.select(F.col("_key_word").alias("w"), F.col("_key_bits").alias(f"b{i}"))
+        at = value.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+        rows = rows.join(F.broadcast(words), F.shiftright(value, _SHIFT) == F.col("w"), "left").drop("w")
+        rows = rows.withColumn(f"b{i}", value.isNotNull() & (F.coalesce(F.getbit(f"b{i}", at), F.lit(0)) == 0))
+    counted = rows.agg(*[F.count_if(f"b{i}").alias(f"b{i}") for i in range(len(wanted))])
+    names = F.create_map(*[F.lit(x) for i, (name, _, _) in enumerate(wanted) for x in (f"b{i}", name)])
+    return counted.unpivot([], counted.columns, "b", "failures").select(names[F.col("b")].alias("name"), "failures")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.operators.keysets import KeySet, is_integer, key_set, non_members
+from marketloom.operators.keysets import KeySet, is_integer, key_set, missing, non_members
 from marketloom.operators.unify import CHANNELS
 from marketloom.specs import SILVER_NAMES, TABLES
 
@@ -18,6 +18,12 @@ SEGMENTS = ("Champions", "Loyal", "At risk high-value", "Hibernating", "New", "A
 RUN_STATUS = ("running", "success", "failed")
 LOAD_STATUS = ("success", "failed")
 EDGE_KINDS = ("fk", "aggregate")
+KEY_ROLES = {  # how key columns of facts end, and the dimension they name
+    "date": "date_dim", "time": "time_dim", "item": "item", "customer": "customer", "cdemo": "customer_demographics",
+    "hdemo": "household_demographics", "addr": "customer_address", "store": "store", "promo": "promotion", "reason": "reason",
+    "warehouse": "warehouse", "ship_mode": "ship_mode", "call_center": "call_center", "catalog_page": "catalog_page",
+    "web_page": "web_page", "web_site": "web_site",
+}
 # --- end of fixed values ------------------------------------------------------------------------
 
 
@@ -134,7 +140,8 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
     """One row per check: test_name, status, failures, message.
 
     The not_null and unique checks of one column share a pass, and so do other not_null checks of a
-    table.
+    table. So do its foreign_key checks, if the keys they look up are sets small enough to be
+    sent to the rows.
     """
     parts: list[DataFrame] = []
     parents: dict[tuple[str, str, str], KeySet] = {}
@@ -156,6 +163,7 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
             parts.append(
                 not_null(df, *[c.columns[0] for c in nulls])
                 .select(names[F.col("column")].alias("test_name"), "failures"))
+        small = []
         for c in checks:
             if c.kind == "unique":
                 one = unique(df, c.columns)
@@ -165,6 +173,9 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
                 parent, key = frames(*c.parent[:2]), c.parent[2]
                 if c.parent not in parents and is_integer(df, c.columns[0]) and is_integer(parent, key):
                     parents[c.parent] = key_set(parent, key)
+                if is_integer(df, c.columns[0]) and c.parent in parents and parents[c.parent].is_small:
+                    small.append((c.name, c.columns[0], parents[c.parent]))
+                    continue
                 one = foreign_key(df, c.columns[0], parent, key, parents.get(c.parent))
             elif c.kind == "key_range":
                 one = key_range(df, c.columns)
@@ -173,6 +184,8 @@ def run_checks(frames: Frames, suite: Sequence[Check]) -> DataFrame:
             else:
                 raise ValueError(f"unknown check {c.kind!r}")
             parts.append(one.select(F.lit(c.name).alias("test_name"), "failures"))
+        if small:
+            parts.append(missing(df, small).withColumnRenamed("name", "test_name"))
     rows = reduce(DataFrame.unionByName, parts)
     failed = F.col("failures") > 0
     return rows.select(
@@ -213,6 +226,18 @@ def gold_suite() -> list[Check]:
     ]
 
 
+def reference_suite(table: str) -> list[Check]:
+    """Every key of a Silver fact table is a key of the dimension that its name ends with."""
+    found = []
+    for column in TABLES[table].columns:
+        dims = [d for role, d in KEY_ROLES.items() if column.endswith(f"_{role}_sk")]
+        if TABLES[table].kind == "fact" and dims:
+            spec = TABLES[dims[0]]
+            found.append(Check("foreign_key", "silver", TABLES[table].silver_name, (column,),
+                               parent=("silver", spec.silver_name, spec.pk)))
+    return found
+
+
 def default_suite() -> list[Check]:
     """Keys of all dimensions in Bronze and Silver, and the Gold checks: 76 in all."""
     keyed = [c for layer in ("bronze", "silver") for t in TABLES for c in table_suite(layer, t)]

@@ -46,6 +46,20 @@ def _verdicts(counts: dict[str, str]) -> str:
     return f"SELECT test_name, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status, failures FROM ({rows})"
 
 
+_FACTS = [t for t, s in TABLES.items() if s.kind == "fact"]
+_REFERENCES = {c.name: f"SELECT count(*) FROM {c.table} WHERE {c.columns[0]} NOT IN (SELECT {c.parent[2]} FROM {c.parent[1]})"
+               for t in _FACTS for c in Q.reference_suite(t)}
+_READ = sorted({x for t in _FACTS for c in Q.reference_suite(t) for x in (c.table, c.parent[1])})
+
+
+@query(oracle(_verdicts(_REFERENCES), *_READ, once=tuple(_READ)))
+def fact_references(bed):
+    """All keys of all fact tables, looked up in their dimensions."""
+    raw = {s.silver_name: t for t, s in TABLES.items()}
+    suite = [c for t in _FACTS for c in Q.reference_suite(t)]
+    return Q.run_checks(lambda _, t: bed.silver(raw[t]), suite).drop("message")
+
+
 _PRODUCTS = "SELECT count(*) FROM product_analytics WHERE i_category = "
 _CUSTOMERS = "SELECT count(*) FROM customer_360 WHERE segment = "
 _SPOILED = dict(zip([c.name for c in Q.gold_suite()], (

@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators.keysets import key_set, members, non_members
-from marketloom.operators.quality import foreign_key
+from marketloom.operators.keysets import key_set, members, missing, non_members
+from marketloom.operators.quality import Check, foreign_key, reference_suite, run_checks
+from marketloom.specs import TABLES
 
 
 def frame(spark, values, kind="bigint"):
@@ -81,3 +82,28 @@ def test_foreign_key_in_every_form(spark, kind):
     nothing = parent.filter("false")
     assert foreign_key(child, "k", nothing, "p").collect()[0].failures == 1011
     assert foreign_key(child.filter("false"), "k", parent, "p").collect()[0].failures == 0
+
+
+def test_all_columns_are_counted_in_one_pass(spark):
+    rows = spark.createDataFrame([(1, 5, 1), (None, 6, 2), (9, None, 3), (9, 200, 4)], "a int, b bigint, w int")
+    few, many = key_set(spark.range(5), "id"), key_set(spark.range(100), "id")
+    none = key_set(spark.range(0), "id")
+    found = missing(rows, [("a few", "a", few), ("b many", "b", many), ("a many", "a", many), ("w none", "w", none)])
+    assert {r.name: r.failures for r in found.collect()} == {"a few": 2, "b many": 1, "a many": 0, "w none": 4}
+    assert {r.failures for r in missing(rows.filter("false"), [("a", "a", few)]).collect()} == {0}
+    assert str(found._jdf.queryExecution().optimizedPlan()).count("LogicalRDD") == 5  # the rows once, four sets
+    with pytest.raises(ValueError):
+        missing(rows, [("a", "a", key_set(spark.range(5), "id", 0))])
+
+
+def test_references_of_facts(spark):
+    names = {c.columns[0]: c.parent[1:] for t in TABLES for c in reference_suite(t)}
+    assert names["cs_ship_hdemo_sk"] == ("dim_household_demographics", "hd_demo_sk")
+    assert names["sr_returned_date_sk"] == (TABLES["date_dim"].silver_name, "d_date_sk")
+    assert set(names) == {c for s in TABLES.values() if s.kind == "fact" for c in s.columns if c.endswith("_sk")}
+    frames = {"f": spark.createDataFrame([(1, "x"), (4, "y"), (None, None)], "k int, s string"), "p": spark.createDataFrame(
+        [(1, "x"), (2, "z")], "id bigint, name string")}
+    suite = [Check("foreign_key", "t", "f", ("k",), parent=("t", "p", "id")),
+             Check("foreign_key", "t", "f", ("s",), parent=("t", "p", "name"))]
+    found = {r.test_name: (r.status, r.failures) for r in run_checks(lambda _, t: frames[t], suite).collect()}
+    assert found == {"foreign_key_t_f_k": ("fail", 1), "foreign_key_t_f_s": ("fail", 1)}
