@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     run = command("daily", "load, validate, build marts and check, as one run", "warehouse", "raw")
     run.add_argument("--threads", type=int, default=8)
     run.add_argument("--on-load-error", choices=("stop", "skip"), default="stop")
+    run.add_argument("--sort-sales", action="store_true", help="store unified sales in the order of customers")
     load = command("load", "load raw files", "warehouse", "raw")
     load.add_argument("tables", nargs="*")
     profile = command("profile", "compare raw files with their declared columns", "raw")
@@ -65,7 +66,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = session()
     wh = Warehouse(spark, args.warehouse) if "warehouse" in args else None
     if args.command == "daily":
-        out = run_daily(wh, args.raw, args.threads, args.on_load_error)
+        out = run_daily(wh, args.raw, args.threads, args.on_load_error, args.sort_sales)
         print(f"run {out.run_id}: {out.status}, {out.passed} passed, {out.failed} failed{': ' + out.message if out.message else ''}")
         return out.exit_code
     if args.command == "load":

@@ -50,6 +50,8 @@ RETURNS_MAPS = {
     "web": _returns_map("wr", "returned_time_sk", "refunded_", "order_number", "return_amt"),
 }
 # --- end of fixed values ----------------------------------------------------------------------
+#: Order of sales for readers of customers; the later columns split a hot customer.
+SALES_ORDER = ("customer_sk", "item_sk", "order_number")
 
 
 def unify(facts: dict[str, DataFrame], maps: dict[str, dict[str, str]]) -> DataFrame:

@@ -8,6 +8,7 @@ from marketloom.functions import exprs as X
 from marketloom.operators import aggregates as A
 from marketloom.operators import joins as J
 from marketloom.operators import rank as R
+from marketloom.operators.unify import SALES_ORDER
 from marketloom.plans import marts as M
 from marketloom.plans.ops import gold_kpis as kpis
 from marketloom.queries import query
@@ -75,6 +76,13 @@ def customer_sales(bed):
     return _plain(A.customer_sales(bed.sales()))
 
 
+@query(part("customer_sales"), name="customer_sales_sorted")
+def _customer_sales_sorted(bed):
+    """The same from sales that are stored in the order of customers."""
+    stored = bed.stored("silver", "sales_by_customer", bed.sales, sort_by=SALES_ORDER)
+    return _plain(A.customer_sales(stored))
+
+
 @query(part("customer_returns"))
 def customer_returns(bed):
     return _plain(A.customer_returns(bed.returns()))

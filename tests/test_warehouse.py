@@ -141,3 +141,77 @@ def test_counts_come_from_the_write(spark, wh):
     done = wh.write(spark.range(100).withColumn("k", F.expr("if(id % 10 = 0, null, id)")), "gold", "t", metrics={"nulls": F.count_if(F.col("k").isNull())})
     assert (done.rows, done.metrics) == (100, {"nulls": 10})
     assert wh.write(spark.range(0), "gold", "t", metrics={"n": F.count_if(F.col("id") > 0)}).rows == 0
+
+
+def _sales(spark):
+    """Sales of 400 customers in no order; customer 7 holds a third of the rows, some rows have none."""
+    from pyspark.sql import functions as F
+
+    n = F.col("id")
+    customer = F.when(n % 3 == 0, 7).when(n % 31 == 1, None).otherwise(F.pmod(F.xxhash64(n), F.lit(400)))
+    return spark.range(0, 20000, 1, 8).select(
+        customer.cast("int").alias("customer_sk"), (n % 50).cast("int").alias("item_sk"), n.alias("order_number"),
+        F.when(n % 2 == 0, "web").otherwise("store").alias("channel"))
+
+
+def _files(wh, name):
+    """(rows, values of row groups' smallest and largest customer) per file of a table."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    for path in glob.glob(f"{wh.snapshot_path('silver', name).removeprefix('file:')}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index("customer_sk")
+        for g in range(meta.num_row_groups):
+            s = meta.row_group(g).column(at).statistics
+            yield path, meta.row_group(g).num_rows, s.min, s.max
+
+
+@pytest.fixture()
+def uncoalesced(spark):
+    """Small ranges stay in tasks of their own, as large ones do."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
+def test_sorted_tables(spark, wh, uncoalesced):
+    from pyspark.sql import functions as F
+
+    order = ["customer_sk", "item_sk", "order_number"]
+    sales = _sales(spark)
+    plain = wh.write(sales, "silver", "plain", ["channel"])
+    ordered = wh.write(sales, "silver", "ordered", ["channel"], {"none": F.count_if(F.col("customer_sk").isNull())}, order)
+    assert ordered.rows == plain.rows == 20000
+    assert ordered.metrics["none"] == sales.filter("customer_sk IS NULL").count() > 0
+    read = {n: wh.read("silver", n).select(sales.columns) for n in ("plain", "ordered")}
+    assert read["ordered"].exceptAll(sales).isEmpty() and sales.exceptAll(read["ordered"]).isEmpty()
+
+    # Rows of a file are in order.
+    by_file = read["ordered"].select(*order, "channel", F.input_file_name().alias("f")).toPandas()
+    for _, rows in by_file.groupby("f"):
+        keys = list(rows[order].fillna(-1).itertuples(index=False, name=None))
+        assert keys == sorted(keys)
+    # Customers of a range are in few row groups, and the hot one is dealt to several files of its own.
+    touched = {n: sum(1 for _, _, low, high in _files(wh, n) if low is not None and low <= 300 <= high) for n in read}
+    assert touched["ordered"] <= 4 < 16 == touched["plain"]
+    hot = read["ordered"].filter("customer_sk = 7").select(F.input_file_name()).distinct().count()
+    assert hot >= 4 and max(n for _, n, _, _ in _files(wh, "ordered")) < 20000 / 3
+    # An aggregate by customer shuffles about a row per customer.
+    partial = {n: df.groupBy("customer_sk").count()._jdf for n, df in read.items()}
+    sent = {n: _shuffled(j) for n, j in partial.items()}
+    assert sent["ordered"] < sent["plain"] / 2
+
+
+def _shuffled(frame) -> int:
+    """Rows that the only exchange of a query writes."""
+    frame.collect()
+    plan = frame.queryExecution().executedPlan()
+    stage = plan.finalPhysicalPlan().collectLeaves().apply(0)
+    return stage.plan().metrics().apply("shuffleRecordsWritten").value()
+
+
+def test_sorted_empty_tables(spark, wh):
+    assert wh.write(_sales(spark).filter("false"), "silver", "none", ["channel"], sort_by=["customer_sk"]).rows == 0
